@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.text import blank_to_null, python_text, strip
+from millrace.functions.text import WHITESPACE, blank_to_null, python_text, strip
 
 # Target type names of the lenient cast and the Spark type each one yields.
 LENIENT_TYPES: dict[str, T.DataType] = {
@@ -22,17 +22,23 @@ LENIENT_TYPES: dict[str, T.DataType] = {
 # Texts that count as true. Any other non-blank text is false.
 TRUE_TEXTS = ("true", "1", "yes", "t", "y")
 
-_DIGITS = r"[0-9]+(_[0-9]+)*"
-_INT = rf"^[+-]?{_DIGITS}$"
-_NUMBER = rf"^[+-]?({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
-_SPECIAL = r"^(?i)[+-]?(inf|infinity|nan)$"
-_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-_DATE_COMPACT = r"^[0-9]{8}$"
-_WEEK_DATE = r"^([0-9]{4})-?W([0-9]{2})(-?([1-7]))?$"
+# Each pattern is used once, to extract the usable text. Text that does not match is NULL
+# before the cast: a try_cast that fails raises and catches an exception per row.
+_PAD = f"[{WHITESPACE}]*"
+_DIGITS = r"[0-9]+(?:_[0-9]+)*"
+_INT = rf"^{_PAD}([+-]?{_DIGITS}){_PAD}$"
+_INTEGRAL = rf"^{_PAD}([+-]?{_DIGITS})(?:\.0+)?{_PAD}$"
+_NUMBER = rf"[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+_DECIMAL = rf"^{_PAD}({_NUMBER}){_PAD}$"
+_FLOAT = rf"^{_PAD}({_NUMBER}|[+-]?(?i:inf|infinity|nan)){_PAD}$"
+_NUMBER_PATTERNS = {"int": _INT, "float": _FLOAT, "decimal": _DECIMAL}
+_DATE = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})$"
+_DATE_COMPACT = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
+_WEEK_DATE = r"^([0-9]{4})-?W([0-9]{2})(?:-?([1-7]))?$"
 _DATETIME = (
-    r"^([0-9]{4}-[0-9]{2}-[0-9]{2})"
-    r"(?:[^0-9]([0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]{1,6})?)?)"
-    r"(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
+    r"^([0-9]{4}-[0-9]{2}-[0-9]{2}"
+    r"(?:[T ][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]{1,6})?)?)?)"
+    r"(Z|[+-][0-9]{2}:?[0-9]{2})?$"
 )
 
 
@@ -50,10 +56,11 @@ def lenient_cast(c: Column, source: T.DataType, target: str) -> Column:
     text_in = isinstance(source, T.StringType)
     text = strip(c if text_in else python_text(c, source))
     value = F.when(text != "", c) if text_in else c
-    if target == "int":
-        return _to_int(c, text, source)
-    if target == "float":
-        return _to_float(c, text, source)
+    if target in _NUMBER_PATTERNS:
+        spark_name = LENIENT_TYPES[target].simpleString()
+        if text_in:
+            return number_in(c, _NUMBER_PATTERNS[target], spark_name)
+        return _numeric_only(c, source, spark_name)
     if target == "str":
         return value if text_in else python_text(c, source)
     if target == "bool":
@@ -70,74 +77,61 @@ def lenient_cast(c: Column, source: T.DataType, target: str) -> Column:
         if isinstance(source, T.DateType):
             return c.cast("timestamp_ntz")
         return iso_datetime(text)
-    if target == "decimal":
-        if text_in:
-            return F.when(text.rlike(_NUMBER), _no_underscores(text).try_cast("decimal(38,18)"))
-        return _numeric_only(c, source, "decimal(38,18)")
     return value
 
 
+def _matched(text: Column, pattern: str) -> Column:
+    return blank_to_null(F.regexp_extract(text, pattern, 1))
+
+
+def number_in(text: Column, pattern: str, target: str) -> Column:
+    """The number in group 1 of the pattern, without digit separators, else NULL."""
+    return F.translate(_matched(text, pattern), "_", "").try_cast(target)
+
+
+def integral(text: Column) -> Column:
+    """An integer, also when written with a zero fraction (``7.0``)."""
+    return number_in(text, _INTEGRAL, "bigint")
+
+
 def iso_date(text: Column) -> Column:
     """ISO calendar (``YYYY-MM-DD``, ``YYYYMMDD``) or week date, else NULL."""
-    compact = F.concat_ws(
-        "-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)
-    )
-    return (
-        F.when(text.rlike(_DATE), text.try_cast("date"))
-        .when(text.rlike(_DATE_COMPACT), compact.try_cast("date"))
-        .when(text.rlike(_WEEK_DATE), _week_date(text))
+    dashed = F.regexp_replace(text, _DATE_COMPACT, "$1-$2-$3")
+    return F.coalesce(
+        _matched(dashed, _DATE).try_cast("date"),
+        F.when(F.contains(text, F.lit("W")), _week_date(text)),
     )
 
 
+def iso_day(text: Column) -> Column:
+    """Only ``YYYY-MM-DD``, else NULL."""
+    return _matched(text, _DATE).try_cast("date")
+
+
 def _week_date(text: Column) -> Column:
-    year = F.regexp_extract(text, _WEEK_DATE, 1).try_cast("int")
+    year = F.regexp_extract(text, _WEEK_DATE, 1)
     week = F.regexp_extract(text, _WEEK_DATE, 2).try_cast("int")
-    day = F.coalesce(F.regexp_extract(text, _WEEK_DATE, 4).try_cast("int"), F.lit(1))
+    day = F.coalesce(F.regexp_extract(text, _WEEK_DATE, 3).try_cast("int"), F.lit(1))
     # 4 January always lies in week 1.
-    first = F.concat(F.lpad(year.cast("string"), 4, "0"), F.lit("-01-04")).try_cast("date")
+    first = F.concat(year, F.lit("-01-04")).try_cast("date")
     monday = F.date_add(F.date_trunc("week", first).cast("date"), (week - 1) * 7)
-    in_year = F.extract(F.lit("YEAROFWEEK"), monday) == year
+    in_year = F.extract(F.lit("YEAROFWEEK"), monday) == year.try_cast("int")
     return F.when((week >= 1) & in_year, F.date_add(monday, day - 1))
 
 
 def iso_datetime(text: Column) -> Column:
     """ISO date-time as ``timestamp_ntz``; a value with an offset is moved to UTC."""
-    day = F.regexp_extract(text, _DATETIME, 1)
-    clock = F.regexp_extract(text, _DATETIME, 2)
-    offset = F.regexp_extract(text, _DATETIME, 3)
-    clock = F.translate(F.when(clock == "", F.lit("00:00")).otherwise(clock), ",", ".")
-    local = F.concat(day, F.lit(" "), clock).try_cast("timestamp_ntz")
-    sign = F.when(F.startswith(offset, F.lit("-")), F.lit(-1)).otherwise(F.lit(1))
-    digits = F.regexp_replace(offset, "[^0-9]", "")
-    minutes = F.coalesce(
-        sign
-        * (
-            F.substring(digits, 1, 2).try_cast("int") * 60
-            + F.substring(digits, 3, 2).try_cast("int")
-        ),
-        F.lit(0),
-    )
-    shifted = local - F.make_dt_interval(F.lit(0), F.lit(0), minutes)
-    return F.when(text.rlike(_DATETIME), shifted).when(
-        text.rlike(_DATE_COMPACT), iso_date(text).cast("timestamp_ntz")
-    )
-
-
-def _no_underscores(text: Column) -> Column:
-    return F.translate(text, "_", "")
-
-
-def _to_int(c: Column, text: Column, source: T.DataType) -> Column:
-    if isinstance(source, T.StringType):
-        return F.when(text.rlike(_INT), _no_underscores(text).try_cast("bigint"))
-    return _numeric_only(c, source, "bigint")
+    dashed = F.regexp_replace(text, _DATE_COMPACT, "$1-$2-$3")
+    local = F.translate(_matched(dashed, _DATETIME), ",", ".").try_cast("timestamp_ntz")
+    offset = F.regexp_extract(text, _DATETIME, 2)
+    return F.when(offset.isin("", "Z"), local).otherwise(local - _offset(offset))
 
 
-def _to_float(c: Column, text: Column, source: T.DataType) -> Column:
-    if isinstance(source, T.StringType):
-        usable = text.rlike(_NUMBER) | text.rlike(_SPECIAL)
-        return F.when(usable, _no_underscores(text).try_cast("double"))
-    return _numeric_only(c, source, "double")
+def _offset(text: Column) -> Column:
+    """``+02:00`` or ``+0200`` as an interval."""
+    hours = F.substring(text, 1, 3).try_cast("int")
+    minutes = F.concat(F.substring(text, 1, 1), F.right(text, F.lit(2))).try_cast("int")
+    return F.make_dt_interval(F.lit(0), hours, minutes)
 
 
 def _numeric_only(c: Column, source: T.DataType, target: str) -> Column:

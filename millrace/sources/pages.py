@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,13 +28,14 @@ def page_records(pages: DataFrame, page: str = "page") -> DataFrame:
     A list is its items. An object is the first envelope key that holds a list, else
     the object itself is one record. Anything else, also broken JSON, is NULL.
     """
-    doc = F.try_parse_json(F.col(page))
+    doc = F.col("_doc")
     shape = F.schema_of_variant(doc)
     inner = [F.try_variant_get(doc, f"$.{k}", "array<variant>") for k in ENVELOPE_KEYS]
     records = F.when(
         shape.startswith("ARRAY"), F.try_variant_get(doc, "$", "array<variant>")
     ).when(shape.startswith("OBJECT"), F.coalesce(*inner, F.array(doc)))
-    return pages.withColumn("_records", records)
+    parsed = pages.withColumn("_doc", F.try_parse_json(F.col(page)))
+    return parsed.withColumn("_records", records).drop("_doc")
 
 
 def unwrap_pages(
@@ -41,25 +44,31 @@ def unwrap_pages(
     page_no: str | None = None,
     page: str = "page",
     page_size: int = PAGE_SIZE,
+    endpoints: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per record, as variant column ``record``.
 
-    With ``page_no`` the pages of an endpoint end as a client would end them: after the
-    first page with fewer than ``page_size`` records, before the first page without any.
-    The end of each endpoint is an aggregate, so its pages are not gathered in one task.
+    With ``endpoint`` and ``page_no`` the pages of an endpoint end as a client would end
+    them: after the first page with fewer than ``page_size`` records, before the first
+    page without any. The end of each endpoint is an aggregate, so its pages are not
+    gathered in one task. ``endpoints`` keeps the listed ones; the list also bounds the
+    number of ends, so they are broadcast and the pages are not shuffled.
     """
+    keep: list[str] = []
+    if endpoint is not None and endpoints is not None:
+        pages = pages.filter(F.col(endpoint).isin(*endpoints))
     found = page_records(pages, page)
-    keep = [c for c in (endpoint, page_no) if c]
     if page_no is not None:
+        if endpoint is None:
+            raise ValueError("page_no needs the endpoint column its numbers belong to")
+        keep = [endpoint, page_no]
         size = F.coalesce(F.size("_records"), F.lit(0))
-        keys = [endpoint] if endpoint else []
-        short = found.groupBy(*keys).agg(
+        last = found.groupBy(endpoint).agg(
             F.min(F.when(size < page_size, F.col(page_no))).alias("_last")
         )
-        if endpoint:
-            found = found.join(short, endpoint)
-        else:
-            # A single row: the end of the only sequence.
-            found = found.join(F.broadcast(short))
-        found = found.filter(F.col("_last").isNull() | (F.col(page_no) <= F.col("_last")))
-    return found.select(*keep, F.explode("_records").alias("record"))
+        found = found.join(last if endpoints is None else F.broadcast(last), endpoint).filter(
+            F.col("_last").isNull() | (F.col(page_no) <= F.col("_last"))
+        )
+    # explode would add a filter that parses every page a second time.
+    records = found.select(*keep, F.explode_outer("_records").alias("record"))
+    return records.filter(F.col("record").isNotNull())

@@ -233,7 +233,10 @@ def csv_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as JSON documents of up to 100 records in all envelope shapes."""
+    """Events as JSON documents of up to 100 records in all envelope shapes.
+
+    Ten pages form an endpoint.
+    """
     record = F.struct("event_id", "event_type", "user_id", "value")
     by_page = (
         read(spark, sf_dir, "events")
@@ -248,14 +251,16 @@ def _landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         page = page.when(
             shape == i, F.concat(F.lit(f'{{"total": 1, "{key}": '), body, F.lit("}"))
         )
-    return by_page.select("page_no", page.alias("page"))
+    return by_page.select(
+        F.floor(F.col("page_no") / 10).alias("endpoint"), "page_no", page.alias("page")
+    )
 
 
 @query("select event_id, event_type, user_id, value from events")
 def unwrap_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark, "pages")
     _landed_pages(spark, sf_dir).write.parquet(path)
-    records = pages.unwrap_pages(spark.read.parquet(path), page_no="page_no")
+    records = pages.unwrap_pages(spark.read.parquet(path), "endpoint", "page_no")
 
     def field(name: str, t: str):
         return F.try_variant_get("record", f"$.{name}", t).alias(name)
