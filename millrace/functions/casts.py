@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,12 +34,13 @@ _NUMBER = rf"[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS
 _DECIMAL = rf"^{_PAD}({_NUMBER}){_PAD}$"
 _FLOAT = rf"^{_PAD}({_NUMBER}|[+-]?(?i:inf|infinity|nan)){_PAD}$"
 _NUMBER_PATTERNS = {"int": _INT, "float": _FLOAT, "decimal": _DECIMAL}
-_DATE = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})$"
+_MONTH, _DAY, _CLOCK = "(?:0[1-9]|1[0-2])", "(?:0[1-9]|[12][0-9]|3[01])", "(?:[01][0-9]|2[0-3])"
+_ISO_DAY = rf"[0-9]{{4}}-{_MONTH}-{_DAY}"
+_DATE = rf"^({_ISO_DAY})$"
 _DATE_COMPACT = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
 _WEEK_DATE = r"^([0-9]{4})-?W([0-9]{2})(?:-?([1-7]))?$"
 _DATETIME = (
-    r"^([0-9]{4}-[0-9]{2}-[0-9]{2}"
-    r"(?:[T ][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]{1,6})?)?)?)"
+    rf"^({_ISO_DAY}(?:[T ]{_CLOCK}:[0-5][0-9](?::[0-5][0-9](?:[.,][0-9]{{1,6}})?)?)?)"
     r"(Z|[+-][0-9]{2}:?[0-9]{2})?$"
 )
 
@@ -84,6 +87,15 @@ def _matched(text: Column, pattern: str) -> Column:
     return blank_to_null(F.regexp_extract(text, pattern, 1))
 
 
+def _rarely(text: Column, parse: Callable[[Column], Column]) -> Column:
+    """Evaluate ``parse`` through a lambda, which Spark interprets.
+
+    Parsers of rare forms would otherwise swell the generated method of every row
+    beyond the size the JVM compiles.
+    """
+    return F.transform(F.array(text), parse)[0]
+
+
 def number_in(text: Column, pattern: str, target: str) -> Column:
     """The number in group 1 of the pattern, without digit separators, else NULL."""
     return F.translate(_matched(text, pattern), "_", "").try_cast(target)
@@ -99,7 +111,7 @@ def iso_date(text: Column) -> Column:
     dashed = F.regexp_replace(text, _DATE_COMPACT, "$1-$2-$3")
     return F.coalesce(
         _matched(dashed, _DATE).try_cast("date"),
-        F.when(F.contains(text, F.lit("W")), _week_date(text)),
+        F.when(F.contains(text, F.lit("W")), _rarely(text, _week_date)),
     )
 
 
@@ -124,7 +136,7 @@ def iso_datetime(text: Column) -> Column:
     dashed = F.regexp_replace(text, _DATE_COMPACT, "$1-$2-$3")
     local = F.translate(_matched(dashed, _DATETIME), ",", ".").try_cast("timestamp_ntz")
     offset = F.regexp_extract(text, _DATETIME, 2)
-    return F.when(offset.isin("", "Z"), local).otherwise(local - _offset(offset))
+    return F.when(offset.isin("", "Z"), local).otherwise(local - _rarely(offset, _offset))
 
 
 def _offset(text: Column) -> Column:

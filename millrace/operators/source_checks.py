@@ -226,7 +226,7 @@ def _failed_metrics(spark: SparkSession, rows: list[tuple[int, Check, str]]) ->
                 False,
                 "error" if problem.startswith("Unknown check type") else c.severity,
                 None,
-                c.threshold,
+                None if c.threshold is None else float(c.threshold),
                 None,
                 None,
                 problem,

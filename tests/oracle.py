@@ -31,7 +31,7 @@ def _plain(value):
 
 def differences(df, con, sql: str) -> list[str]:
     """Empty when both sides have the same columns, types and rows."""
-    table = con.execute(sql).to_arrow_table()
+    table = con.sql(sql).to_arrow_table()
     rows = df.toArrow()
     problems = []
     if sorted(rows.column_names) != sorted(table.column_names):
