@@ -10,6 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import join_splittable
 from millrace.operators.rules import ORDER_STATUSES, PAYMENT_METHODS
 
 
@@ -37,12 +38,12 @@ def relationships_failures(
 ) -> DataFrame:
     """Child rows whose non-null key has no parent row.
 
-    Child keys are reduced to distinct values before the anti-join, then joined back,
-    so a key shared by a large part of the rows does not meet the parent row by row.
+    Child keys are reduced to distinct values before the anti-join, then joined back by
+    a join that can split a key shared by a large part of the rows.
     """
     keys = child.select(F.col(column)).filter(F.col(column).isNotNull()).distinct()
     known = parent.select(F.col(parent_column).alias(column)).distinct()
-    return child.join(keys.join(known, column, "left_anti"), column, "left_semi")
+    return join_splittable(child, keys.join(known, column, "left_anti"), column, "left_semi")
 
 
 def accepted_range_failures(

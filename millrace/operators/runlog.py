@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.numeric import rate
+from millrace.operators.joins import join_splittable
 
 RUN_LOG_SCHEMA = (
     "run_id string, stage string, status string, duration_seconds double, "
@@ -117,7 +118,7 @@ def anomalies(records: DataFrame, stats: DataFrame) -> DataFrame:
             F.when(few, finding("row_count", rows, expected_rows, F.lit(float("inf")), rows_text)),
         )
     )
-    joined = records.join(stats, "stage").filter(slow | few)
+    joined = join_splittable(records, stats, "stage", "inner").filter(slow | few)
     return joined.select(
         *[F.col(c) for c in records.columns if c in POSITION], F.inline(found)
     )

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.numeric import cents_to_dollars, dollars_to_cents, percent_of
+from millrace.operators.joins import join_splittable
 from millrace.operators.quantiles import daily_median
 
 RETURNED = ("returned", "return_pending")
@@ -53,7 +54,11 @@ def in_date_range(
 
 
 def fct_orders(orders: DataFrame, payments: DataFrame, customers: DataFrame) -> DataFrame:
-    """One row per order with its payment totals and customer names."""
+    """One row per order with its payment totals and customer names.
+
+    Orders and payment totals are unique on order_id. A customer may hold any share of
+    the orders, so that join is one adaptive execution can split.
+    """
     paid = (
         _payments_by_method(payments)
         .groupBy("order_id")
@@ -74,7 +79,7 @@ def fct_orders(orders: DataFrame, payments: DataFrame, customers: DataFrame) ->
     )
     return (
         orders.join(paid, "order_id", "left")
-        .join(names, "customer_id", "left")
+        .transform(join_splittable, names, "customer_id")
         .select(
             "order_id",
             "customer_id",

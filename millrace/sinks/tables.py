@@ -96,7 +96,8 @@ def load_upsert(
     ``nothing``: stored rows stay, the first of repeated keys is inserted.
     NULL keys never conflict, as with a unique constraint.
 
-    The stored rows are read once. They are not shuffled when the batch is small enough
+    ``keys`` are the primary key, so stored keys are unique; stored rows without a key
+    take no part in the join. Stored rows are not shuffled when the batch is small enough
     to broadcast by its own file size, which Spark decides.
     """
     target = w.spark.table(w.table(name))
@@ -107,9 +108,10 @@ def load_upsert(
     keyless, keyed = batch.filter(missing), batch.filter(~missing)
     if on_conflict == "update":
         keyed = deduplicate(keyed, keys, order_by, keep="last")
-        merged = target.join(keyed.select(*keys), list(keys), "left_anti").select(
-            *target.columns
-        ).unionByName(keyed)
+        kept = target.filter(~missing).join(keyed.select(*keys), list(keys), "left_anti")
+        merged = (
+            kept.select(*target.columns).unionByName(target.filter(missing)).unionByName(keyed)
+        )
     else:
         keyed = deduplicate(keyed, keys, order_by, keep="first")
         fresh = keyed.join(target.select(*keys), list(keys), "left_anti")

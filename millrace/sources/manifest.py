@@ -17,7 +17,7 @@ MANIFEST_SCHEMA = (
     "columns array<string>, success boolean, error string, duration_seconds double, "
     "extracted_at timestamp_ntz, skipped boolean"
 )
-MAX_HASHED_BYTES = 1 << 30
+MAX_HASHED_BYTES = 1 << 28
 
 
 def file_checksums(

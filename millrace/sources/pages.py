@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import join_splittable
+
 # The keys that may hold the records of a page, in order of preference.
 ENVELOPE_KEYS = ("data", "results", "items", "records")
 PAGE_SIZE = 100
@@ -66,9 +68,11 @@ def unwrap_pages(
         last = found.groupBy(endpoint).agg(
             F.min(F.when(size < page_size, F.col(page_no))).alias("_last")
         )
-        found = found.join(last if endpoints is None else F.broadcast(last), endpoint).filter(
-            F.col("_last").isNull() | (F.col(page_no) <= F.col("_last"))
-        )
+        if endpoints is None:
+            found = join_splittable(found, last, endpoint, "inner")
+        else:
+            found = found.join(F.broadcast(last), endpoint)
+        found = found.filter(F.col("_last").isNull() | (F.col(page_no) <= F.col("_last")))
     # explode would add a filter that parses every page a second time.
     records = found.select(*keep, F.explode_outer("_records").alias("record"))
     return records.filter(F.col("record").isNotNull())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,10 @@ from millrace.sources.schemas import LOADED_AT
 BATCH = "_batch_id"
 
 
+def _now() -> datetime:
+    return datetime.now(UTC).replace(tzinfo=None)
+
+
 def append_stream(
     stream: DataFrame,
     target: str,
@@ -30,20 +35,20 @@ def append_stream(
     The default ``trigger`` takes what has landed and stops.
     """
 
-    def write(df: DataFrame, folder: str, batch_id: int) -> None:
-        stamped = df.withColumn(LOADED_AT, F.localtimestamp())
+    def write(df: DataFrame, folder: str, batch_id: int, at: datetime) -> None:
+        stamped = df.withColumn(LOADED_AT, F.lit(at).cast("timestamp_ntz"))
         stamped.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")
 
     def plain(batch: DataFrame, batch_id: int) -> None:
-        write(batch, target, batch_id)
+        write(batch, target, batch_id, _now())
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch, at = batch.persist(), _now()
         try:
             outcome = validate(batch, rules)
-            write(outcome.valid, target, batch_id)
+            write(outcome.valid, target, batch_id, at)
             if rejected is not None:
-                write(outcome.invalid, rejected, batch_id)
+                write(outcome.invalid, rejected, batch_id, at)
         finally:
             batch.unpersist()
 
