@@ -44,7 +44,10 @@ def hot(column="k", rows=40_000):
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
 def test_hot_key_is_split(spark, skew_settings, how):
     left = spark.range(0, 40_000, 1, 8).select(hot(), F.sha2(F.col("id").cast("string"), 256).alias("v"))
-    right = spark.range(5000).groupBy(F.col("id").alias("k")).agg(F.count("*").alias("n"))
+    ids = spark.range(5000).repartition(8)
+    right = ids.groupBy(F.col("id").alias("k")).agg(F.count("*").alias("n"))
+    # The aggregated side is partitioned by the key already: a plain join cannot be split.
+    assert "skew=true" not in final_plan(left.join(right, "k", how))
     joined = join_splittable(left, right, "k", how)
     assert "skew=true" in final_plan(joined)
     assert joined.count() == 40_000
@@ -63,7 +66,7 @@ def test_fact_mart_splits_a_hot_customer(spark, skew_settings):
         "id", hot("user_id"), F.lit("2024-01-01").cast("date").alias("order_date"),
         F.lit("placed").alias("status"), at,
     )
-    customers = spark.range(5000).select(
+    customers = spark.range(5000).repartition(8).select(
         "id", F.lit("A").alias("first_name"), F.lit("B").alias("last_name"), at
     )
     payments = ids.select(
@@ -88,7 +91,7 @@ def test_anomalies_split_a_hot_stage(spark, skew_settings):
 
 def test_orphans_of_a_hot_key_are_split(spark, skew_settings):
     child = spark.range(0, 40_000, 1, 8).select(hot(), F.sha2(F.col("id").cast("string"), 256).alias("v"))
-    parent = spark.range(100, 5000).withColumnRenamed("id", "p")
+    parent = spark.range(100, 5000).repartition(8).withColumnRenamed("id", "p")
     failures = relationships_failures(child, "k", parent, "p")
     assert "skew=true" in final_plan(failures)
     assert failures.count() == child.filter("k < 100").count()
