@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.numeric import rate
 from millrace.operators.joins import join_splittable
@@ -159,6 +160,27 @@ def retained(log: DataFrame, limit: int = RETAINED) -> DataFrame:
     return newest(log, limit)
 
 
+def append_runs(runs: DataFrame, path: str) -> None:
+    """Append run records to the log folder, in the columns of ``RUN_LOG_SCHEMA``."""
+    fields = T.StructType.fromDDL(RUN_LOG_SCHEMA).fields
+    runs.select(
+        *[
+            (F.col(f.name) if f.name in runs.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in fields
+        ]
+    ).write.mode("append").parquet(path)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RUN_LOG_SCHEMA).parquet(path)
+
+
+def compact_runs(spark: SparkSession, path: str, target: str, limit: int = RETAINED) -> DataFrame:
+    """Write the newest records to another folder, to be used from then on."""
+    retained(read_runs(spark, path), limit).coalesce(1).write.parquet(target)
+    return read_runs(spark, target)
+
+
 def run_rollup(stages: DataFrame) -> DataFrame:
     """Per run: success iff every stage succeeded or was skipped, and the time it took."""
     first, last = F.min("timestamp"), F.max("timestamp")

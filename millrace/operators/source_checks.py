@@ -111,6 +111,24 @@ def _text(df: DataFrame, column: str | None) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 
 
+def _is_text(df: DataFrame, column: str | None) -> bool:
+    return column not in df.columns or isinstance(df.schema[column].dataType, T.StringType)
+
+
+def _missing(df: DataFrame, column: str | None) -> Column:
+    if _is_text(df, column):
+        return is_blank(_text(df, column), T.StringType())
+    return F.col(f"`{column}`").isNull()
+
+
+def _distinct(df: DataFrame, column: str | None) -> Column:
+    """Number of different raw values; all missing values together are one."""
+    if _is_text(df, column):
+        return F.count_distinct(_text(df, column))
+    c = F.col(f"`{column}`")
+    return F.count_distinct(c) + F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))
+
+
 def _violates(df: DataFrame, check: Check) -> Column:
     """True on rows with a non-blank value outside the accepted list (case-sensitive)."""
     value = strip(_text(df, check.column))
@@ -146,10 +164,9 @@ def _row_metrics(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFram
     aggregates: dict[str, Column] = {"n": F.count(F.lit(1))}
     for position, c in checks:
         if c.check_type == "null_rate":
-            blank = is_blank(_text(df, c.column), T.StringType())
-            aggregates[f"blank_{c.column}"] = F.count_if(blank)
+            aggregates[f"blank_{c.column}"] = F.count_if(_missing(df, c.column))
         elif c.check_type == "uniqueness":
-            aggregates[f"distinct_{c.column}"] = F.count_distinct(_text(df, c.column))
+            aggregates[f"distinct_{c.column}"] = _distinct(df, c.column)
         elif c.check_type == "accepted_values":
             aggregates[f"bad_{c.column}_{position}"] = F.count_if(_violates(df, c))
     counted = df.agg(*[a.alias(name) for name, a in aggregates.items()])

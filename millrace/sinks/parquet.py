@@ -11,15 +11,22 @@ LOADED_DATE = "_loaded_date"
 
 
 def write_parquet(
-    df: DataFrame, path: str, compression: str = "snappy", partition_col: str | None = None
+    df: DataFrame,
+    path: str,
+    compression: str = "snappy",
+    partition_col: str | None = None,
+    keep_if_empty: bool = True,
 ) -> int:
     """Replace ``path`` by the rows and return their number; no rows writes nothing.
 
+    Finding out that there are no rows runs the plan up to its first row. Pass
+    ``keep_if_empty=False`` for a plan with a shuffle: then no rows clear the folder.
+
     A partition column the frame lacks is ignored. Rows are gathered by partition value
     before the write, which bounds the number of files; adaptive execution splits the
     share of a dominant value over several tasks.
     """
-    if df.isEmpty():
+    if keep_if_empty and df.isEmpty():
         return 0
     rows = Observation()
     partitioned = partition_col is not None and partition_col in df.columns

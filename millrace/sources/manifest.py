@@ -97,18 +97,18 @@ def extract_source(
         if path is None:
             raise ValueError(f"No path configured for source: {source_name}")
         df = require_columns(read_source(spark, path), source_name)
-        print_ = source_fingerprint(file_checksums(spark, path)).first()
+        content = source_fingerprint(file_checksums(spark, path)).first()
         found = {
-            "byte_count": print_.byte_count,
-            "checksum": print_.checksum,
+            "byte_count": content.byte_count,
+            "checksum": content.checksum,
             "columns": df.columns,
             "success": True,
         }
-        if previous is not None and previous.success and previous.checksum == print_.checksum:
+        if previous is not None and previous.success and previous.checksum == content.checksum:
             return outcome(**found, row_count=previous.row_count, skipped=True)
         rows = Observation()
         df.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-            f"{target}/{print_.checksum}"
+            f"{target}/{content.checksum}"
         )
         return outcome(**found, row_count=rows.get["n"])
     except Exception as exc:

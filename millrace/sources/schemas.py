@@ -38,7 +38,7 @@ _TYPES: dict[str, T.DataType] = {
     "DATE": T.DateType(),
     "TIMESTAMP": T.TimestampNTZType(),
     "FLOAT": T.DoubleType(),
-    "NUMERIC": T.DoubleType(),
+    "NUMERIC": T.DecimalType(18, 3),
     "BOOLEAN": T.BooleanType(),
 }
 

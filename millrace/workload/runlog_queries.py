@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import runlog
+from millrace.session import workspace
 from millrace.workload.registry import query
 from millrace.workload.tables import RUN_LOG_SQL
 from millrace.workload.tables import run_log as read_log
@@ -105,6 +106,18 @@ def run_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.retained(read_log(spark, sf_dir))
 
 
+@query(
+    f"""with {RUN_LOG_SQL} select *, cast(null as varchar) as error from run_log
+  order by {_ORDER} limit 1000"""
+)
+def run_log_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log appended in two parts, then compacted to its newest records."""
+    base, log = workspace(spark, "runs"), read_log(spark, sf_dir)
+    for status in ("failed", "success"):
+        runlog.append_runs(log.filter(F.col("status") == status), f"{base}/log")
+    return runlog.compact_runs(spark, f"{base}/log", f"{base}/compacted")
+
+
 @query(
     f"""with {RUN_LOG_SQL} select run_id, bool_and(status in ('success', 'skipped')) as success,
   count(*) as stages, count(*) filter (where status = 'failed') as failed_stages,
