@@ -23,6 +23,18 @@ class HistoryColumns:
     row_hash: str = "_row_hash"
 
 
+def no_history(incoming: DataFrame, columns: HistoryColumns = HistoryColumns()) -> DataFrame:
+    """An empty history with the columns of a batch: what the first merge starts from."""
+    return incoming.limit(0).withColumns(
+        {
+            columns.effective_from: F.lit(None).cast("timestamp_ntz"),
+            columns.effective_to: F.lit(None).cast("timestamp_ntz"),
+            columns.is_current: F.lit(None).cast("boolean"),
+            columns.row_hash: F.lit(None).cast("string"),
+        }
+    )
+
+
 def merge_history(
     existing: DataFrame,
     incoming: DataFrame,
@@ -41,7 +53,8 @@ def merge_history(
     Repeated keys in the batch resolve to the last by ``incoming_order``, repeated
     current versions to the latest ``effective_from``; ``repeated_current`` lists the
     latter. One full outer join does the work: both sides are deduplicated on the same
-    struct key, in which NULL equals NULL, so each side is shuffled once.
+    struct key, in which NULL equals NULL, so each side is shuffled once. Store the history
+    partitioned by ``is_current``: closed versions then skip the join's scan.
     """
     h = columns
     meta = (h.effective_from, h.effective_to, h.is_current, h.row_hash)

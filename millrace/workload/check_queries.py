@@ -353,10 +353,13 @@ def _column_test_sql(t: tests.ColumnTest) -> str:
   {failures} as failures, {failures} = 0 as passed"""
 
 
-@query(
+COLUMN_TESTS_SQL = (
     f"with {FCT_SQL}, {dim_sql('stg_orders')}, {daily_sql(SPINE_SQL)} "
     + " union all ".join(_column_test_sql(t) for t in tests.model_tests())
 )
+
+
+@query(COLUMN_TESTS_SQL)
 def column_test_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All column tests on raw tables, staging views and written marts."""
     raw = _clean(spark, sf_dir)

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from millrace.functions.numeric import rate
 from millrace.operators.rules import ORDER_RULES
+from millrace.plans.flow import run_flow
 from millrace.session import workspace
 from millrace.sinks import loading, tables
 from millrace.sinks.parquet import append_by_load_date, write_parquet
 from millrace.sources import files, manifest, pages
 from millrace.sources.schemas import RAW_TABLES
 from millrace.streaming import append_stream
+from millrace.workload.check_queries import COLUMN_TESTS_SQL
 from millrace.workload.cleaning_queries import VALID_ORDERS_SQL
 from millrace.workload.registry import query
 from millrace.workload.tables import (
@@ -326,6 +328,14 @@ def changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(COLUMN_TESTS_SQL)
+def full_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files to tested marts."""
+    paths = _csv_sources(spark, sf_dir)
+    w = tables.Warehouse(spark, f"millrace_{uuid.uuid4().hex[:8]}", workspace(spark, "raw"))
+    return run_flow(w, paths, workspace(spark, "marts"), LOADED_AT).tests
+
+
 # --- streaming ---------------------------------------------------------------------------
 
 

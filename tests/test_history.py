@@ -4,7 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from millrace.operators.history import merge_history, repeated_current
+from millrace.operators.history import merge_history, no_history, repeated_current
 
 SCHEMA = (
     "customer_id bigint, name string, tier string, _effective_from timestamp_ntz, "
@@ -104,3 +104,12 @@ def test_repeated_current_lists_keys(spark):
     df = spark.createDataFrame([(1, True), (1, True), (2, True), (2, False)], "k int, _is_current boolean")
     assert rows(repeated_current(df, "k")) == [(1, 2)]
     assert df.filter(F.col("_is_current")).count() == 3
+
+
+def test_first_merge_opens_every_row(spark):
+    batch = spark.createDataFrame([(1, "a", "x"), (2, "b", None)], "customer_id bigint, name string, tier string")
+    got = merged(no_history(batch), batch, T1)
+    assert rows(got) == [
+        (1, "a", "x", T1, None, True, md5("a", "x")), (2, "b", None, T1, None, True, md5("b", None)),
+    ]
+    assert rows(merged(got, batch, T2)) == rows(got)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.rules import ORDER_RULES
+from millrace.plans import run_flow
 from millrace.session import workspace
 from millrace.sinks import loading, tables
 from millrace.sinks.parquet import append_by_load_date, write_parquet
@@ -161,6 +162,28 @@ def test_append_by_load_date(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(_loaded_date" in plan
 
 
+def test_flow_stops_at_failed_checks(spark, tmp_path):
+    texts = {
+        "orders": "id,user_id,order_date,status\n1,1,2018-01-01,placed\n",
+        "customers": "id,first_name,last_name\n1,Michael,P.\n",
+        "payments": "id,order_id,payment_method,amount\n1,1,coupon,1000\n",
+    }
+    paths = {n: str(tmp_path / f"{n}.csv") for n in texts}
+    for n, text in texts.items():
+        (tmp_path / f"{n}.csv").write_text(text)
+    w = tables.Warehouse(spark, f"w_{uuid4().hex[:8]}", str(tmp_path / "w"))
+    result = run_flow(w, paths, str(tmp_path / "marts"), AT)
+    assert [c.check_name for c in result.checks if not c.passed] == [
+        "row_count_min:orders", "row_count_min:customers", "row_count_min:payments",
+    ]
+    assert result.tests.count() == 56 and result.tests.filter("not passed").count() == 0
+    with pytest.raises(RuntimeError, match="3 critical"):
+        run_flow(w, paths, str(tmp_path / "gated"), AT, gate=True)
+    assert not (tmp_path / "gated").exists()
+    with pytest.raises(RuntimeError, match="Load failed for: orders"):
+        run_flow(w, {**paths, "orders": str(tmp_path / "none.csv")}, str(tmp_path / "m"), AT)
+
+
 def test_stream_splits_and_resumes(spark, tmp_path):
     source, out, bad = (str(tmp_path / n) for n in ("in", "out", "bad"))
     schema = "id string, user_id string, order_date string, status string"
