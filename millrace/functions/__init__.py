@@ -4,6 +4,7 @@ from millrace.functions.casts import LENIENT_TYPES, lenient_cast, strict_cast
 from millrace.functions.hashing import checksum16, content_hash, row_hash
 from millrace.functions.numeric import cents_to_dollars, dollars_to_cents, percent_of, rate
 from millrace.functions.text import blank_to_null, is_blank, python_text, strip
+from millrace.functions.time import seconds_between, utc_literal
 
 __all__ = [
     "LENIENT_TYPES",
@@ -18,6 +19,8 @@ __all__ = [
     "python_text",
     "rate",
     "row_hash",
+    "seconds_between",
     "strict_cast",
     "strip",
+    "utc_literal",
 ]

@@ -143,7 +143,9 @@ def model_tests() -> list[ColumnTest]:
         ColumnTest("fct_orders", "order_total_dollars", "accepted_range", min_value=0),
         ColumnTest("metrics_daily", "total_orders", "accepted_range", min_value=0),
         ColumnTest("metrics_daily", "total_revenue_dollars", "accepted_range", min_value=0),
-        ColumnTest("metrics_daily", "return_rate_pct", "accepted_range", min_value=0, max_value=100),
+        ColumnTest(
+            "metrics_daily", "return_rate_pct", "accepted_range", min_value=0, max_value=100
+        ),
     ]
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import row_hash
+from millrace.functions.time import utc_literal
 from millrace.operators.dedup import deduplicate
 
 _KEY = "_millrace_key"
@@ -71,7 +72,7 @@ def merge_history(
     types = {f.name: f.dataType for f in incoming.schema.fields}
     types.update({f.name: f.dataType for f in existing.schema.fields})
     names = [*existing.columns, *[c for c in incoming.columns if c not in existing.columns]]
-    stamp = F.lit(as_of).cast(types[h.effective_from])
+    stamp = utc_literal(as_of).cast(types[h.effective_from])
 
     def pick(source: str, own: Sequence[str], name: str) -> Column:
         if name not in own:

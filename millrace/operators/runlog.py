@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.numeric import rate
+from millrace.functions.time import seconds_between
 from millrace.operators.joins import join_splittable
 
 RUN_LOG_SCHEMA = (
@@ -165,7 +166,9 @@ def append_runs(runs: DataFrame, path: str) -> None:
     fields = T.StructType.fromDDL(RUN_LOG_SCHEMA).fields
     runs.select(
         *[
-            (F.col(f.name) if f.name in runs.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f.name) if f.name in runs.columns else F.lit(None))
+            .cast(f.dataType)
+            .alias(f.name)
             for f in fields
         ]
     ).write.mode("append").parquet(path)
@@ -188,7 +191,7 @@ def run_rollup(stages: DataFrame) -> DataFrame:
         F.bool_and(F.col("status").isin("success", "skipped")).alias("success"),
         F.count(F.lit(1)).alias("stages"),
         F.count_if(F.col("status") == "failed").alias("failed_stages"),
-        (F.timestamp_diff("MICROSECOND", first, last) / F.lit(1e6)).alias("duration_seconds"),
+        seconds_between(first, last).alias("duration_seconds"),
     )
 
 

@@ -212,7 +212,8 @@ def distinct_keys(df: DataFrame, column: str | None) -> DataFrame:
 
 def orphan_keys(child: DataFrame, column: str | None, parent: DataFrame, parent_column: str):
     """Distinct child keys without a parent row, as ``key``."""
-    return distinct_keys(child, column).join(distinct_keys(parent, parent_column), "key", "left_anti")
+    known = distinct_keys(parent, parent_column)
+    return distinct_keys(child, column).join(known, "key", "left_anti")
 
 
 def _reference_metrics(child: DataFrame, parent: DataFrame, position: int, c: Check) -> DataFrame:

@@ -30,7 +30,7 @@ def build_marts(
         "stg_payments": stg_payments(raw["payments"]),
     }
     orders, customers, payments = staged.values()
-    fct = write_mart(fct_orders(orders, customers=customers, payments=payments), f"{base}/fct_orders")
+    fct = write_mart(fct_orders(orders, payments, customers), f"{base}/fct_orders")
     dim = write_mart(dim_customers(customers, orders, payments), f"{base}/dim_customers")
     # A few thousand days: one sorted file.
     daily_path = f"{base}/metrics_daily"

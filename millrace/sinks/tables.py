@@ -17,6 +17,7 @@ from typing import Literal
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.time import utc_literal
 from millrace.operators.dedup import deduplicate
 from millrace.sources.schemas import LOADED_AT, struct_type
 
@@ -57,7 +58,7 @@ def row_count(w: Warehouse, name: str) -> int:
 
 def stamp(df: DataFrame, loaded_at: datetime) -> DataFrame:
     """One load time for all rows."""
-    return df.withColumn(LOADED_AT, F.lit(loaded_at).cast("timestamp_ntz"))
+    return df.withColumn(LOADED_AT, utc_literal(loaded_at))
 
 
 def load_overwrite(
@@ -127,7 +128,9 @@ def _fit(w: Warehouse, name: str, df: DataFrame) -> DataFrame:
         raise ValueError(f"{w.schema}.{name} has no columns {unknown}")
     return df.select(
         *[
-            F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            F.col(f"`{f.name}`")
+            if f.name in df.columns
+            else F.lit(None).cast(f.dataType).alias(f.name)
             for f in fields
         ]
     )

@@ -6,9 +6,9 @@ from collections.abc import Callable, Sequence
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.functions.time import utc_literal
 from millrace.operators.rules import Rule, validate
 from millrace.sources.schemas import LOADED_AT
 
@@ -16,7 +16,7 @@ BATCH = "_batch_id"
 
 
 def _now() -> datetime:
-    return datetime.now(UTC).replace(tzinfo=None)
+    return datetime.now(UTC)
 
 
 def append_stream(
@@ -36,7 +36,7 @@ def append_stream(
     """
 
     def write(df: DataFrame, folder: str, batch_id: int, at: datetime) -> None:
-        stamped = df.withColumn(LOADED_AT, F.lit(at).cast("timestamp_ntz"))
+        stamped = df.withColumn(LOADED_AT, utc_literal(at))
         stamped.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")
 
     def plain(batch: DataFrame, batch_id: int) -> None:

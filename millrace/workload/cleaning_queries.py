@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import row_hash as hash_of
+from millrace.functions.time import utc_literal
 from millrace.operators import cleaning
 from millrace.operators.dedup import deduplicate
 from millrace.operators.history import merge_history
@@ -336,7 +337,8 @@ def invalid_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""with {_PAYMENT_CHECK_SQL} select count(*) as total,
-  count(*) filter (where _errors = '') as valid_count, count(*) filter (where _errors <> '') as invalid_count,
+  count(*) filter (where _errors = '') as valid_count,
+  count(*) filter (where _errors <> '') as invalid_count,
   cast(count(*) filter (where _errors = '') as double) / count(*) as validation_rate from checked"""
 )
 def validation_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,10 +360,8 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("c_custkey").alias("customer_id"),
             F.col("c_name").alias("name"),
             F.col("c_mktsegment").alias("tier"),
-            F.lit(_OPENED).cast("timestamp_ntz").alias("_effective_from"),
-            F.when(F.col("c_nationkey") == 5, F.lit(_AS_OF))
-            .cast("timestamp_ntz")
-            .alias("_effective_to"),
+            utc_literal(_OPENED).alias("_effective_from"),
+            F.when(F.col("c_nationkey") == 5, utc_literal(_AS_OF)).alias("_effective_to"),
             (F.col("c_nationkey") != 5).alias("_is_current"),
             F.lit("stored").alias("_row_hash"),
         )

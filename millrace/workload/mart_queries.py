@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.quantiles import daily_median as exact_median
 from millrace.plans.build import write_mart
 from millrace.plans.marts import dim_customers as build_dim_customers
 from millrace.plans.marts import fct_orders as build_fct_orders
@@ -217,9 +218,7 @@ def metrics_daily_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def daily_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exact median on its own."""
-    from millrace.operators.quantiles import daily_median as exact
-
     fct = _written_facts(spark, sf_dir).withColumn(
         "cents", F.rint(F.col("order_total_dollars") * 100).cast("bigint")
     )
-    return exact(fct, "ordered_at", "cents")
+    return exact_median(fct, "ordered_at", "cents")

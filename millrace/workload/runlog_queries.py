@@ -87,7 +87,8 @@ def run_dashboard_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""with {RUN_LOG_SQL} select count(*) as total_executions,
-  cast(count(*) filter (where status = 'success') as double) / count(*) as overall_success_rate from run_log"""
+  cast(count(*) filter (where status = 'success') as double) / count(*) as overall_success_rate
+  from run_log"""
 )
 def run_dashboard_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.dashboard(read_log(spark, sf_dir)).overall
@@ -136,7 +137,8 @@ _STAGE_ORDER = ("signup", "click", "purchase", "error")
     f"""with {RUN_LOG_SQL}, place as (
   select run_id, timestamp, status,
          list_position(['signup', 'click', 'purchase', 'error'], stage) as step_no from run_log),
-first_failed as (select run_id, min(step_no) filter (where status = 'failed' and step_no > 0) as step_no,
+first_failed as (select run_id,
+  min(step_no) filter (where status = 'failed' and step_no > 0) as step_no,
   max(timestamp) as timestamp from place group by run_id)
 select run_id, unnest(['signup', 'click', 'purchase', 'error'][step_no + 1:]) as stage,
   'skipped' as status, timestamp

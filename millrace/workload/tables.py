@@ -11,6 +11,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.time import utc_literal
+
 LOADED_AT = datetime(2024, 1, 1)
 LOADED_AT_SQL = "timestamp '2024-01-01 00:00:00'"
 
@@ -57,7 +59,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
         _status().alias("status"),
-        F.lit(LOADED_AT).cast("timestamp_ntz").alias("_loaded_at"),
+        utc_literal(LOADED_AT).alias("_loaded_at"),
     )
 
 
@@ -66,7 +68,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("id"),
         F.concat(F.lit(" "), "c_mktsegment").alias("first_name"),
         F.concat("c_name", F.lit("  ")).alias("last_name"),
-        F.lit(LOADED_AT).cast("timestamp_ntz").alias("_loaded_at"),
+        utc_literal(LOADED_AT).alias("_loaded_at"),
     )
 
 
