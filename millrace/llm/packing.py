@@ -117,9 +117,10 @@ def pack(
     whole = F.expr("cut_from = 0 and cut_to = length")
     own = ["part", "class", "local"]
     cut_ids = F.expr("substring(ids, 4 * cut_from + 1, 4 * (cut_to - cut_from))")
-    with_ids = (placed if keep_ids else placed.filter(~whole)).join(
-        pieces.select(*own, "ids"), own
-    )
+    # Cut pieces are few. Written first, their size is known and Spark can send them round
+    # instead of shuffling all token ids.
+    to_cut = staged(placed.filter(~whole), workspace(spark, "packing-cut"))
+    with_ids = (placed if keep_ids else to_cut).join(pieces.select(*own, "ids"), own)
     cut = with_ids.withColumn("ids", cut_ids).withColumn(
         "crc", F.when(whole, F.col("crc")).otherwise(F.crc32("ids"))
     )

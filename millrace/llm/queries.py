@@ -6,10 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.ann import nearest
 from millrace.llm.exact_dedup import exact_groups
+from millrace.llm.language_id import identify, page_evidence, train_text_model
+from millrace.llm.line_dedup import drop_repeated_lines
+from millrace.llm.mixing import cyclic_weights, mix
 from millrace.llm.packing import pack
 from millrace.llm.shared import table
+from millrace.llm.simhash import near_duplicates
 from millrace.llm.token_counts import token_counts
+from millrace.llm.toxicity import score, train
+from millrace.llm.warc import archived_pages
 from millrace.workload.registry import Query, Run
 
 LLM_QUERIES: dict[str, Query] = {}
@@ -25,12 +32,36 @@ def _query(oracle: str | None = None):
     return register
 
 
-LOWER_SQL = """translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                         'abcdefghijklmnopqrstuvwxyz')"""
+def _lower_sql(text: str) -> str:
+    return f"""translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
 
 
 @_query(f"""
-with t as (select doc_id, {LOWER_SQL} as folded from documents)
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos
+  from documents),
+keyed as (
+  select *, {_lower_sql(r"regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')")} as key
+  from lines),
+repeated as (
+  select key, max(doc_id) as largest from keyed where length(key) >= 20
+  group by key having count(distinct doc_id) >= 3),
+marked as (
+  select k.*, coalesce(k.doc_id <> r.largest, false) as gone
+  from keyed k left join repeated r using (key))
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+from marked group by doc_id""")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+@_query(f"""
+with t as (select doc_id, {_lower_sql("coalesce(text, '')")} as folded from documents)
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
        doc_id = max(doc_id) over same as kept, sha256(folded) as text_sha256
 from t window same as (partition by folded)""")
@@ -38,6 +69,60 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+@_query(r"""
+with sized as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size,
+         (cast('0x' || substr(md5('7:' || doc_id), 1, 13) as bigint) + 0.5::double)
+           / 4503599627370496.0::double as random
+  from documents),
+summed as (select source, sum(size)::bigint as source_size from sized group by source),
+weighed as (
+  select *, [1.0::double, 2.0::double, 3.0::double]
+              [(row_number() over (order by source nulls last) - 1) % 3 + 1] as weight,
+         row_number() over (order by source nulls last) as place,
+         3 * source_size::double as filled
+  from summed),
+levelled as (
+  select *, (sum(source_size) over () - coalesce(sum(filled) over ahead, 0.0::double))
+            / (sum(weight) over () - coalesce(sum(weight) over ahead, 0.0::double)) as level
+  from weighed
+  window ahead as (order by filled / weight, place
+                   rows between unbounded preceding and 1 preceding)),
+aimed as (
+  select source, source_size, least(filled, max(level) over () * weight) as target
+  from levelled),
+wanted as (
+  select s.*, a.source_size, a.target,
+         case when a.source_size > 0 then a.target / a.source_size else 0.0::double end as copies
+  from sized s join aimed a on s.source is not distinct from a.source),
+ranked as (
+  select *, floor(copies) as certain, copies - floor(copies) as p,
+         (random / (1 - random)) / ((copies - floor(copies)) / (1 - (copies - floor(copies)))) as ratio
+  from wanted),
+summing as (
+  select *, target - sum(size * certain) over (partition by source) as room,
+         sum(size) over (partition by source
+                         order by case when p > 0 and size > 0 then ratio / (1 + ratio) else 2 end,
+                                  doc_id, size
+                         rows between unbounded preceding and current row) as upto
+  from ranked)
+select doc_id, size::bigint as size, source_size, target,
+       (size * (certain + case when p > 0 and size > 0 and upto - size / 2.0 <= room
+                               then 1 else 0 end))::bigint as taken,
+       (certain + case when p > 0 and size > 0 and upto - size / 2.0 <= room
+                       then 1 else 0 end)::bigint as copies
+from summing""")
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), cyclic_weights(1, 2, 3))
+
+
+@_query()
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = train_text_model(table(spark, sf_dir, "documents"))
+    pages = page_evidence(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    return identify(pages, model).withColumnRenamed("id", "page_id")
+
+
 @_query()
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(
@@ -47,9 +132,49 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("""
+with usable as (
+  select vec_id, embedding::double[] as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_dot_product(c.v, q.v) as score
+  from usable q join usable c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
+ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank
+  from scored)
+select query_id, rank::integer as rank, vec_id, score from ranked where rank <= 20""")
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @_query()
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
     )
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@_query()
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
+@_query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    labels = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", "toxic")
+    scored = score(docs, train(docs, labels))
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@_query()
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))

@@ -38,6 +38,24 @@ def map_batches(df: DataFrame, work: Callable[[Batches], Batches], schema: str)
     return df.mapInArrow(work, schema)
 
 
+def on_group(work: Callable[..., pa.Table], *given) -> Callable[[pa.Table], pa.Table]:
+    """``work`` with its first arguments given, with the annotations ``applyInArrow`` needs."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        return work(*given, rows)
+
+    return run
+
+
+def on_keyed_group(work: Callable[..., pa.Table], *given) -> Callable[..., pa.Table]:
+    """As ``on_group``, for work that takes the key as well."""
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        return work(*given, key, rows)
+
+    return run
+
+
 def staged(df: DataFrame, path: str, **options: str) -> DataFrame:
     """Write ``df`` to shared storage and read it back: later steps start from the files."""
     df.write.options(**options).parquet(path)
