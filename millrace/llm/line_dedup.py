@@ -62,7 +62,7 @@ class LineRuns:
         level = 0
         while len(self.levels[level]) >= self.fanout:
             runs = self.levels[level]
-            merged = self._write(self._merged([self.spark.table(name) for name, _ in runs]))
+            merged = self._write(self._merged(runs))
             self.levels[level] = []
             self._drop(runs)
             level += 1
@@ -72,8 +72,8 @@ class LineRuns:
 
     def repeated(self) -> DataFrame:
         """``hash`` and ``largest`` of the lines that stand in enough documents."""
-        runs = self._tables()
-        return self._merged(runs).filter(F.col("n") >= self.min_docs).select("hash", "largest")
+        every = self._merged([run for runs in self.levels for run in runs])
+        return every.filter(F.col("n") >= self.min_docs).select("hash", "largest")
 
     def close(self) -> None:
         for runs in self.levels:
@@ -83,11 +83,10 @@ class LineRuns:
     def _tables(self) -> list[DataFrame]:
         return [self.spark.table(name) for runs in self.levels for name, _ in runs]
 
-    @staticmethod
-    def _merged(runs: list[DataFrame]) -> DataFrame:
-        every = runs[0]
-        for run in runs[1:]:
-            every = every.unionByName(run)
+    def _merged(self, runs: list[tuple[str, str]]) -> DataFrame:
+        # Read as files: a union of bucketed tables is taken for bucketed, which it is not.
+        schema = self.spark.table(runs[0][0]).schema
+        every = self.spark.read.schema(schema).parquet(*(folder for _, folder in runs))
         return every.groupBy("hash").agg(F.sum("n").alias("n"), F.max("largest").alias("largest"))
 
     def _write(self, run: DataFrame) -> tuple[str, str]:
