@@ -1,10 +1,11 @@
 """Toxicity scores by logistic regression, trained with FTRL-proximal.
 
-Features: hashed single words, pairs of neighbouring words and pairs with one word between,
-each counted once per text. Learning: a bounded sample of labelled rows is dealt over
-``SHARDS`` tasks; each runs FTRL-proximal (McMahan et al., Ad Click Prediction, 2013) over
-its rows, with a learning rate per coordinate and an L1 penalty that keeps most weights at
-zero. The shards' weights are averaged per coordinate. What is left is a sparse table of at
+Features: hashed single words and word beginnings (``STEM`` characters), pairs of neighbouring
+words and pairs with one word between, each counted once per text. Learning: a bounded sample
+of labelled rows is dealt over at most ``SHARDS`` tasks; each runs FTRL-proximal (McMahan et
+al., Ad Click Prediction, 2013) over its rows, with a learning rate per coordinate and an L1
+penalty that keeps most weights at zero. Features of fewer than ``MIN_TEXTS`` texts are left
+out. The shards' weights are averaged per coordinate. What is left is a sparse table of at
 most ``2 ** BITS`` weights, whatever the input, which goes to every task.
 
 A text's score depends on its text only. Null counts as empty and gets the score of the
@@ -30,8 +31,12 @@ BITS = 18
 #: Labelled rows learned from: those with the smallest hash of their id.
 TRAIN_ROWS = 24_000
 SHARDS = 6
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.2, 1.0, 0.5, 1.0
+#: Rows worth a task of their own.
+SHARD_ROWS = 4_000
+EPOCHS = 4
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 1.0
+MIN_TEXTS = 4
+STEM = 5
 
 _BIAS = 0
 _EDGE = b".,;:!?\"'()[]{}|#$%&*@"
@@ -43,6 +48,7 @@ class Features:
 
     def __init__(self, remembered: int = 500_000) -> None:
         self.words: dict[bytes, int] = {}
+        self.stems: dict[bytes, int] = {}
         self.remembered = remembered
 
     def of(self, text: bytes) -> np.ndarray:
@@ -50,12 +56,17 @@ class Features:
         words = text.lower().split()
         if len(self.words) > self.remembered:
             self.words.clear()
-        known = self.words
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh64_intdigest(w.strip(_EDGE))
+            self.stems.clear()
+        known, stems = self.words, self.stems
+        different = set(words)
+        for w in different - known.keys():
+            bare = w.strip(_EDGE)
+            known[w] = xxhash.xxh64_intdigest(bare)
+            stems[w] = xxhash.xxh64_intdigest(bare.decode("utf-8", "replace")[:STEM], 1)
         one = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        stem = np.fromiter(map(stems.__getitem__, different), np.uint64, len(different))
         with np.errstate(over="ignore"):
-            parts = [one, one[:-1] * _NEXT + one[1:], one[:-2] * _SKIP + one[2:]]
+            parts = [one, stem, one[:-1] * _NEXT + one[1:], one[:-2] * _SKIP + one[2:]]
         mixed = np.concatenate(parts)
         mixed ^= mixed >> np.uint64(29)
         with np.errstate(over="ignore"):
@@ -109,16 +120,17 @@ def train(
         .orderBy("turn", "id")
         .limit(rows)
     )
-    share = chosen.agg(F.avg("label")).first()[0] or 0.0
+    chosen_rows, share = chosen.agg(F.count("*"), F.avg("label")).first()
+    share, shards = share or 0.0, max(1, min(SHARDS, chosen_rows // SHARD_ROWS))
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), utf8(text_col).alias("text"))
     examples = texts.join(chosen, "id").withColumn(
-        "shard", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(SHARDS)).cast("int")
+        "shard", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(shards)).cast("int")
     )
     learned = (
         examples.groupBy("shard")
         .applyInArrow(_learn_shard, "at int, weight double")
         .groupBy("at")
-        .agg((F.sum("weight") / SHARDS).alias("weight"))
+        .agg((F.sum("weight") / shards).alias("weight"))
     )
     weights = np.zeros(1 << BITS, dtype=np.float32)
     if 0 < share < 1:
@@ -138,6 +150,10 @@ def _learn_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ):
             examples.append((name, features.of(text).astype(np.int32), label))
     examples.sort(key=lambda e: (e[0], e[1].tobytes()))
+    texts = np.zeros(1 << BITS, dtype=np.int64)
+    for _, at, _ in examples:
+        texts[at] += 1
+    examples = [(name, at[texts[at] >= MIN_TEXTS], label) for name, at, label in examples]
     for _ in range(EPOCHS):
         for _, at, label in examples:
             model.learn(at, label)
