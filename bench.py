@@ -2,7 +2,8 @@
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_RUNS (timed runs per query after one warm-up, default 3; the median counts),
-BENCH_QUERIES (comma-separated names instead of the headline list).
+BENCH_QUERIES (comma-separated names instead of the headline list), BENCH_WORK (folder for
+tables and working files, default bench-work below the current folder).
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -48,7 +48,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = os.environ.get("BENCH_QUERIES", "").split(",")
     names = [n for n in names if n] or list(HEADLINE)
-    work = tempfile.mkdtemp(prefix="millrace-bench-")
+    work = os.path.abspath(os.environ.get("BENCH_WORK", "bench-work"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("millrace-bench")

@@ -33,6 +33,10 @@ def row_hash(schema: T.StructType, columns: Sequence[str], prefix: str = "") ->
 
 
 def content_hash(df: DataFrame) -> Column:
-    """Order-free aggregate hash of a whole frame, for comparing two copies of it."""
+    """Order-free aggregate hash of a whole frame, for comparing two copies of it.
+
+    ``xxhash64`` passes over NULLs, so each column goes in with a flag that tells them.
+    """
     cols = [F.col(f"`{c}`") for c in sorted(df.columns)]
-    return F.sum(F.xxhash64(*cols).cast("decimal(38,0)"))
+    parts = [part for c in cols for part in (c.isNull(), c)]
+    return F.sum(F.xxhash64(*parts).cast("decimal(38,0)"))

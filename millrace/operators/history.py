@@ -6,14 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import row_hash
 from millrace.functions.time import utc_literal
 from millrace.operators.dedup import deduplicate
 
-_KEY = "_millrace_key"
+_KEY, _PLACE, _SUCCESSOR = "_millrace_key", "_millrace_place", "_millrace_successor"
 
 
 @dataclass(frozen=True)
@@ -51,9 +51,10 @@ def merge_history(
     (its stored hash stays) and opens a new one. An unchanged row, a key missing from
     the batch and all closed versions pass through.
 
-    Repeated keys in the batch resolve to the last by ``incoming_order``, repeated
-    current versions to the latest ``effective_from``; ``repeated_current`` lists the
-    latter. One full outer join does the work: both sides are deduplicated on the same
+    Repeated keys in the batch resolve to the last by ``incoming_order``. Of repeated
+    current versions the latest by ``effective_from`` stays current; the older ones are
+    closed where their successor begins (``repeated_current`` lists the keys beforehand).
+    One full outer join does the work: both sides are ranked or deduplicated on the same
     struct key, in which NULL equals NULL, so each side is shuffled once. Store the history
     partitioned by ``is_current``: closed versions then skip the join's scan.
     """
@@ -66,7 +67,19 @@ def merge_history(
         one = deduplicate(df.withColumn(_KEY, F.struct(F.col(key))), [_KEY], order)
         return one.select(_KEY, F.struct(*[F.col(c) for c in df.columns]).alias(alias))
 
-    current = keyed(existing.filter(current_flag), [h.effective_from], "cur")
+    newest_first = Window.partitionBy(_KEY).orderBy(
+        F.col(h.effective_from).desc_nulls_last(),
+        *[F.col(f"`{c}`").desc() for c in existing.columns if c != h.effective_from],
+    )
+    current = (
+        existing.filter(current_flag)
+        .withColumn(_KEY, F.struct(F.col(key)))
+        .withColumn(_SUCCESSOR, F.lag(h.effective_from).over(newest_first))
+        .withColumn(_PLACE, F.row_number().over(newest_first))
+        .select(
+            _KEY, _SUCCESSOR, _PLACE, F.struct(*[F.col(c) for c in existing.columns]).alias("cur")
+        )
+    )
     batch = keyed(incoming, list(incoming_order), "inc")
 
     types = {f.name: f.dataType for f in incoming.schema.fields}
@@ -98,6 +111,10 @@ def merge_history(
     opened = version("inc", [c for c in incoming.columns if c not in meta], opened_values)
     kept = version("cur", existing.columns, {})
     ended = version("cur", existing.columns, closing_values)
+    successor = F.col(_SUCCESSOR).cast(types[h.effective_to])
+    older = version(
+        "cur", existing.columns, {h.effective_to: successor, h.is_current: F.lit(False)}
+    )
 
     same = F.lit(True)
     for c in tracked:
@@ -107,6 +124,7 @@ def merge_history(
 
     versions = (
         F.when(F.col("cur").isNull(), F.array(opened))
+        .when(F.col(_PLACE) > 1, F.array(older))
         .when(F.col("inc").isNull() | same, F.array(kept))
         .otherwise(F.array(ended, opened))
     )

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.casts import iso_date
 from millrace.functions.numeric import rate
+from millrace.functions.report import report, report_column
 from millrace.functions.text import is_blank, strip
 
 
@@ -37,17 +38,14 @@ def check_completeness(
     counts = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(filled).alias("complete"))
     n, complete = F.col("n"), F.col("complete")
     share = rate(complete, n)
-    text = F.format_string(
-        "Completeness: %.1f%% (%d/%d complete for %s)",
-        share * 100, complete, n, F.lit(str(list(required))),
-    )
+    text = report_column(f"complete in {', '.join(required)}", complete, n, f"{threshold:.2%}")
     return counts.select(
         *_result(
             "completeness",
             (n > 0) & (share >= threshold),
             share,
             threshold,
-            F.when(n == 0, F.lit("No records to check")).otherwise(text),
+            text,
         )
     )
 
@@ -64,17 +62,14 @@ def check_unique_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
     n, unique = F.col("n"), F.col("unique")
     duplicates = rate(n - unique, n)
-    text = F.format_string(
-        "Uniqueness on %s: %d/%d unique (%.2f%% duplicate)",
-        F.lit(str(list(keys))), unique, n, duplicates * 100,
-    )
+    text = report_column(f"repeated in {', '.join(keys)}", n - unique, n)
     return counts.select(
         *_result(
             "uniqueness",
             n == unique,
             duplicates,
             0.0,
-            F.when(n == 0, F.lit("No records to check")).otherwise(text),
+            text,
         )
     )
 
@@ -97,8 +92,8 @@ def check_freshness(
     newest = df.agg(F.count(F.lit(1)).alias("n"), F.max(day).alias("newest"))
     age = F.datediff(F.lit(reference_date), F.col("newest"))
     text = F.format_string(
-        "Freshness: most recent date is %s (%d days old, max %d)",
-        F.col("newest").cast("string"), age, F.lit(max_age_days),
+        f"newest {date_column}: %s, %d days old, limit {max_age_days} days",
+        F.col("newest").cast("string"), age,
     )
     return newest.select(
         *_result(
@@ -106,11 +101,8 @@ def check_freshness(
             F.coalesce(age <= max_age_days, F.lit(False)),
             F.coalesce(age.cast("double"), F.lit(float("inf"))),
             float(max_age_days),
-            F.when(F.col("n") == 0, F.lit("No records to check freshness"))
-            .when(
-                F.col("newest").isNull(),
-                F.lit(f"No valid dates found in column '{date_column}'"),
-            )
+            F.when(F.col("n") == 0, F.lit(report(f"newest {date_column}", whole=0)))
+            .when(F.col("newest").isNull(), F.lit(f"newest {date_column}: no date among the rows"))
             .otherwise(text),
         )
     )

@@ -1,6 +1,6 @@
 """Statistics, anomalies and rollups over a table of stage runs.
 
-Columns: ``run_id, stage, status, duration_seconds, timestamp, row_count, error``.
+Columns: ``run_id, stage, status, duration_seconds, timestamp, row_count, error, metadata``.
 The position of a record in the log is ``(timestamp, run_id, stage)``.
 """
 
@@ -15,16 +15,15 @@ from pyspark.sql import types as T
 
 from millrace.functions.numeric import rate
 from millrace.functions.time import seconds_between
-from millrace.operators.joins import join_splittable
+from millrace.session import workspace
 
 RUN_LOG_SCHEMA = (
     "run_id string, stage string, status string, duration_seconds double, "
-    "timestamp timestamp_ntz, row_count bigint, error string"
+    "timestamp timestamp_ntz, row_count bigint, error string, metadata map<string,string>"
 )
 POSITION = ("timestamp", "run_id", "stage")
 STATS_WINDOW = 20
 RECENT_RUNS = 5
-RETAINED = 1000
 STAGES = ("extract", "load", "transform", "quality")
 
 _AGE = "_millrace_age"
@@ -49,19 +48,27 @@ def _recent(log: DataFrame, limit: int) -> DataFrame:
 
 
 def stage_history(log: DataFrame, stage: str | None = None, limit: int = STATS_WINDOW) -> DataFrame:
-    """The newest records per stage (or of one stage), to be read oldest first."""
+    """The newest records per stage (or of one stage), oldest first."""
     if stage is not None:
         log = log.filter(F.col("stage") == stage)
-    return _recent(log, limit).drop(_AGE)
+    return _recent(log, limit).drop(_AGE).orderBy("stage", *POSITION[:2], *_ties(log))
 
 
-def stage_stats(log: DataFrame, limit: int = STATS_WINDOW) -> DataFrame:
+def stage_stats(
+    log: DataFrame, limit: int = STATS_WINDOW, stages: Sequence[str] = ()
+) -> DataFrame:
     """Per stage: mean and sample deviation over the successes among its newest records.
 
     ``success_rate`` is relative to all of those records. A deviation of fewer than two
-    values is 0.
+    values is 0. A stage named in ``stages`` without a record has zeros throughout.
     """
-    return _stats(_recent(log, limit))
+    found = _stats(_recent(log, limit))
+    if not stages:
+        return found
+    asked = F.explode(F.array(*[F.lit(s) for s in dict.fromkeys(stages)])).alias("stage")
+    absent = log.sparkSession.range(1).select(asked).join(found, "stage", "left_anti")
+    zeros = [F.lit(0.0).alias(c) for c in found.columns if c != "stage"]
+    return found.unionByName(absent.select("stage", *zeros))
 
 
 def _stats(recent: DataFrame, *extra) -> DataFrame:
@@ -107,12 +114,11 @@ def anomalies(records: DataFrame, stats: DataFrame) -> DataFrame:
         )
 
     duration_text = F.format_string(
-        "Stage '%s' duration %.2fs is outside expected range [%.2fs, %.2fs]",
-        F.col("stage"), took, low, high,
+        "%s: took %.2f s, usual is %.2f s to %.2f s", F.col("stage"), took, low, high
     )
     rows_text = F.format_string(
-        "Stage '%s' produced %d rows, expected at least %.0f (avg: %.0f)",
-        F.col("stage"), rows, expected_rows, F.col("avg_row_count"),
+        "%s: %d rows, usual is %.0f and the least is %.0f",
+        F.col("stage"), rows, F.col("avg_row_count"), expected_rows,
     )
     found = F.array_compact(
         F.array(
@@ -120,7 +126,11 @@ def anomalies(records: DataFrame, stats: DataFrame) -> DataFrame:
             F.when(few, finding("row_count", rows, expected_rows, F.lit(float("inf")), rows_text)),
         )
     )
-    joined = join_splittable(records, stats, "stage", "inner").filter(slow | few)
+    # One row per stage: written first, its size is known and the records are not shuffled.
+    path = workspace(stats.sparkSession, "stage-stats")
+    stats.coalesce(1).write.parquet(path)
+    known = stats.sparkSession.read.schema(stats.schema).parquet(path)
+    joined = records.join(known, "stage").filter(slow | few)
     return joined.select(
         *[F.col(c) for c in records.columns if c in POSITION], F.inline(found)
     )
@@ -156,14 +166,20 @@ def newest(log: DataFrame, limit: int) -> DataFrame:
     return log.orderBy(*_newest_first(_ties(log))).limit(limit)
 
 
-def retained(log: DataFrame, limit: int = RETAINED) -> DataFrame:
+def retained(log: DataFrame, limit: int) -> DataFrame:
     """What compaction keeps: the newest ``limit`` records of the log."""
     return newest(log, limit)
 
 
 def append_runs(runs: DataFrame, path: str) -> None:
-    """Append run records to the log folder, in the columns of ``RUN_LOG_SCHEMA``."""
+    """Append run records to the log folder, in the columns of ``RUN_LOG_SCHEMA``.
+
+    Other columns are refused: what they hold goes into ``metadata``.
+    """
     fields = T.StructType.fromDDL(RUN_LOG_SCHEMA).fields
+    unknown = sorted(set(runs.columns) - {f.name for f in fields})
+    if unknown:
+        raise ValueError(f"the run log has no columns {unknown}; put them into metadata")
     runs.select(
         *[
             (F.col(f.name) if f.name in runs.columns else F.lit(None))
@@ -178,7 +194,7 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_LOG_SCHEMA).parquet(path)
 
 
-def compact_runs(spark: SparkSession, path: str, target: str, limit: int = RETAINED) -> DataFrame:
+def compact_runs(spark: SparkSession, path: str, target: str, limit: int) -> DataFrame:
     """Write the newest records to another folder, to be used from then on."""
     retained(read_runs(spark, path), limit).coalesce(1).write.parquet(target)
     return read_runs(spark, target)

@@ -12,11 +12,18 @@ from dataclasses import asdict, dataclass, field
 from functools import reduce
 from typing import Any
 
+from pyspark.errors import (
+    AnalysisException,
+    ArithmeticException,
+    DateTimeException,
+    PySparkException,
+)
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.numeric import rate
+from millrace.functions.report import report
 from millrace.functions.text import is_blank, strip
 from millrace.operators.rules import ORDER_STATUSES, PAYMENT_METHODS
 
@@ -237,12 +244,12 @@ def _failed_metrics(spark: SparkSession, rows: list[tuple[int, Check, str]]) ->
             (
                 position,
                 f"{c.check_type}:{c.source_name}.{c.column or '*'}"
-                if problem.startswith("Source not found")
+                if problem.startswith("source ")
                 else c.name,
                 c.source_name,
                 c.check_type,
                 False,
-                "error" if problem.startswith("Unknown check type") else c.severity,
+                "error" if problem.startswith("unknown check type") else c.severity,
                 None,
                 None if c.threshold is None else float(c.threshold),
                 None,
@@ -268,11 +275,11 @@ def check_metrics(
     failed: list[tuple[int, Check, str]] = []
     for position, c in enumerate(checks):
         if c.source_name not in sources:
-            failed.append((position, c, f"Source not found: {c.source_name}"))
+            failed.append((position, c, report(f"source {c.source_name} not found")))
         elif c.check_type == "referential_integrity":
             parent = c.params.get("reference_source", "")
             if parent not in sources:
-                failed.append((position, c, f"Reference source not found: {parent}"))
+                failed.append((position, c, report(f"reference source {parent} not found")))
             else:
                 frames.append(
                     _reference_metrics(sources[c.source_name], sources[parent], position, c)
@@ -280,7 +287,7 @@ def check_metrics(
         elif c.check_type in ROW_CHECKS:
             by_source.setdefault(c.source_name, []).append((position, c))
         else:
-            failed.append((position, c, f"Unknown check type: {c.check_type}"))
+            failed.append((position, c, report(f"unknown check type {c.check_type}")))
     frames = [_row_metrics(sources[s], cs) for s, cs in by_source.items()] + frames
     if failed or not frames:
         frames.append(_failed_metrics(spark, failed))
@@ -304,46 +311,45 @@ def _first(keys: DataFrame) -> list[str]:
     return [r.key for r in keys.orderBy("key").limit(SAMPLE_SIZE).collect()]
 
 
+#: What the counted part of a check's rows is.
+_PARTS = {
+    "null_rate": "missing values",
+    "uniqueness": "repeated values",
+    "accepted_values": "refused values",
+    "referential_integrity": "orphans",
+}
+
+
 def _message(c: Check, m: Row, sources: Mapping[str, DataFrame]) -> str:
     if m.problem:
         return m.problem
-    share, limit = m.metric_value, float(c.threshold or 0.0)
-    if c.check_type == "null_rate":
-        if m.whole == 0:
-            return f"No rows to check for column '{c.column}'"
-        sign = "<=" if m.passed else ">"
-        return f"Null rate for '{c.column}': {share:.2%} ({sign} threshold {limit:.2%})"
+    limit = float(c.threshold or 0.0)
     if c.check_type == "row_count_min":
-        sign = ">=" if m.passed else "<"
-        return f"Row count: {m.part} ({sign} minimum {int(limit)})"
+        return report(f"rows in {c.source_name}", m.part, limit=f"{limit:.0f} at least")
     if c.check_type == "schema_match":
         expected = set(c.params.get("expected_columns", []))
         actual = set(sources[c.source_name].columns)
-        parts = [f"Schema match: {share:.0%}"]
-        if expected - actual:
-            parts.append(f"missing: {sorted(expected - actual)}")
-        if actual - expected:
-            parts.append(f"extra: {sorted(actual - expected)}")
-        return ". ".join(parts)
+        absent, surplus = sorted(expected - actual), sorted(actual - expected)
+        return "; ".join(
+            report(f"{kind} columns of {c.source_name}", len(names), sample=names)
+            for kind, names in (("missing", absent), ("surplus", surplus))
+            if names or kind == "missing"
+        )
+    part, whole, sample = m.part, m.whole, []
     if c.check_type == "uniqueness":
-        if m.whole == 0:
-            return f"No rows to check uniqueness for '{c.column}'"
-        return (
-            f"Uniqueness for '{c.column}': {m.part}/{m.whole} unique values "
-            f"({share:.2%} duplicate rate)"
+        part = whole - part
+    elif c.check_type == "null_rate":
+        part = round(m.metric_value * whole)
+        if c.column not in sources[c.source_name].columns:
+            return report(f"{c.column} is no column of {c.source_name}")
+    elif not m.passed and c.check_type == "accepted_values":
+        sample = sample_violations(sources[c.source_name], c)
+    elif not m.passed:
+        sample = sample_orphans(
+            sources[c.source_name], sources[c.params["reference_source"]], c
         )
-    if c.check_type == "accepted_values":
-        if m.whole == 0:
-            return f"No rows to check accepted values for '{c.column}'"
-        text = f"Accepted values for '{c.column}': {m.part}/{m.whole} violations ({share:.2%})"
-        if not m.passed:
-            text += f". Invalid values: {sample_violations(sources[c.source_name], c)}"
-        return text
-    text = f"Referential integrity '{c.column}': {m.part}/{m.whole} orphaned records ({share:.2%})"
-    if not m.passed:
-        parent = sources[c.params["reference_source"]]
-        text += f". Orphaned values: {sample_orphans(sources[c.source_name], parent, c)}"
-    return text
+    what = f"{_PARTS[c.check_type]} in {c.source_name}.{c.column}"
+    return report(what, part, whole, f"{limit:.2%}", sample)
 
 
 def run_checks(
@@ -353,27 +359,40 @@ def run_checks(
 ) -> list[CheckResult]:
     """Run the checks and return their results in the given order.
 
-    If the joint job fails, each check is run alone, so that one broken source turns
-    into failed results and the others still report.
+    If the joint job fails over the data or its columns, each check is run alone, so that
+    one broken source turns into failed results and the others still report. Failures of the
+    cluster are raised.
     """
     checks = default_checks() if checks is None else list(checks)
     try:
         measured = {r.position: r for r in check_metrics(spark, sources, checks).collect()}
         return [_to_result(c, measured[i], sources) for i, c in enumerate(checks)]
-    except Exception:
+    except PySparkException as exc:
+        if not _is_about_data(exc):
+            raise
         return [_run_alone(spark, sources, c) for c in checks]
 
 
+def _is_about_data(exc: PySparkException) -> bool:
+    """An unresolved plan, or an error that an expression or a reader raises for its input."""
+    if isinstance(exc, (AnalysisException, ArithmeticException, DateTimeException)):
+        return True
+    condition = exc.getCondition() or ""
+    return condition.startswith(("CAST_", "INVALID_", "FAILED_READ_FILE", "MALFORMED_", "USER_RAISED"))
+
+
 def _run_alone(spark: SparkSession, sources: Mapping[str, DataFrame], c: Check) -> CheckResult:
     try:
         return _to_result(c, check_metrics(spark, sources, [c]).collect()[0], sources)
-    except Exception as exc:
+    except PySparkException as exc:
+        if not _is_about_data(exc):
+            raise
         return CheckResult(
             check_name=f"{c.check_type}:{c.source_name}",
             source_name=c.source_name,
             passed=False,
             severity="error",
-            message=f"Check raised exception: {exc}",
+            message=report(f"the check ended in an exception ({exc})"),
         )
 
 

@@ -192,12 +192,11 @@ def metrics_daily(fct: DataFrame, calendar: bool = False) -> DataFrame:
     medians = daily_median(fct, "ordered_at", "total_cents").select(
         F.col("day").alias("date_day"), F.col("median").alias("median_cents")
     )
-    days = _calendar(fct) if calendar else _days(fct)
     so_far = Window.orderBy("date_day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     orders, revenue = _count_or_zero("total_orders"), _count_or_zero("revenue_cents")
     zero = F.lit(0.0)
     return (
-        days.join(daily, "date_day", "left")
+        (_calendar(fct).join(daily, "date_day", "left") if calendar else daily)
         .join(medians, "date_day", "left")
         .select(
             "date_day",
@@ -226,11 +225,6 @@ def metrics_daily(fct: DataFrame, calendar: bool = False) -> DataFrame:
     )
 
 
-def _days(fct: DataFrame) -> DataFrame:
-    """The days with an order."""
-    return fct.select(F.col("ordered_at").alias("date_day")).distinct()
-
-
 def _calendar(fct: DataFrame) -> DataFrame:
     """Every day from the first to the last order."""
     span = fct.agg(F.min("ordered_at").alias("first"), F.max("ordered_at").alias("last"))

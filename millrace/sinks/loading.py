@@ -75,7 +75,7 @@ def verify_load(w: Warehouse, name: str, expected_rows: int) -> LoadVerification
         expected_rows=expected_rows,
         actual_rows=actual,
         rows_match=actual == expected_rows,
-        message=f"Load verification for {table}: expected {expected_rows} rows, found {actual}",
+        message=f"{table}: {expected_rows} rows written, {actual} found",
     )
 
 
@@ -105,8 +105,13 @@ def compare_content(expected: DataFrame, actual: DataFrame) -> DataFrame:
     )
 
 
-def load_source(w: Warehouse, source_name: str, path: str, loaded_at: datetime) -> LoadResult:
-    """Read, cast, load and verify one CSV source; failures are reported, not raised."""
+def load_source(
+    w: Warehouse, source_name: str, path: str, loaded_at: datetime, multiline: bool = False
+) -> LoadResult:
+    """Read, cast, load and verify one CSV source; failures are reported, not raised.
+
+    ``multiline``: fields may hold line breaks inside quotes.
+    """
     started = datetime.now()
 
     def outcome(rows: int, success: bool, error: str | None = None) -> LoadResult:
@@ -115,7 +120,7 @@ def load_source(w: Warehouse, source_name: str, path: str, loaded_at: datetime)
 
     columns = RAW_TABLES.get(source_name)
     try:
-        raw = read_csv(w.spark, path)
+        raw = read_csv(w.spark, path, multiline)
         if columns is None:
             return outcome(0, False, f"No schema defined for source: {source_name}")
         create_schema(w)
@@ -134,10 +139,14 @@ def load_source(w: Warehouse, source_name: str, path: str, loaded_at: datetime)
 
 
 def load_all(
-    w: Warehouse, paths: Mapping[str, str], loaded_at: datetime
+    w: Warehouse, paths: Mapping[str, str], loaded_at: datetime, multiline: bool = False
 ) -> list[LoadResult]:
     """Load every declared source that has a path, one after the other."""
-    return [load_source(w, name, paths[name], loaded_at) for name in RAW_TABLES if name in paths]
+    return [
+        load_source(w, name, paths[name], loaded_at, multiline)
+        for name in RAW_TABLES
+        if name in paths
+    ]
 
 
 def results_frame(spark: SparkSession, results: Sequence[LoadResult]) -> DataFrame:

@@ -116,10 +116,30 @@ def load_upsert(
     else:
         keyed = deduplicate(keyed, keys, order_by, keep="first")
         fresh = keyed.join(target.select(*keys), list(keys), "left_anti")
-        merged = target.unionByName(fresh.select(*target.columns))
+        # Stored rows stay where they are: only the new ones are written.
+        added = fresh.select(*target.columns).unionByName(keyless)
+        added.write.insertInto(f"{w.schema}.{name}")
+        return row_count(w, name)
     return _replace(w, name, merged.unionByName(keyless), "keep")
 
 
+def remove_unused_folders(w: Warehouse, name: str) -> int:
+    """Delete the data folders that the table no longer points to; returns their number.
+
+    Call it when no plan that still reads an older state of the table is running.
+    """
+    spark = w.spark
+    described = spark.sql(f"DESCRIBE FORMATTED {w.table(name)}").filter("col_name = 'Location'")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    base = path(f"{w.base.rstrip('/')}/{name}")
+    store = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    current = store.makeQualified(path(described.first().data_type)).toString()
+    old = [f.getPath() for f in store.listStatus(base) if f.getPath().toString() != current]
+    for folder in old:
+        store.delete(folder, True)
+    return len(old)
+
+
 def _fit(w: Warehouse, name: str, df: DataFrame) -> DataFrame:
     """The columns of the table in its order; columns it does not have are refused."""
     fields = w.spark.table(w.table(name)).schema.fields

@@ -47,12 +47,15 @@ def read_query(
     source_name: str,
     fetch_size: int = FETCH_SIZE,
     split: Split | None = None,
+    in_one_task: bool = False,
 ) -> DataFrame:
     """Rows of a named query; filters and columns chosen later are pushed down.
 
-    Without ``split`` the read is one task, so give one for anything large.
+    A read without ``split`` is one task's work and has to be asked for by ``in_one_task``.
     """
     if source_name not in queries:
         raise ValueError(f"No query configured for source: {source_name}")
+    if split is None and not in_one_task:
+        raise ValueError("give a split, or ask for a read in_one_task")
     options = jdbc_options(connection, queries[source_name], fetch_size, split)
     return spark.read.format("jdbc").options(**options).load()

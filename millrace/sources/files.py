@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from pathlib import PurePosixPath
+from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.sources.schemas import EXPECTED_COLUMNS
@@ -17,60 +20,130 @@ def read_csv(
     multiline: bool = False,
     malformed: str | None = None,
 ) -> DataFrame:
-    """All columns as text, named by the header. An empty field is NULL.
+    """All columns as text, named by each file's own header. An empty field is NULL.
 
+    Files may order their columns differently or lack some; what a file lacks is NULL.
     ``malformed`` names an extra column that holds the raw line of rows with too few or
     too many fields. ``multiline`` allows line breaks inside quoted fields at the price
     of one task per file.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("encoding", "UTF-8")
-        .option("escape", '"')
-        .option("multiLine", multiline)
-    )
-    df = reader.csv(path)
+
+    def reader():
+        return (
+            spark.read.option("header", True)
+            .option("encoding", "UTF-8")
+            .option("escape", '"')
+            .option("multiLine", multiline)
+        )
+
+    def load(files: str | list[str]) -> DataFrame:
+        df = reader().csv(files)
+        if malformed is None:
+            return df
+        schema = T.StructType([*df.schema.fields, T.StructField(malformed, T.StringType())])
+        return reader().schema(schema).option("columnNameOfCorruptRecord", malformed).csv(files)
+
+    alike = _files_by_header(spark, path)
+    if len(alike) < 2:
+        return load(path)
+    frames = [load(files) for files in alike]
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     if malformed is None:
         return df
-    schema = T.StructType([*df.schema.fields, T.StructField(malformed, T.StringType())])
-    return reader.schema(schema).option("columnNameOfCorruptRecord", malformed).csv(path)
+    return df.select(*[c for c in df.columns if c != malformed], malformed)
 
 
-def read_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """An array of objects or one object per file, or one object per line.
+def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files of a source that share their first line, in groups.
 
-    The columns are the union of all keys. Use ``lines`` for large data: an array file
-    is one task.
+    Only the first block of each file is looked at, and one row per file comes back.
     """
+    first_lines = (
+        spark.read.text(path)
+        .select("value", "_metadata.file_path", "_metadata.file_block_start")
+        .filter("file_block_start = 0")
+        .withColumn("at", F.monotonically_increasing_id())
+        .groupBy("file_path")
+        .agg(F.min_by("value", "at").alias("header"))
+    )
+    groups = first_lines.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("f"))
+    return [r.f for r in groups.orderBy("header").collect()]
+
+
+JsonLayout = Literal["document", "lines"]
+
+
+def read_json(
+    spark: SparkSession, path: str, lines: bool = False, layout: JsonLayout | None = None
+) -> DataFrame:
+    """``document``: each file is an array of objects or one object. ``lines``: one per line.
+
+    The columns are the union of all keys. Use ``lines`` for large data: a document is one
+    task. A file of lines is refused as a document, since only its first line would be read.
+    """
+    lines = lines if layout is None else layout == "lines"
+    if not lines:
+        _require_documents(spark, path)
     return spark.read.option("multiLine", not lines).json(path)
 
 
+def _require_documents(spark: SparkSession, path: str) -> None:
+    text = spark.read.text(path, wholetext=True).select("value", "_metadata.file_path")
+    parts = text.select("file_path", F.split(F.trim("value"), r"\s*\n\s*", 2).alias("part"))
+    first, rest = F.col("part")[0], F.col("part")[1]
+    # A document over several lines has a first line that is no value by itself.
+    lined = parts.filter(
+        (F.size("part") > 1) & rest.startswith("{") & F.try_parse_json(first).isNotNull()
+    ).first()
+    if lined is not None:
+        raise ValueError(f"{lined.file_path} holds one object per line; read it as lines")
+
+
+def write_json_lines(df: DataFrame, path: str, compression: str = "none") -> None:
+    """One JSON object per row and line; NULL fields are written."""
+    df.write.option("ignoreNullFields", False).option("compression", compression).json(path)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-_READERS = {".csv": read_csv, ".json": read_json, ".parquet": read_parquet}
-
+def read_source(
+    spark: SparkSession,
+    path: str,
+    multiline: bool = False,
+    json_layout: JsonLayout = "document",
+) -> DataFrame:
+    """Choose the reader by the lower-cased suffix: .csv, .json, .jsonl, .ndjson, .parquet.
 
-def read_source(spark: SparkSession, path: str) -> DataFrame:
-    """Choose the reader by the lower-cased suffix."""
+    ``multiline``: line breaks in quoted CSV fields. ``json_layout``: how .json is laid out.
+    """
     suffix = PurePosixPath(path.rstrip("/")).suffix.lower()
-    if suffix not in _READERS:
-        raise ValueError(f"Unsupported file format: {suffix}")
-    return _READERS[suffix](spark, path)
+    if suffix == ".csv":
+        return read_csv(spark, path, multiline)
+    if suffix == ".json":
+        return read_json(spark, path, layout=json_layout)
+    if suffix in (".jsonl", ".ndjson"):
+        return read_json(spark, path, layout="lines")
+    if suffix == ".parquet":
+        return read_parquet(spark, path)
+    raise ValueError(f"Unsupported file format: {suffix}")
 
 
 def require_columns(
-    df: DataFrame, source_name: str, expected: Sequence[str] | None = None
+    df: DataFrame,
+    source_name: str,
+    expected: Sequence[str] | None = None,
+    with_rows: bool = True,
 ) -> DataFrame:
-    """Raise when declared columns are missing or there is no row; extra columns pass."""
+    """Raise when declared columns are missing or there is no row; extra columns pass.
+
+    Without ``with_rows`` the rows are not looked at.
+    """
     wanted = EXPECTED_COLUMNS.get(source_name, []) if expected is None else expected
     missing = sorted(set(wanted) - set(df.columns))
     if missing:
-        raise ValueError(
-            f"Schema validation failed for {source_name}: missing columns {missing}. "
-            f"Got: {df.columns}"
-        )
-    if df.isEmpty():
+        raise ValueError(f"{source_name}: missing columns {missing} among {df.columns}")
+    if with_rows and df.isEmpty():
         raise ValueError(f"No data rows found in {source_name}")
     return df

@@ -10,41 +10,45 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import checksum16
-from millrace.sources.files import read_source, require_columns
+from millrace.sources.files import JsonLayout, read_source, require_columns
 
 MANIFEST_SCHEMA = (
     "source_name string, path string, row_count bigint, byte_count bigint, checksum string, "
     "columns array<string>, success boolean, error string, duration_seconds double, "
     "extracted_at timestamp_ntz, skipped boolean"
 )
-MAX_HASHED_BYTES = 1 << 28
 
 
-def file_checksums(
-    spark: SparkSession, paths: str | Sequence[str], max_hashed_bytes: int = MAX_HASHED_BYTES
-) -> DataFrame:
-    """One row per file: ``path, length, checksum``.
+def file_checksums(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """One row per file: ``path, length, checksum``, by one rule for files of every size.
 
-    A file goes through one task whole, so files above ``max_hashed_bytes`` are told
-    apart by length and modification time instead. The length test is pushed into the
-    scan: the content of such a file is never read.
+    The checksum is the sum of the first 64 bits of the SHA-256 of the file's lines, modulo
+    2**64, in hexadecimal; for one line that is the start of its SHA-256. Any number of
+    tasks read a file, and none holds it. The order of lines does not matter. Spark passes
+    over files without content.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-    )
-    small = files.filter(F.col("length") <= max_hashed_bytes).select(
-        "path", "length", checksum16(F.col("content")).alias("checksum")
+    lines = (
+        spark.read.option("recursiveFileLookup", "true")
+        .text(paths)
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_size").alias("length"),
+            F.conv(checksum16(F.col("value").cast("binary")), 16, 10)
+            .cast("decimal(20,0)")
+            .alias("part"),
+        )
     )
-    mark = F.concat_ws(":", F.col("length"), F.unix_micros("modificationTime"))
-    large = files.filter(F.col("length") > max_hashed_bytes).select(
-        "path", "length", checksum16(mark.cast("binary")).alias("checksum")
+    summed = lines.groupBy("path", "length").agg(F.sum("part").alias("total"))
+    low = (F.col("total") % F.lit(str(2**64)).cast("decimal(38,0)")).cast("string")
+    return summed.select(
+        "path", "length", F.lower(F.lpad(F.conv(low, 10, 16), 16, "0")).alias("checksum")
     )
-    return small.unionByName(large)
 
 
 def changed_files(current: DataFrame, seen: DataFrame) -> DataFrame:
-    """Files whose path and checksum are not in an earlier ``file_checksums`` result."""
-    return current.join(seen.select("path", "checksum"), ["path", "checksum"], "left_anti")
+    """Files that an earlier ``file_checksums`` result does not have with the same content."""
+    own = ["path", "length", "checksum"]
+    return current.join(seen.select(*own), own, "left_anti")
 
 
 def source_fingerprint(files: DataFrame) -> DataFrame:
@@ -69,10 +73,13 @@ def extract_source(
     landing: str,
     extracted_at: datetime,
     previous: Row | None = None,
+    multiline: bool = False,
+    json_layout: JsonLayout = "document",
 ) -> Row:
     """Land one source as Parquet and return its manifest row.
 
-    Unchanged content is not written again. A failure becomes a manifest row.
+    The content is read once for its fingerprint and, if that is new, once more to write and
+    count its rows. A failure becomes a manifest row.
     """
     started = datetime.now()
     target = f"{landing.rstrip('/')}/{source_name}"
@@ -96,7 +103,9 @@ def extract_source(
     try:
         if path is None:
             raise ValueError(f"No path configured for source: {source_name}")
-        df = require_columns(read_source(spark, path), source_name)
+        df = require_columns(
+            read_source(spark, path, multiline, json_layout), source_name, with_rows=False
+        )
         content = source_fingerprint(file_checksums(spark, path)).first()
         found = {
             "byte_count": content.byte_count,
@@ -104,12 +113,18 @@ def extract_source(
             "columns": df.columns,
             "success": True,
         }
-        if previous is not None and previous.success and previous.checksum == content.checksum:
+        same = previous is not None and previous.success
+        if same and (previous.byte_count, previous.checksum) == (
+            content.byte_count,
+            content.checksum,
+        ):
             return outcome(**found, row_count=previous.row_count, skipped=True)
         rows = Observation()
         df.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
             f"{target}/{content.checksum}"
         )
+        if rows.get["n"] == 0:
+            raise ValueError(f"No data rows found in {source_name}")
         return outcome(**found, row_count=rows.get["n"])
     except Exception as exc:
         return outcome(error=str(exc))

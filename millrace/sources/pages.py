@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import join_splittable
+from millrace.session import workspace
 
 # The keys that may hold the records of a page, in order of preference.
 ENVELOPE_KEYS = ("data", "results", "items", "records")
-PAGE_SIZE = 100
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -45,34 +45,36 @@ def unwrap_pages(
     endpoint: str | None = None,
     page_no: str | None = None,
     page: str = "page",
-    page_size: int = PAGE_SIZE,
+    page_size: int | None = None,
     endpoints: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per record, as variant column ``record``.
+    """One row per record, as variant column ``record``. All landed pages count.
 
-    With ``endpoint`` and ``page_no`` the pages of an endpoint end as a client would end
-    them: after the first page with fewer than ``page_size`` records, before the first
-    page without any. The end of each endpoint is an aggregate, so its pages are not
-    gathered in one task. ``endpoints`` keeps the listed ones; the list also bounds the
-    number of ends, so they are broadcast and the pages are not shuffled.
+    With ``page_size`` the pages of an endpoint end as a client would end them: after the
+    first page with fewer records, before the first page without any. The ends are a small
+    table, written first: where Spark can send it round by its size, the pages are not
+    shuffled. ``endpoints`` keeps the listed ones.
     """
-    keep: list[str] = []
+    if (endpoint is None) != (page_no is None):
+        raise ValueError("endpoint and page_no go together")
+    if page_size is not None and endpoint is None:
+        raise ValueError("page_size needs the endpoint and page_no columns")
+    keep = [] if endpoint is None else [endpoint, page_no]
     if endpoint is not None and endpoints is not None:
         pages = pages.filter(F.col(endpoint).isin(*endpoints))
-    found = page_records(pages, page)
-    if page_no is not None:
-        if endpoint is None:
-            raise ValueError("page_no needs the endpoint column its numbers belong to")
-        keep = [endpoint, page_no]
-        size = F.coalesce(F.size("_records"), F.lit(0))
-        last = found.groupBy(endpoint).agg(
-            F.min(F.when(size < page_size, F.col(page_no))).alias("_last")
+    if page_size is not None:
+        sizes = page_records(pages, page).select(
+            *keep, F.coalesce(F.size("_records"), F.lit(0)).alias("_size")
+        )
+        path = workspace(pages.sparkSession, "page-ends")
+        sizes.groupBy(endpoint).agg(
+            F.min(F.when(F.col("_size") < page_size, F.col(page_no))).alias("_last")
+        ).write.parquet(path)
+        last = pages.sparkSession.read.parquet(path)
+        pages = join_splittable(pages, last, endpoint, "inner").filter(
+            F.col("_last").isNull() | (F.col(page_no) <= F.col("_last"))
         )
-        if endpoints is None:
-            found = join_splittable(found, last, endpoint, "inner")
-        else:
-            found = found.join(F.broadcast(last), endpoint)
-        found = found.filter(F.col("_last").isNull() | (F.col(page_no) <= F.col("_last")))
+    found = page_records(pages, page)
     # explode would add a filter that parses every page a second time.
     records = found.select(*keep, F.explode_outer("_records").alias("record"))
     return records.filter(F.col("record").isNotNull())

@@ -273,10 +273,9 @@ def check_suite_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     (select count(*) from messy_payments), count(*), list_sort(list(distinct payment_method))[1:5]
   from messy_payments where payment_method not in ({_list(PAYMENT_METHODS)}))
 select check_name, source_name, false as passed, 'error' as severity,
-  'Accepted values for ''' || split_part(check_name, '.', 2) || ''': ' || b || '/' || n
-  || ' violations (' || printf('%.2f', 100.0 * b / n) || '%). Invalid values: ['
-  || list_aggregate(list_transform(sample, lambda v: '''' || v || ''''), 'string_agg', ', ')
-  || ']' as message,
+  'refused values in ' || split_part(check_name, ':', 2) || ': ' || b || ' of ' || n
+  || ' (' || printf('%.2f', 100.0 * b / n) || '%), limit 0.00%, such as '
+  || list_aggregate(sample, 'string_agg', ', ') as message,
   cast(b as double) / n as metric_value, cast(null as double) as threshold from bad"""
 )
 def accepted_values_report(spark: SparkSession, sf_dir: str) -> DataFrame:

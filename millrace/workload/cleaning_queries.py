@@ -432,6 +432,45 @@ def history_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""with versions as (
+  select o_custkey as customer_id, cast(o_orderkey as varchar) as name, o_orderpriority as tier,
+         o_orderdate as opened from orders where o_custkey % 3 <> 1),
+ranked as (
+  select *, row_number() over newest as place, lag(opened) over newest as successor
+  from versions
+  window newest as (partition by customer_id order by opened desc, name desc)),
+batch as (select c_custkey as customer_id, 'batch' as name, c_mktsegment as tier
+  from customer where c_custkey % 2 = 0)
+select customer_id, name, tier, opened as _effective_from,
+       case when place > 1 then successor
+            when customer_id in (select customer_id from batch) then timestamp '{_AS_OF}'
+       end as _effective_to,
+       place = 1 and customer_id not in (select customer_id from batch) as _is_current,
+       'stored' as _row_hash
+from ranked
+union all
+select customer_id, name, tier, timestamp '{_AS_OF}', null, true, md5(name || '|' || tier) from batch"""
+)
+def history_merge_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history in which customers have many current versions, and a batch."""
+    stored = read(spark, sf_dir, "orders").filter("o_custkey % 3 <> 1").select(
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderkey").cast("string").alias("name"),
+        F.col("o_orderpriority").alias("tier"),
+        F.col("o_orderdate").alias("_effective_from"),
+        F.lit(None).cast("timestamp_ntz").alias("_effective_to"),
+        F.lit(True).alias("_is_current"),
+        F.lit("stored").alias("_row_hash"),
+    )
+    batch = read(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(
+        F.col("c_custkey").alias("customer_id"),
+        F.lit("batch").alias("name"),
+        F.col("c_mktsegment").alias("tier"),
+    )
+    return merge_history(stored, batch, "customer_id", ["name", "tier"], _AS_OF)
+
+
 @query(
     """select o_custkey, count(*) as versions from orders where o_orderstatus = 'O'
   group by o_custkey having count(*) > 1"""

@@ -152,14 +152,26 @@ def append_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """select count(*) as expected_rows, count(*) as actual_rows, true as rows_match,
-  true as content_match from orders"""
+    f"""with {RAW_SQL}
+select 'same' as pair, count(*) as expected_rows, count(*) as actual_rows, true as rows_match,
+       true as content_match from raw_orders
+union all
+select 'null moved', count(*), count(*), true, count(*) filter (status = 'placed') = 0
+from raw_orders"""
 )
 def load_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load compared with its source, and two frames in which a NULL changes places."""
     w, orders = _warehouse(spark), _orders(spark, sf_dir)
     tables.load_overwrite(w, "orders", orders, LOADED_AT)
     loaded = _without_load_time(spark.table(w.table("orders")))
-    return loading.compare_content(orders, loaded)
+    same = loading.compare_content(orders, loaded)
+    partly = F.nullif(F.col("status"), F.lit("placed"))
+    left = orders.select(F.col("status").alias("a"), partly.alias("b"))
+    right = orders.select(partly.alias("a"), F.col("status").alias("b"))
+    moved = loading.compare_content(left, right)
+    return same.withColumn("pair", F.lit("same")).unionByName(
+        moved.withColumn("pair", F.lit("null moved"))
+    )
 
 
 def _csv_sources(spark: SparkSession, sf_dir: str) -> dict[str, str]:
@@ -213,10 +225,57 @@ def read_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""with {RAW_SQL} select id, user_id, cast(order_date as varchar) as order_date, status
   from raw_orders"""
 )
-def read_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+def read_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written and read as one object per line."""
     path = workspace(spark, "orders") + ".json"
-    _orders(spark, sf_dir).write.json(path)
-    return files.read_json(spark, path, lines=True).select("id", "user_id", "order_date", "status")
+    files.write_json_lines(_orders(spark, sf_dir), path)
+    df = files.read_source(spark, path, json_layout="lines")
+    return df.select("id", "user_id", "order_date", "status")
+
+
+@query("select c_custkey, c_name, c_nationkey from customer")
+def read_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that are one array each, over several lines."""
+    path = workspace(spark, "customers") + ".json"
+    record = F.to_json(F.struct("c_custkey", "c_name", "c_nationkey"))
+    arrays = (
+        read(spark, sf_dir, "customer")
+        .groupBy((F.col("c_custkey") % 7).alias("part"))
+        .agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list(record), ",\n"), F.lit("\n]")))
+    )
+    arrays.write.partitionBy("part").text(path)
+    df = files.read_source(spark, path)
+    return df.select("c_custkey", "c_name", F.col("c_nationkey").cast("int"))
+
+
+@query("select cast(c_custkey as varchar) as id, c_name as name, c_mktsegment as segment from customer")
+def read_csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of files whose columns stand in different orders."""
+    path = workspace(spark, "customers") + ".csv"
+    customer = read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
+    )
+    for i, order in enumerate((["id", "name", "segment"], ["segment", "id", "name"], ["name", "segment", "id"])):
+        part = customer.filter(F.col("id") % 3 == i).select(*order)
+        part.write.mode("append").option("header", True).csv(path)
+    return files.read_source(spark, path)
+
+
+@query(
+    f"""select c_custkey as id, 'Line one' || chr(10) || c_name as first_name,
+  c_mktsegment as last_name, {LOADED_AT_SQL} as _loaded_at from customer"""
+)
+def load_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of two lines, quoted in the file, through the load path."""
+    path = workspace(spark, "customers") + ".csv"
+    read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.concat(F.lit("Line one\n"), "c_name").alias("first_name"),
+        F.col("c_mktsegment").alias("last_name"),
+    ).write.option("header", True).option("quoteAll", True).csv(path)
+    w = _warehouse(spark)
+    loading.load_source(w, "customers", path, LOADED_AT, multiline=True)
+    return spark.table(w.table("customers"))
 
 
 @query("select * from supplier")
@@ -236,15 +295,19 @@ def csv_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
 
 
+_PAGE_SIZE = 100
+
+
 def _landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as JSON documents of up to 100 records in all envelope shapes.
+    """Events as JSON documents in all envelope shapes, ten pages to an endpoint.
 
-    Ten pages form an endpoint.
+    Every third page is short: it lacks the purchases.
     """
     record = F.struct("event_id", "event_type", "user_id", "value")
     by_page = (
         read(spark, sf_dir, "events")
-        .withColumn("page_no", F.floor(F.col("event_id") / pages.PAGE_SIZE))
+        .withColumn("page_no", F.floor(F.col("event_id") / _PAGE_SIZE))
+        .filter("page_no % 3 <> 2 or event_type <> 'purchase'")
         .groupBy("page_no")
         .agg(F.collect_list(record).alias("r"))
     )
@@ -260,12 +323,35 @@ def _landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("select event_id, event_type, user_id, value from events")
+_PAGES_SQL = """with landed as (
+  select *, event_id // 100 as page_no, event_id // 1000 as endpoint from events
+  where (event_id // 100) % 3 <> 2 or event_type <> 'purchase')"""
+
+
+@query(f"{_PAGES_SQL} select event_id, event_type, user_id, value from landed")
 def unwrap_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records of pages of mixed length."""
+    path = workspace(spark, "pages")
+    _landed_pages(spark, sf_dir).write.parquet(path)
+    return _page_fields(pages.unwrap_pages(spark.read.parquet(path), "endpoint", "page_no"))
+
+
+@query(
+    f"""{_PAGES_SQL}, sizes as (
+  select endpoint, page_no, count(*) as n from landed group by all),
+ends as (select endpoint, min(page_no) filter (n < 100) as last from sizes group by endpoint)
+select event_id, event_type, user_id, value from landed join ends using (endpoint)
+where last is null or page_no <= last"""
+)
+def unwrap_pages_to_the_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages up to the first that is not full, as a client would stop."""
     path = workspace(spark, "pages")
     _landed_pages(spark, sf_dir).write.parquet(path)
-    records = pages.unwrap_pages(spark.read.parquet(path), "endpoint", "page_no")
+    landed = spark.read.parquet(path)
+    return _page_fields(pages.unwrap_pages(landed, "endpoint", "page_no", page_size=_PAGE_SIZE))
+
 
+def _page_fields(records: DataFrame) -> DataFrame:
     def field(name: str, t: str):
         return F.try_variant_get("record", f"$.{name}", t).alias(name)
 
@@ -320,13 +406,39 @@ def extract_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     return again.select("source_name", "row_count", "skipped")
 
 
-@query()
+_STATUS_TEXT_SQL = "'customer ' || c_custkey || ' ' || c_mktsegment"
+
+
+@query(
+    f"""with known as (
+  select c_nationkey as nation, string_agg({_STATUS_TEXT_SQL}, ';' order by c_custkey) as text
+  from customer group by c_nationkey)
+select nation, cast(strlen(text || ' again' || chr(10)) as bigint) as length,
+       substr(sha256(text || ' again'), 1, 16) as checksum
+from known where nation % 2 = 0"""
+)
 def changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table files of this scale against a list that knows only the small ones."""
-    current = manifest.file_checksums(spark, f"{sf_dir}/*.parquet")
-    seen = current.filter(F.col("length") < 100_000)
-    return manifest.changed_files(current, seen).select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length", "checksum"
+    """A text file per nation, written twice: every other one has changed in between."""
+    base = workspace(spark, "changes")
+    line = F.concat(F.lit("customer "), "c_custkey", F.lit(" "), "c_mktsegment")
+    text = F.array_join(
+        F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", line.alias("t")))), lambda x: x["t"]),
+        ";",
+    )
+    known = read(spark, sf_dir, "customer").groupBy("c_nationkey").agg(text.alias("text"))
+    changes = F.when(F.col("c_nationkey") % 2 == 0, F.lit(" again")).otherwise(F.lit(""))
+    for name, more in (("first", F.lit("")), ("second", changes)):
+        known.select("c_nationkey", F.concat("text", more)).write.partitionBy("c_nationkey").text(
+            f"{base}/{name}"
+        )
+
+    def found(name: str) -> DataFrame:
+        nation = F.regexp_extract("path", r"c_nationkey=(\d+)", 1)
+        sums = manifest.file_checksums(spark, f"{base}/{name}")
+        return sums.filter("length > 0").withColumn("path", nation)
+
+    return manifest.changed_files(found("second"), found("first")).select(
+        F.col("path").cast("int").alias("nation"), "length", "checksum"
     )
 
 

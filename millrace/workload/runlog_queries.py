@@ -40,9 +40,15 @@ def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.stage_history(read_log(spark, sf_dir))
 
 
-@query(f"with {_RECENT_SQL} select stage, {_ROUNDED_SQL} from stats")
+@query(
+    f"""with {_RECENT_SQL} select stage, {_ROUNDED_SQL} from stats
+  union all select 'refund', {", ".join(f"0.0::double as {c}" for c in _STATS)}
+  where 'refund' not in (select stage from run_log)"""
+)
 def run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(runlog.stage_stats(read_log(spark, sf_dir)))
+    """All stages of the log, and one that has never run."""
+    log = read_log(spark, sf_dir)
+    return _rounded(runlog.stage_stats(log, stages=["click", "refund"]))
 
 
 @query(
@@ -104,19 +110,22 @@ def run_dashboard_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {RUN_LOG_SQL} select * from run_log order by {_ORDER} limit 1000")
 def run_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runlog.retained(read_log(spark, sf_dir))
+    return runlog.retained(read_log(spark, sf_dir), 1000)
 
 
 @query(
-    f"""with {RUN_LOG_SQL} select *, cast(null as varchar) as error from run_log
-  order by {_ORDER} limit 1000"""
+    f"""with {RUN_LOG_SQL} select *, cast(null as varchar) as error,
+  'user ' || row_count as user_note from run_log order by {_ORDER} limit 1000"""
 )
 def run_log_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log appended in two parts, then compacted to its newest records."""
     base, log = workspace(spark, "runs"), read_log(spark, sf_dir)
+    note = F.concat(F.lit("user "), F.col("row_count").cast("string"))
+    log = log.withColumn("metadata", F.create_map(F.lit("note"), note))
     for status in ("failed", "success"):
         runlog.append_runs(log.filter(F.col("status") == status), f"{base}/log")
-    return runlog.compact_runs(spark, f"{base}/log", f"{base}/compacted")
+    compacted = runlog.compact_runs(spark, f"{base}/log", f"{base}/compacted", 1000)
+    return compacted.withColumn("user_note", F.col("metadata")["note"]).drop("metadata")
 
 
 @query(

@@ -44,7 +44,7 @@ def test_null_rate(spark, values, threshold, passed, rate):
 def test_null_rate_of_an_absent_column(spark):
     r = result(spark, texts(spark, "name", ["a", "b"]), "null_rate", "id", 0.0)
     assert (r.passed, r.metric_value) == (False, 1.0)
-    assert r.message == "Null rate for 'id': 100.00% (> threshold 0.00%)"
+    assert "id is no column" in r.message
 
 
 @pytest.mark.parametrize(("n", "limit", "passed"), [(100, 10, True), (10, 10, True), (1, 10, False), (0, 1, False)])
@@ -66,8 +66,8 @@ def test_schema_match(spark, columns, expected, passed, rate):
     df = spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
     r = result(spark, df, "schema_match", params={"expected_columns": expected})
     assert (r.passed, r.metric_value) == (passed, pytest.approx(rate))
-    assert ("missing: ['email']" in r.message) == (not passed)
-    assert ("extra: ['extra']" in r.message) == ("extra" in columns)
+    assert ("email" in r.message) == (not passed)
+    assert ("surplus" in r.message and "extra" in r.message) == ("extra" in columns)
 
 
 @pytest.mark.parametrize(
@@ -94,10 +94,7 @@ def test_accepted_values(spark, values, passed, rate):
 def test_sample_shows_the_first_five_values(spark):
     df = texts(spark, "status", ["z", "b", "b", "a", "c", "e", "d", "ok"])
     r = result(spark, df, "accepted_values", "status", params={"values": ["ok"]})
-    assert r.message == (
-        "Accepted values for 'status': 7/8 violations (87.50%). "
-        "Invalid values: ['a', 'b', 'c', 'd', 'e']"
-    )
+    assert r.message.endswith("status: 7 of 8 (87.50%), limit 0.00%, such as a, b, c, d, e")
 
 
 @pytest.mark.parametrize(
@@ -137,7 +134,7 @@ def test_dispatch_of_failures(spark):
     ]
     assert [r.passed for r in got] == [False, False, False, False, True]
     assert [r.severity for r in got] == ["warning", "error", "error", "error", "error"]
-    assert "not found" in got[0].message and "Unknown" in got[2].message
+    assert "not found" in got[0].message and "unknown" in got[2].message
     summary = summarize(results_frame(spark, got)).first()
     assert tuple(summary) == (5, 1, 3, 1)
     with pytest.raises(RuntimeError, match="3 critical"):
@@ -187,10 +184,10 @@ def test_completeness(spark):
     df = spark.createDataFrame([("a", 1), (" ", 2), ("c", None), ("d", 4)], "s string, n int")
     r = check_completeness(df, ["s", "n"], 0.5).first()
     assert (r.passed, r.metric_value) == (True, 0.5)
-    assert r.message == "Completeness: 50.0% (2/4 complete for ['s', 'n'])"
+    assert r.message == "complete in s, n: 2 of 4 (50.00%), limit 50.00%"
     assert not check_completeness(df, ["s", "absent"]).first().passed
     empty = check_completeness(df.limit(0), ["s"]).first()
-    assert (empty.passed, empty.metric_value, empty.message) == (False, 0.0, "No records to check")
+    assert (empty.passed, empty.metric_value, empty.message) == (False, 0.0, "complete in s: nothing to check")
 
 
 def test_unique_key_counts_nulls_as_equal(spark):

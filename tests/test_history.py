@@ -113,3 +113,13 @@ def test_first_merge_opens_every_row(spark):
         (1, "a", "x", T1, None, True, md5("a", "x")), (2, "b", None, T1, None, True, md5("b", None)),
     ]
     assert rows(merged(got, batch, T2)) == rows(got)
+
+
+def test_repeated_current_versions_are_closed_not_lost(spark):
+    existing = spark.createDataFrame(
+        [(1, "a", "x", T0, None, True, "h"), (1, "b", "y", T1, None, True, "h"), (2, "c", "z", T0, None, True, "h")],
+        SCHEMA,
+    )
+    batch = spark.createDataFrame([(1, "b", "y")], "customer_id bigint, name string, tier string")
+    got = sorted((r.customer_id, r.name, r._effective_to, r._is_current) for r in merged(existing, batch).collect())
+    assert got == [(1, "a", T1, False), (1, "b", None, True), (2, "c", None, True)]

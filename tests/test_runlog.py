@@ -80,7 +80,7 @@ def test_anomalies_are_strictly_outside(spark):
     got = sorted((r.metric, r.current_value) for r in runlog.anomalies(records, stats).collect())
     assert got == [("duration", 3.9), ("duration", 16.5), ("row_count", 49.0)]
     text = runlog.anomalies(records, stats).filter("current_value = 16.5").first().message
-    assert text == "Stage 's' duration 16.50s is outside expected range [4.00s, 16.00s]"
+    assert text == "s: took 16.50 s, usual is 4.00 s to 16.00 s"
 
 
 def test_dashboard(log, records):

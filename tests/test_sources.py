@@ -87,8 +87,40 @@ def test_file_checksums_and_changes(spark, tmp_path):
     write(tmp_path, "b.csv", "world?")
     changed = manifest.changed_files(manifest.file_checksums(spark, [a, b]), seen)
     assert [r.path.rsplit("/", 1)[1] for r in changed.collect()] == ["b.csv"]
-    marked = manifest.file_checksums(spark, [a, b], max_hashed_bytes=5).collect()
-    assert len({r.checksum for r in marked}) == 2
+
+
+def test_checksums_follow_one_rule(spark, tmp_path):
+    lines = [f"line {i}" for i in range(500)]
+    path = write(tmp_path, "many.txt", "\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        got = {r.path.rsplit("/", 1)[1]: r for r in manifest.file_checksums(spark, path).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    total = sum(int(hashlib.sha256(x.encode()).hexdigest()[:16], 16) for x in lines) % 2**64
+    assert got["many.txt"].checksum == f"{total:016x}"
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    folder = tmp_path / "people.csv"
+    folder.mkdir()
+    write(folder, "a.csv", "id,first,last\n1,A,B\n")
+    write(folder, "b.csv", "last,id,first\nD,2,C\n")
+    write(folder, "c.csv", "id,last\n3,E\n")
+    rows = read_source(spark, str(folder)).select("id", "first", "last").collect()
+    assert sorted(map(tuple, rows)) == [("1", "A", "B"), ("2", "C", "D"), ("3", None, "E")]
+    marked = read_csv(spark, str(folder), malformed="_line")
+    assert marked.columns[-1] == "_line" and marked.count() == 3
+
+
+def test_lines_are_no_document(spark, tmp_path):
+    lines = write(tmp_path, "l.json", '{"a": 1}\n{"a": 2}\n')
+    with pytest.raises(ValueError, match="one object per line"):
+        read_source(spark, lines)
+    assert read_source(spark, lines, json_layout="lines").count() == 2
+    spread = write(tmp_path, "s.json", '[\n{"a": 1},\n{"a": 2}\n]\n')
+    assert read_source(spark, spread).count() == 2
 
 
 def test_extract_all_and_again(spark, tmp_path):
@@ -105,7 +137,8 @@ def test_extract_all_and_again(spark, tmp_path):
     good = by_name["orders"]
     assert (good.success, good.row_count, good.skipped) == (True, 1, False)
     assert good.byte_count == len(rows)
-    assert good.checksum == hashlib.sha256(rows.encode()).hexdigest()[:16]
+    parts = [int(hashlib.sha256(x.encode()).hexdigest()[:16], 16) for x in rows.splitlines()]
+    assert good.checksum == f"{sum(parts) % 2**64:016x}"
     assert manifest.landed(spark, good).count() == 1
     assert "missing columns" in by_name["customers"].error
     assert "PATH_NOT_FOUND" in by_name["events"].error
