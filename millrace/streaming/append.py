@@ -43,14 +43,11 @@ def append_stream(
         write(batch, target, batch_id, _now())
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        batch, at = batch.persist(), _now()
-        try:
-            outcome = validate(batch, rules)
-            write(outcome.valid, target, batch_id, at)
-            if rejected is not None:
-                write(outcome.invalid, rejected, batch_id, at)
-        finally:
-            batch.unpersist()
+        # Validation is one narrow pass: a second one costs less than keeping the batch.
+        outcome, at = validate(batch, rules), _now()
+        write(outcome.valid, target, batch_id, at)
+        if rejected is not None:
+            write(outcome.invalid, rejected, batch_id, at)
 
     each: Callable[[DataFrame, int], None] = plain if rules is None else split
     return (

@@ -13,6 +13,7 @@ from millrace.operators import cleaning
 from millrace.operators.dedup import deduplicate
 from millrace.operators.history import merge_history
 from millrace.operators.history import repeated_current as repeated
+from millrace.operators.record_checks import check_completeness
 from millrace.operators.rules import CUSTOMER_RULES, ORDER_RULES, PAYMENT_RULES, validate
 from millrace.workload.registry import query
 from millrace.workload.tables import (
@@ -250,6 +251,40 @@ def step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""with {_CHAIN_SQL}, counted as (
+  select count(*) as n, count(*) filter (order_id <> '' and payment_method = 'coupon') as b
+  from filled)
+select 'completeness' as check_name, b >= 0.95 * n as passed, b::double / n as metric_value,
+  0.95::double as threshold,
+  'complete in order_id, coupon: ' || b || ' of ' || n || ' (' || printf('%.2f', 100.0 * b / n)
+  || '%), limit 95.00%' as message from counted"""
+)
+def step_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain that reports on its result: how many payments are complete coupon payments."""
+    coupon = F.when(F.col("payment_method") == "coupon", F.col("payment_method"))
+    run = cleaning.run_steps(
+        messy_payments(spark, sf_dir),
+        [
+            cleaning.dedup_step(["id"], ["amount"]),
+            cleaning.cast_step({"id": "int", "order_id": "int", "amount": "int"}),
+            cleaning.filter_step(F.col("payment_method") != "cash", "no cash"),
+            cleaning.drop_step(["amount"]),
+        ],
+        checks=lambda df: check_completeness(df.withColumn("coupon", coupon), ["order_id", "coupon"]),
+    )
+    return run.checks
+
+
+@query(
+    """select cast(c_custkey as varchar) as c_custkey, c_name,
+  cast(c_nationkey as varchar) as c_nationkey from customer"""
+)
+def cast_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    return cleaning.cast_types(customer, {"c_custkey": "str", "c_name": "str", "c_nationkey": "str"})
+
+
 # --- rule validation ---------------------------------------------------------------------
 
 _NOT_INT = "Input should be a valid integer, unable to parse string as an integer"

@@ -206,3 +206,20 @@ def test_stream_splits_and_resumes(spark, tmp_path):
 
 def test_workspace_uses_the_checkpoint_setting(spark):
     assert workspace(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_ignoring_upsert_leaves_stored_files_alone(spark, tmp_path):
+    w = tables.Warehouse(spark, "millrace_keep", str(tmp_path / "keep"))
+    tables.create_schema(w)
+    tables.create_table(w, "t", [("id", "INTEGER"), ("name", "VARCHAR")])
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
+    tables.load_overwrite(w, "t", first, AT)
+    before = set(spark.table(w.table("t")).inputFiles())
+    more = spark.createDataFrame([(2, "c"), (3, "d"), (3, "e"), (None, "n")], "id long, name string")
+    assert tables.load_upsert(w, "t", more, AT, ["id"], ["name"], "nothing") == 4
+    table = spark.table(w.table("t"))
+    assert before < set(table.inputFiles())
+    assert sorted((r.id or 0, r.name) for r in table.collect()) == [(0, "n"), (1, "a"), (2, "b"), (3, "d")]
+    tables.load_overwrite(w, "t", first, AT)
+    assert tables.remove_unused_folders(w, "t") >= 1
+    assert tables.remove_unused_folders(w, "t") == 0 and spark.table(w.table("t")).count() == 2
