@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import statistics
 import sys
 import time
@@ -18,6 +19,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from millrace.session import release_all  # noqa: E402
 from millrace.workload import REGISTRY  # noqa: E402
 
 HEADLINE = (
@@ -49,6 +51,7 @@ def main() -> None:
     names = os.environ.get("BENCH_QUERIES", "").split(",")
     names = [n for n in names if n] or list(HEADLINE)
     work = os.path.abspath(os.environ.get("BENCH_WORK", "bench-work"))
+    fresh = not os.path.exists(work)
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("millrace-bench")
@@ -69,7 +72,10 @@ def main() -> None:
             REGISTRY[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(times[1:]), 3)
+    release_all()
     spark.stop()
+    if fresh:
+        shutil.rmtree(work, ignore_errors=True)
     print(
         json.dumps(
             {

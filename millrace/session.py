@@ -48,7 +48,8 @@ def working_folder(spark: SparkSession, purpose: str) -> Iterator[str]:
 
 
 @atexit.register
-def _release_all() -> None:
+def release_all() -> None:
+    """Remove every working folder that is left, of sessions still running."""
     for path, spark in list(_made.items()):
         with suppress(Exception):
             release(spark, path)
