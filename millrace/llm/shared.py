@@ -19,7 +19,10 @@ STEP_BYTES = 2_000_000
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per Spark context."""
+    """Send this package to the executors, once per Spark context.
+
+    The archive lies in the driver's own folder; Spark serves it to the executors.
+    """
     context = spark.sparkContext
     if getattr(context, "_millrace_shipped", False):
         return

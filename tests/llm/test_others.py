@@ -6,7 +6,7 @@ import hashlib
 
 import brute
 import numpy as np
-from conftest import ROWS
+from samples import ROWS
 from pyspark.sql import functions as F
 
 from millrace.llm import warc

@@ -3,7 +3,7 @@
 from collections import Counter, defaultdict
 
 import brute
-from conftest import ROWS
+from samples import ROWS
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp

@@ -8,7 +8,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import ROWS
+from samples import ROWS
 
 from millrace.llm import token_counts as tc
 from millrace.llm.components import connected
