@@ -59,7 +59,9 @@ class Features:
             self.stems.clear()
         known, stems = self.words, self.stems
         different = set(words)
-        for w in different - known.keys():
+        for w in different:
+            if w in known:
+                continue
             bare = w.strip(_EDGE)
             known[w] = xxhash.xxh64_intdigest(bare)
             stems[w] = xxhash.xxh64_intdigest(bare.decode("utf-8", "replace")[:STEM], 1)

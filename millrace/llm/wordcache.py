@@ -48,7 +48,9 @@ class _Memory(dict):
             self.before = {k: v for k, v in self.items() if len(k) <= _LONG}
             self.clear()
         new = []
-        for k in keys - self.keys():
+        for k in keys:
+            if k in self:
+                continue
             if k in self.before:
                 self[k] = self.before[k]
             else:
