@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import STEP_BYTES, Batches, map_batches, out_batch, ship, utf8
+from millrace.llm.shared import STEP_BYTES, Batches, map_batches, out_batch, ship, staged, utf8
 from millrace.operators.joins import join_splittable
 from millrace.session import workspace
 
@@ -269,33 +269,39 @@ def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture: ``capture``, ``requests`` and ``metadata``.
 
     A capture's requests and metadata stand in its row, as its transaction has them. Records
-    that belong to no capture are left out.
+    that belong to no capture are left out. ``records`` is read several times, so pass a
+    written table.
     """
+    spark = records.sparkSession
     main = F.col("type").isin("response", "revisit")
-    # A link from a record to what it names. Where a capture names another record, that one
-    # is led to the capture.
-    captures = records.filter(main)
-    others = records.filter(~main)
+    captures, others = records.filter(main), records.filter(~main)
+    # What each record names, and whether that is a capture.
+    ids = captures.select(F.col("record_id").alias("to"), F.lit(True).alias("found")).distinct()
+    links = staged(
+        others.select("record_id", F.explode("concurrent_to").alias("to")).join(ids, "to", "left"),
+        workspace(spark, "warc-links"),
+    )
+    # Where a capture names another record, that one belongs to the capture.
     named_by_capture = captures.select(
         F.explode("concurrent_to").alias("record_id"), F.col("record_id").alias("capture_id")
     )
-    own_links = others.select("record_id", F.explode("concurrent_to").alias("to"))
-    ids = captures.select(F.col("record_id").alias("to")).distinct()
-    direct = (
-        join_splittable(own_links, ids, "to", "inner")
+    belongs = (
+        links.filter("found")
         .select("record_id", F.col("to").alias("capture_id"))
         .unionByName(named_by_capture)
         .distinct()
     )
     # Over one record between: a record that names a record which belongs to a capture.
-    far = own_links.join(ids, "to", "left_anti")
-    between = (
-        far.join(direct.withColumnRenamed("record_id", "to"), "to")
-        .select("record_id", "capture_id")
-        .distinct()
-        .join(direct, "record_id", "left_anti")
-    )
-    belongs = direct.unionByName(between)
+    far = links.filter("found is null").drop("found")
+    if not far.isEmpty():
+        direct = staged(belongs, workspace(spark, "warc-direct"))
+        between = (
+            far.join(direct.withColumnRenamed("record_id", "to"), "to")
+            .select("record_id", "capture_id")
+            .distinct()
+            .join(direct, "record_id", "left_anti")
+        )
+        belongs = direct.unionByName(between)
     body = [c for c in records.columns if c not in ("concurrent_to", "payload")]
     attached = others.join(belongs, "record_id").select(
         "capture_id", F.lit(False).alias("main"), F.struct(*body, "payload").alias("record")
@@ -327,10 +333,16 @@ def archived_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     spark = pages.sparkSession
     folder = workspace(spark, "warc")
     write_archives(pages, folder, min_bytes=min_bytes)
-    captures = assemble(read_archives(spark, folder, with_payload=False)).select(
-        "capture_id",
-        "capture",
-        F.col("metadata")[0]["fields"]["page-id"].cast("long").alias("page_id"),
+    records = staged(
+        read_archives(spark, folder, with_payload=False), workspace(spark, "warc-records")
+    )
+    captures = staged(
+        assemble(records).select(
+            "capture_id",
+            "capture",
+            F.col("metadata")[0]["fields"]["page-id"].cast("long").alias("page_id"),
+        ),
+        workspace(spark, "warc-captures"),
     )
     responses = captures.filter("capture.type = 'response'").groupBy("capture_id").agg(
         F.max("page_id").alias("refers_to")
