@@ -156,7 +156,18 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
-@_query()
+@_query("""
+with payloads as (
+  select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as digest from pages),
+grouped as (select *, max(page_id) over (partition by payload) as first from payloads)
+select page_id, strlen(payload)::bigint as payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda k: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((cast('0x' || substr(digest, 5 * (k // 4) + 1, 5) as integer) >> (15 - 5 * (k % 4))) & 31) + 1,
+    1)), 'string_agg', '') as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id <> first then first end as refers_to
+from grouped""")
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(table(spark, sf_dir, "pages"))
 
