@@ -32,9 +32,13 @@ def _row(text: Column) -> Column:
 
 
 def _without(docs: DataFrame, row: Column, dropped: DataFrame, purpose: str) -> DataFrame:
-    """``docs`` but for the rows in ``dropped``, which is written first so its size is known."""
+    """``docs`` but for the rows in ``dropped``.
+
+    A merge join at every size: what is dropped grows with the corpus, so the plan is that
+    of a large one from the start.
+    """
     known = staged(dropped.distinct(), workspace(docs.sparkSession, purpose))
-    kept = docs.withColumn(_ROW, row).join(known.toDF(_ROW), _ROW, "left_anti")
+    kept = docs.withColumn(_ROW, row).join(known.toDF(_ROW).hint("merge"), _ROW, "left_anti")
     return kept.select(docs.columns)
 
 
