@@ -1,12 +1,13 @@
 """Toxicity scores by logistic regression, trained with FTRL-proximal.
 
 Features: hashed single words and word beginnings (``STEM`` characters), pairs of neighbouring
-words and pairs with one word between, each counted once per text. Learning: a bounded sample
-of labelled rows is dealt over at most ``SHARDS`` tasks; each runs FTRL-proximal (McMahan et
-al., Ad Click Prediction, 2013) over its rows, with a learning rate per coordinate and an L1
-penalty that keeps most weights at zero. Features of fewer than ``MIN_TEXTS`` texts are left
-out. The shards' weights are averaged per coordinate. What is left is a sparse table of at
-most ``2 ** BITS`` weights, whatever the input, which goes to every task.
+words and pairs with one word between, each counted once per text. Learning: the features of
+a bounded sample of labelled rows are found in parallel; one task runs FTRL-proximal (McMahan
+et al., Ad Click Prediction, 2013) over all of them, one after the other, with a learning rate
+per coordinate and an L1 penalty that keeps most weights at zero. Features of fewer than
+``MIN_TEXTS`` texts of the sample are left out. It keeps the rows' features in a file of its
+own, so its memory does not depend on the texts. What is left is a sparse table of at most
+``2 ** BITS`` weights, whatever the input, which goes to every task.
 
 A text's score depends on its text only. Null counts as empty and gets the score of the
 intercept. Labels other than 0 and 1, null among them, are not learned from; without labels
@@ -16,7 +17,7 @@ repeat give repeated result rows. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
 from functools import partial
 
 import numpy as np
@@ -25,14 +26,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import Batches, map_batches, out_batch, ship, steps, utf8
+from millrace.llm.shared import Batches, map_batches, out_batch, steps, utf8
 
 BITS = 18
 #: Labelled rows learned from: those with the smallest hash of their id.
 TRAIN_ROWS = 24_000
-SHARDS = 6
-#: Rows worth a task of their own.
-SHARD_ROWS = 4_000
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 1.0
 MIN_TEXTS = 4
@@ -111,8 +109,6 @@ def train(
     rows: int = TRAIN_ROWS,
 ) -> tuple[np.ndarray, float]:
     """Weights of all coordinates, and the share of positive labels."""
-    spark = docs.sparkSession
-    ship(spark)
     chosen = (
         labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label"))
         .filter("label in (0, 1) and id is not null")
@@ -122,18 +118,16 @@ def train(
         .orderBy("turn", "id")
         .limit(rows)
     )
-    chosen_rows, share = chosen.agg(F.count("*"), F.avg("label")).first()
-    share, shards = share or 0.0, max(1, min(SHARDS, chosen_rows // SHARD_ROWS))
+    share = chosen.agg(F.avg("label")).first()[0] or 0.0
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), utf8(text_col).alias("text"))
-    examples = texts.join(chosen, "id").withColumn(
-        "shard", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(shards)).cast("int")
-    )
-    learned = (
-        examples.groupBy("shard")
-        .applyInArrow(_learn_shard, "at int, weight double")
-        .groupBy("at")
-        .agg((F.sum("weight") / shards).alias("weight"))
+    examples = map_batches(
+        texts.join(chosen, "id").select("turn", "label", "text"),
+        _features,
+        "turn long, label int, features binary",
     )
+    # One after the other, in an order that does not depend on how the rows lie.
+    in_turn = examples.repartition(1).sortWithinPartitions("turn", "features")
+    learned = map_batches(in_turn, _learn, "at int, weight double")
     weights = np.zeros(1 << BITS, dtype=np.float32)
     if 0 < share < 1:
         for row in learned.collect():  # at most 2 ** BITS
@@ -141,24 +135,34 @@ def train(
     return weights, float(share)
 
 
-def _learn_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    features, model = Features(), Ftrl()
-    examples = []
+def _features(batches: Batches) -> Batches:
+    features = Features()
+    schema = pa.schema([("turn", pa.int64()), ("label", pa.int32()), ("features", pa.binary())])
     for batch in batches:
-        for name, text, label in zip(
-            batch.column("turn").to_pylist(),
-            batch.column("text").to_pylist(),
-            batch.column("label").to_pylist(),
-        ):
-            examples.append((name, features.of(text).astype(np.int32), label))
-    examples.sort(key=lambda e: (e[0], e[1].tobytes()))
-    texts = np.zeros(1 << BITS, dtype=np.int64)
-    for _, at, _ in examples:
-        texts[at] += 1
-    examples = [(name, at[texts[at] >= MIN_TEXTS], label) for name, at, label in examples]
-    for _ in range(EPOCHS):
-        for _, at, label in examples:
-            model.learn(at, label)
+        texts = batch.column("text").to_pylist()
+        for a, b in steps(texts):
+            found = [features.of(text).astype("<i4").tobytes() for text in texts[a:b]]
+            yield out_batch(
+                schema, batch.column("turn")[a:b], batch.column("label")[a:b], pa.array(found, pa.binary())
+            )
+
+
+def _learn(batches: Batches) -> Batches:
+    model, texts = Ftrl(), np.zeros(1 << BITS, dtype=np.int64)
+    labels, sizes = [], []
+    with tempfile.TemporaryFile() as file:
+        for batch in batches:
+            labels += batch.column("label").to_pylist()
+            for row in batch.column("features").to_pylist():
+                file.write(row)
+                sizes.append(len(row))
+                texts[np.frombuffer(row, "<i4")] += 1
+        frequent = texts >= MIN_TEXTS
+        for _ in range(EPOCHS):
+            file.seek(0)
+            for size, label in zip(sizes, labels):
+                at = np.frombuffer(file.read(size), "<i4")
+                model.learn(at[frequent[at]], label)
     weights = model.weights(slice(None))
     at = np.flatnonzero(weights)
     schema = pa.schema([("at", pa.int32()), ("weight", pa.float64())])

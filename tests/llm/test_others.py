@@ -217,3 +217,21 @@ def test_toxicity(spark, tricky, nothing):
     one_kind = score(docs, train(docs, told.filter("toxic = 0")))
     assert one_kind.agg(F.max("score")).first()[0] == 0
     assert score(nothing, train(nothing, told.limit(0))).count() == 0
+
+
+def test_toxicity_learns_rare_words_from_many_rows(spark):
+    word = "element_at(array('idle', 'mild', 'calm', 'warm', 'cool', 'slow', 'fast'), cast(pmod(hash(id, {}), 7) + 1 as int))"
+    plain = ", ".join(word.format(k) for k in range(6))
+    foul = "case when id % 3000 = 7 then 'rarefoul' when id % 20 = 0 then 'scum' else 'fine' end"
+    rows = spark.range(24_000).selectExpr(
+        "id as doc_id", f"concat_ws(' ', {plain}, {foul}) as text", "int(id % 3000 = 7 or id % 20 = 0) as toxic"
+    )
+    model = train(rows, rows)
+    unseen = spark.createDataFrame(
+        [(1, "calm rarefoul warm"), (2, "calm scum warm"), (3, "calm fine warm")], "doc_id long, text string"
+    )
+    got = {x["doc_id"]: x["score"] for x in score(unseen, model).collect()}
+    assert got[1] >= 0.5 and got[2] >= 0.5 and got[3] < 0.1
+    # How the rows lie does not matter.
+    again = train(rows.repartition(7, "text"), rows)
+    assert np.array_equal(model[0], again[0])
