@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.exact_dedup import exact_groups
-from millrace.llm.language_id import identify, train_text_model
+from millrace.llm.language_id import identify, primary_subtag, train_text_model
 from millrace.llm.mixing import cyclic_weights, mix
 from millrace.llm.packing import pack
 from millrace.llm.shared import staged, table, utf8
@@ -48,7 +48,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.select(
         _row(F.col("text")).alias("id"),
         utf8("text").alias("text"),
-        F.lower(F.trim(F.col("lang"))).alias("declared"),
+        primary_subtag(F.col("lang")).alias("declared"),
         unknown.alias("suffix"),
         F.col("source").alias("host"),
         unknown.alias("domain"),

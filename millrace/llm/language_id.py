@@ -14,9 +14,10 @@ to, smoothed by ``STRENGTH`` pseudo-rows; a row's own vote is taken out before i
 domain speak to it. A row is accepted if the text has letters and the posterior of the best
 language is at least ``min_confidence``.
 
-The text model has at most ``LANGUAGES * 2 ** BITS`` numbers, whatever the input, and goes to
-every task. If training rows name more than ``LANGUAGES`` languages, the most frequent ones
-are modelled and the others stay unknown, as a limit of the model and not of the rows.
+Every language that a training row names is modelled, by its primary subtag: ``en-us`` and
+``en_GB`` are ``en``. The text model has ``2 ** BITS`` numbers (64 KB) per language and goes to
+every task; work and the evidence kept per row grow with the number of languages, votes per
+host, domain and so on with the languages that occur there.
 
 Null or missing evidence says nothing. Empty text is not accepted. Rows that repeat are voters
 and results of their own. Without a training row nothing is accepted. An empty table gives an
@@ -30,14 +31,17 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import Batches, map_batches, out_batch, staged, utf8
+from millrace.llm.shared import Batches, map_batches, on_group, out_batch, staged, utf8
 from millrace.session import workspace
 
 BITS = 14
-LANGUAGES = 64
+#: Languages that a counting task holds at a time, and numbers handled in one step.
+HELD = 64
+STEP_NUMBERS = 1_000_000
 TEMPER = 0.15
 MOST_TRIGRAMS = 400
 STRENGTH = 20.0
@@ -55,47 +59,64 @@ def trigrams(text: bytes) -> np.ndarray:
     return (packed * _HASH) >> np.uint32(32 - BITS)
 
 
+def primary_subtag(lang: Column) -> Column:
+    """``pt-BR`` and ``pt_pt`` are ``pt``; null without a name. ``x-...`` and ``i-...`` stay whole."""
+    name = F.lower(F.trim(lang.cast("string")))
+    found = F.regexp_extract(name, "^([^-_]{2,})[-_]", 1)
+    return F.when(found != "", found).when(name != "", name)
+
+
 def train_text_model(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 ) -> tuple[list[str], np.ndarray]:
     """Language names and the log-probability of every trigram number in each."""
-    languages = [
-        r["lang"]
-        for r in docs.groupBy(F.lower(F.trim(F.col(f"`{lang_col}`").cast("string"))).alias("lang"))
-        .count()
-        .filter("lang is not null and lang <> ''")
-        .orderBy(F.col("count").desc(), "lang")
-        .limit(LANGUAGES)
-        .collect()
-    ]
-    languages.sort()
     rows = docs.select(
-        F.lower(F.trim(F.col(f"`{lang_col}`").cast("string"))).alias("lang"),
-        utf8(text_col).alias("text"),
-    ).filter(F.col("lang").isin(languages))
-    counted = (
-        map_batches(rows, partial(_count_trigrams, languages), "lang int, at int, n long")
+        primary_subtag(F.col(f"`{lang_col}`")).alias("lang"), utf8(text_col).alias("text")
+    ).filter("lang is not null")
+    learned = (
+        map_batches(rows, _count_trigrams, "lang string, at int, n long")
         .groupBy("lang", "at")
         .agg(F.sum("n").alias("n"))
+        .groupBy("lang")
+        .applyInArrow(on_group(_log_probabilities), "lang string, log_p binary")
         .toArrow()
-    )  # one row per language and trigram number at most
-    counts = np.zeros((len(languages), 1 << BITS))
-    counts[counted.column("lang").to_numpy(), counted.column("at").to_numpy()] = counted.column("n").to_numpy()
-    smooth = counts + 0.5
-    return languages, np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
+    )  # one row per language
+    found = dict(zip(learned.column("lang").to_pylist(), learned.column("log_p").to_pylist()))
+    languages = sorted(found)
+    log_p = np.zeros((len(languages), 1 << BITS), dtype=np.float32)
+    for i, name in enumerate(languages):
+        log_p[i] = np.frombuffer(found.pop(name), dtype="<f4")
+    return languages, log_p
+
+
+def _count_trigrams(batches: Batches) -> Batches:
+    schema = pa.schema([("lang", pa.string()), ("at", pa.int32()), ("n", pa.int64())])
+    counts: dict[str, np.ndarray] = {}
+
+    def counted() -> Batches:
+        for name, n in counts.items():
+            at = np.flatnonzero(n)
+            if not len(at):  # a language without any trigram is one as well
+                at = np.zeros(1, dtype=np.int64)
+            yield out_batch(schema, [name] * len(at), pa.array(at.astype(np.int32)), pa.array(n[at]))
+        counts.clear()
 
-
-def _count_trigrams(languages: list[str], batches: Batches) -> Batches:
-    counts = np.zeros((len(languages), 1 << BITS), dtype=np.int64)
-    place = {name: i for i, name in enumerate(languages)}
     for batch in batches:
         for name, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            counts[place[name]] += np.bincount(trigrams(text), minlength=1 << BITS)
-    lang, at = np.nonzero(counts)
-    schema = pa.schema([("lang", pa.int32()), ("at", pa.int32()), ("n", pa.int64())])
-    yield out_batch(
-        schema, pa.array(lang.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(counts[lang, at])
-    )
+            if name not in counts:
+                if len(counts) >= HELD:
+                    yield from counted()
+                counts[name] = np.zeros(1 << BITS, dtype=np.int64)
+            counts[name] += np.bincount(trigrams(text), minlength=1 << BITS)
+    yield from counted()
+
+
+def _log_probabilities(rows: pa.Table) -> pa.Table:
+    smooth = np.full(1 << BITS, 0.5)
+    smooth[rows.column("at").to_numpy()] += rows.column("n").to_numpy()
+    log_p = np.log(smooth / smooth.sum()).astype("<f4")
+    schema = pa.schema([("lang", pa.string()), ("log_p", pa.binary())])
+    return pa.table([[rows.column("lang")[0].as_py()], [log_p.tobytes()]], schema=schema)
 
 
 def identify(
@@ -109,9 +130,8 @@ def identify(
     and ``domain`` (strings; null where unknown).
     """
     spark = rows.sparkSession
-    languages, _ = model
-    names = F.array(*map(F.lit, languages)) if languages else F.array().cast("array<string>")
-    sent = spark.sparkContext.broadcast(model)
+    languages, log_p = model
+    sent = spark.sparkContext.broadcast((len(languages), np.ascontiguousarray(log_p.T)))
     id_type = rows.schema["id"].dataType.simpleString()
     facts = "declared string, suffix string, host string, domain string"
     voted = staged(
@@ -132,87 +152,135 @@ def identify(
             F.lit(False).alias("accepted"),
         )
     known = voted.filter("vote is not null")
-    n = len(languages)
     overall = {r["vote"]: r["n"] for r in known.groupBy("vote").agg(F.count("*").alias("n")).collect()}
-    total = sum(overall.values())
-    shares = [(overall.get(i, 0) + 1.0) / (total + n) for i in range(n)]
-    of_language = [float(overall.get(i, 0)) for i in range(n)]
+    of_language = np.array([float(overall.get(i, 0)) for i in range(len(languages))])
     result = voted
     for key in ("declared", "suffix", "host", "domain"):
-        result = _with_counts(result, known, key, n)
-    all_shares = F.array(*map(F.lit, shares))
-    own = F.when(F.col("vote").isNotNull(), F.lit(1.0)).otherwise(F.lit(0.0))
-
-    def counts(key: str, i: Column) -> Column:
-        """Votes of the other rows with the same key."""
-        mine = F.when(F.col("vote") == i, own).otherwise(F.lit(0.0))
-        return F.greatest(F.lit(0.0), F.coalesce(F.get(F.col(f"{key}_counts"), i), F.lit(0.0)) - mine)
-
-    def others(key: str) -> Column:
-        return F.greatest(F.lit(0.0), F.coalesce(F.col(f"{key}_total"), F.lit(0.0)) - own)
-
-    def score(i: Column) -> Column:
-        domain = (counts("domain", i) + STRENGTH * F.get(all_shares, i)) / (others("domain") + STRENGTH)
-        host = (counts("host", i) + STRENGTH * domain) / (others("host") + STRENGTH)
-        told = F.lit(0.0)
-        of_it = F.get(F.array(*map(F.lit, of_language)), i)
-        for key in ("declared", "suffix"):
-            # P(key | language), smoothed towards P(key).
-            spread = F.greatest(others(key), F.lit(1.0)) / F.lit(float(max(1, total)))
-            likelihood = (counts(key, i) + STRENGTH * spread) / (of_it + STRENGTH)
-            told = told + F.when(F.col(key).isNotNull(), F.log(likelihood)).otherwise(F.lit(0.0))
-        return F.log(host) + told + F.get("evidence", i)
-
-    scored = result.withColumn("scores", F.transform(F.sequence(F.lit(0), F.lit(n - 1)), score))
-    top = F.array_max("scores")
-    weights = F.aggregate("scores", F.lit(0.0), lambda a, x: a + F.exp(x - top))
-    return scored.select(
-        "id",
-        F.get(names, F.array_position("scores", top).cast("int") - 1).alias("language"),
-        (1 / weights).alias("confidence"),
-        F.get(names, F.col("vote")).alias("text_language"),
-        (F.col("letters") & (1 / weights >= min_confidence)).alias("accepted"),
+        result = _with_counts(result, known, key)
+    fused = spark.sparkContext.broadcast((languages, of_language))
+    return map_batches(
+        result,
+        partial(_fuse, fused, min_confidence),
+        f"id {id_type}, language string, confidence double, text_language string, accepted boolean",
     )
 
 
-def _with_counts(rows: DataFrame, known: DataFrame, key: str, n: int) -> DataFrame:
-    """Each row with the votes per language of all rows that share its ``key``."""
-    per_language = [F.sum(F.when(F.col("vote") == i, 1.0).otherwise(0.0)) for i in range(n)]
+def _with_counts(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Each row with the votes of all rows that share its ``key``, for the languages that have any."""
     table = staged(
         known.filter(F.col(key).isNotNull())
+        .groupBy(key, "vote")
+        .agg(F.count("*").cast("double").alias("n"))
         .groupBy(key)
-        .agg(F.array(*per_language).alias(f"{key}_counts"), F.count("*").cast("double").alias(f"{key}_total")),
+        .agg(
+            F.collect_list(F.struct("vote", "n")).alias("votes"),
+            F.sum("n").alias(f"{key}_total"),
+        )
+        .select(
+            key,
+            F.col("votes.vote").alias(f"{key}_votes"),
+            F.col("votes.n").alias(f"{key}_counts"),
+            f"{key}_total",
+        ),
         workspace(rows.sparkSession, f"language-{key}"),
     )
     # Both sides come straight from files or shuffles of their own: hot keys can be split.
     return rows.join(table, key, "left")
 
 
+def _fuse(sent, min_confidence: float, batches: Batches) -> Batches:
+    languages, of_language = sent.value
+    n, total = len(languages), of_language.sum()
+    shares = (of_language + 1.0) / (total + n)
+    step = max(1, STEP_NUMBERS // n)
+    for whole in batches:
+        for start in range(0, whole.num_rows, step):
+            batch = whole.slice(start, step)
+            rows = np.arange(batch.num_rows)
+            votes = batch.column("vote").to_pylist()
+            voters = np.array([i for i, v in enumerate(votes) if v is not None], dtype=np.int64)
+            own = np.zeros((len(rows), 1))
+            own[voters] = 1.0
+
+            def of_others(key: str) -> tuple[np.ndarray, np.ndarray]:
+                """Votes of the other rows with the same key: per language, and all."""
+                counts = np.zeros((len(rows), n))
+                named, found = batch.column(f"{key}_votes"), batch.column(f"{key}_counts")
+                sizes = pc.fill_null(pc.list_value_length(named), 0).to_numpy(zero_copy_only=False)
+                counts[np.repeat(rows, sizes), named.flatten().to_numpy()] = found.flatten().to_numpy()
+                counts[voters, [votes[i] for i in voters]] -= 1.0
+                all_votes = pc.fill_null(batch.column(f"{key}_total"), 0.0).to_numpy(zero_copy_only=False)
+                return np.maximum(counts, 0.0), np.maximum(all_votes[:, None] - own, 0.0)
+
+            scores = batch.column("evidence").flatten().to_numpy().reshape(len(rows), n).copy()
+            counts, others = of_others("domain")
+            domain = (counts + STRENGTH * shares) / (others + STRENGTH)
+            counts, others = of_others("host")
+            scores += np.log((counts + STRENGTH * domain) / (others + STRENGTH))
+            for key in ("declared", "suffix"):
+                # P(key | language), smoothed towards P(key).
+                counts, others = of_others(key)
+                spread = np.maximum(others, 1.0) / max(1.0, total)
+                likelihood = (counts + STRENGTH * spread) / (of_language + STRENGTH)
+                told = batch.column(key).is_valid().to_numpy(zero_copy_only=False)
+                scores += np.where(told[:, None], np.log(likelihood), 0.0)
+            best = scores.argmax(axis=1)
+            confidence = 1 / np.exp(scores - scores[rows, best][:, None]).sum(axis=1)
+            letters = batch.column("letters").to_numpy(zero_copy_only=False)
+            schema = pa.schema(
+                [
+                    ("id", batch.column("id").type),
+                    ("language", pa.string()),
+                    ("confidence", pa.float64()),
+                    ("text_language", pa.string()),
+                    ("accepted", pa.bool_()),
+                ]
+            )
+            yield out_batch(
+                schema,
+                batch.column("id"),
+                [languages[i] for i in best],
+                pa.array(confidence),
+                [None if v is None else languages[v] for v in votes],
+                pa.array(letters & (confidence >= min_confidence)),
+            )
+
+
 def _text_evidence(sent, batches: Batches) -> Batches:
-    languages, log_p = sent.value
-    for batch in batches:
-        evidence, votes, letters = [], [], []
-        for text in batch.column("text").to_pylist():
-            numbers = trigrams(text)
-            has_letters = bool(_LETTER.search(text.decode("utf-8", "replace")))
-            total = log_p[:, numbers].sum(axis=1, dtype=np.float64) if languages else np.zeros(0)
-            kept = min(len(numbers), MOST_TRIGRAMS) / max(1, len(numbers))
-            own = total * (TEMPER * kept)
-            own -= own.max() if len(own) else 0
-            letters.append(has_letters)
-            evidence.append(own.tolist() if has_letters else [0.0] * len(languages))
-            votes.append(int(own.argmax()) if has_letters and len(own) else None)
+    n, by_trigram = sent.value
+    step = max(1, STEP_NUMBERS // max(1, n))
+    facts = ("declared", "suffix", "host", "domain")
+    for whole in batches:
         schema = pa.schema(
             [
-                ("id", batch.column("id").type),
-                *((c, pa.string()) for c in ("declared", "suffix", "host", "domain")),
+                ("id", whole.column("id").type),
+                *((c, pa.string()) for c in facts),
                 ("evidence", pa.list_(pa.float64())),
                 ("vote", pa.int32()),
                 ("letters", pa.bool_()),
             ]
         )
-        passed = (batch.column(c).cast(pa.string()) for c in ("declared", "suffix", "host", "domain"))
-        yield out_batch(schema, batch.column("id"), *passed, evidence, votes, letters)
+        for start in range(0, whole.num_rows, step):
+            batch = whole.slice(start, step)
+            evidence = np.zeros((batch.num_rows, n))
+            votes, letters = [], []
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                has_letters = bool(_LETTER.search(text.decode("utf-8", "replace")))
+                letters.append(has_letters)
+                if not has_letters or not n:
+                    votes.append(None)
+                    continue
+                numbers = trigrams(text)
+                own = evidence[i]
+                for k in range(0, len(numbers), step):
+                    own += by_trigram[numbers[k : k + step]].sum(axis=0, dtype=np.float64)
+                own *= TEMPER * min(len(numbers), MOST_TRIGRAMS) / max(1, len(numbers))
+                own -= own.max()
+                votes.append(int(own.argmax()))
+            ends = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * n, pa.int32())
+            lists = pa.ListArray.from_arrays(ends, pa.array(evidence.ravel()))
+            passed = (batch.column(c).cast(pa.string()) for c in facts)
+            yield out_batch(schema, batch.column("id"), *passed, lists, votes, letters)
 
 
 _HTML_LANG = re.compile(rb"<html[^>]*?\slang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)

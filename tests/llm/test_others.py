@@ -9,6 +9,7 @@ import numpy as np
 from samples import ROWS
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from millrace.llm import warc
 from millrace.llm.ann import nearest
 from millrace.llm.language_id import identify, page_evidence, train_text_model
@@ -99,6 +100,26 @@ def test_language(spark, tricky, nothing):
     assert untrained.filter("accepted").count() == 0 and untrained.count() == len(pages)
 
 
+def test_every_language_is_modelled(spark):
+    r = np.random.default_rng(5)
+    words = {f"l{i:02}": ["".join(r.choice(list("abcdefghijklmnop"), 6)) for _ in range(8)] for i in range(90)}
+    rows = [
+        (i * 100 + k, " ".join(r.permutation(known)), [name, f"{name.upper()}-US", f" {name}_gb "][k % 3])
+        for i, (name, known) in enumerate(words.items())
+        for k in range(3 if i < 45 else 2)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("source", F.lit("a"))
+    model = train_text_model(docs)
+    assert model[0] == sorted(words)
+    nothing = F.lit(None).cast("string")
+    facts = {c: nothing for c in ("declared", "suffix", "host", "domain")}
+    unlabelled = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("binary")).withColumns(facts)
+    got = identify(unlabelled, model).collect()
+    assert len(got) == len(rows)
+    assert all(x["accepted"] and x["language"] == f"l{x['id'] // 100:02}" for x in got)
+    assert corpus_pipeline.language_id(spark, docs, "").count() == len(rows)
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(3)
     vectors = rng.normal(size=(900, 24)).astype(np.float32)
