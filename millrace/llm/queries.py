@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from millrace.llm.ann import nearest
 from millrace.llm.exact_dedup import exact_groups
 from millrace.llm.language_id import identify, page_evidence, train_text_model
+from millrace.llm.lexical import search
 from millrace.llm.line_dedup import drop_repeated_lines
 from millrace.llm.mixing import cyclic_weights, mix
 from millrace.llm.packing import pack
@@ -16,6 +17,7 @@ from millrace.llm.shared import table
 from millrace.llm.simhash import near_duplicates
 from millrace.llm.token_counts import token_counts
 from millrace.llm.toxicity import score, train
+from millrace.llm.vector_codes import compress
 from millrace.llm.warc import archived_pages
 from millrace.workload.registry import Query, Run
 
@@ -189,3 +191,82 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def _round_sql(n: int) -> str:
+    """Assign the parts to entries ``e{n}`` as ``a{n}`` and, but for the last, move the entries."""
+    assign = f"""
+a{n} as materialized (
+  select vec_id, p, min([d, e])[1] as d, min([d, e])[2] as e from (
+    select vec_id, p, e, list_sum(list_transform(list_zip(part, entry),
+             lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d
+    from parts join e{n} using (p))
+  group by vec_id, p)"""
+    move = f""",
+m{n} as (
+  select p, e, list(c order by pos) as entry from (
+    select p, e, pos, floor(sum(x)::double / count(*))::bigint as c from (
+      select p, e, unnest(part) as x, generate_subscripts(part, 1) as pos
+      from a{n} join parts using (vec_id, p))
+    group by p, e, pos)
+  group by p, e),
+e{n + 1} as materialized (
+  select p, e, coalesce(m{n}.entry, e{n}.entry) as entry from e{n} left join m{n} using (p, e))"""
+    return assign + move if n < 2 else assign
+
+
+@_query(f"""
+with kept as (
+  select vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+parts as materialized (
+  select vec_id, p, v[(p * len(v) // 16 + 1):((p + 1) * len(v) // 16)] as part
+  from kept, range(16) as positions(p)),
+e0 as materialized (
+  select p, row_number() over (partition by p order by vec_id) - 1 as e, part as entry
+  from parts qualify e < 64),
+{_round_sql(0)},
+{_round_sql(1)},
+{_round_sql(2)},
+coded as (
+  select vec_id, string_agg(printf('%02x', e), '' order by p) as code, sum(d)::bigint as error
+  from a2 group by vec_id)
+select vec_id, label, code, error, (sum(error) over (partition by label))::bigint as label_error,
+       (select sha256(string_agg(array_to_string(entry, ','), ',' order by p, e)) from e2)
+         as codebooks_sha256
+from coded join kept using (vec_id)""")
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
+def _terms_sql(source: str, name: str) -> str:
+    return f"""
+  select {name}, unnest(regexp_extract_all({_lower_sql("text")},
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from {source} where text is not null"""
+
+
+@_query(f"""
+with found as ({_terms_sql("documents", "doc_id")}),
+asked as (select item_id, term, count(*) as q from ({_terms_sql("benchmark", "item_id")})
+          group by item_id, term),
+lengths as (select doc_id, count(*) as n from found group by doc_id),
+whole as (select count(*) as docs, sum(n)::bigint as words from lengths),
+held as (select doc_id, term, count(*) as tf from found semi join asked using (term)
+         group by doc_id, term),
+weights as (
+  select term, floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from held, whole group by term),
+norms as (select doc_id, 25 + (75 * n * docs) // words as m from lengths, whole),
+scores as (
+  select item_id, doc_id,
+         sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+  from asked join held using (term) join weights using (term) join norms using (doc_id)
+  group by item_id, doc_id)
+select item_id, (row_number() over best)::integer as rank, doc_id, score
+from scores where score > 0
+window best as (partition by item_id order by score desc, doc_id)
+qualify rank <= 10""")
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
