@@ -12,6 +12,7 @@ from millrace.llm.language_id import identify, page_evidence, train_text_model
 from millrace.llm.lexical import search
 from millrace.llm.line_dedup import drop_repeated_lines
 from millrace.llm.mixing import cyclic_weights, mix
+from millrace.llm.ngram_join import ngram_components
 from millrace.llm.packing import pack
 from millrace.llm.shared import table
 from millrace.llm.simhash import near_duplicates
@@ -240,6 +241,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress(table(spark, sf_dir, "embeddings"))
 
 
+@_query()
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
 def _terms_sql(source: str, name: str) -> str:
     return f"""
   select {name}, unnest(regexp_extract_all({_lower_sql("text")},
