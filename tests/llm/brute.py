@@ -83,3 +83,96 @@ def components(prints: list[int], names: list, radius: int = 4) -> list:
             r = root(i)
             least[r] = min(least.get(r, name), name)
     return [least.get(root(i)) for i in range(len(prints))]
+
+
+def shingle_set(text: str | None, width: int = 4) -> frozenset:
+    w = words(lower(text))
+    return frozenset(" ".join(w[i : i + width]) for i in range(max(1, len(w) - width + 1))) if w else frozenset()
+
+
+def jaccard(rows, percent: int = 85):
+    """(id, text) -> counted (id, set size, smallest id reachable)."""
+    sets = [shingle_set(t) for _, t in rows]
+    label = list(range(len(rows)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                x, y = root(i), root(j)
+                label[max(x, y)] = min(x, y)
+    least = {}
+    for i, (name, _) in enumerate(rows):
+        if name is not None:
+            least[root(i)] = min(least.get(root(i), name), name)
+    return Counter((name, len(sets[i]), least.get(root(i))) for i, (name, _) in enumerate(rows))
+
+
+def parted(vectors, parts=16, entries=64, rounds=2):
+    """(id, vector) rows of one width, by id -> codes, errors and the final codebooks."""
+    import math
+    from fractions import Fraction
+
+    width = len(vectors[0][1])
+    each = -(-width // parts)
+    whole = [[math.floor(Fraction(x) * 256) for x in v] + [0] * (each * parts - width) for _, v in vectors]
+    cut = [[tuple(v[p * each : (p + 1) * each]) for p in range(parts)] for v in whole]
+    books = [[v[p] for v in cut[:entries]] for p in range(parts)]
+
+    def assign():
+        out = []
+        for v in cut:
+            out.append(
+                [
+                    min((sum((a - b) ** 2 for a, b in zip(v[p], e)), i) for i, e in enumerate(books[p]))
+                    for p in range(parts)
+                ]
+            )
+        return out
+
+    for _ in range(rounds):
+        own = assign()
+        for p in range(parts):
+            for i in range(len(books[p])):
+                of_entry = [cut[r][p] for r, a in enumerate(own) if a[p][1] == i]
+                if of_entry:
+                    books[p][i] = tuple(sum(c) // len(of_entry) for c in zip(*of_entry))
+    last = assign()
+    text = ",".join(str(c) for book in books for e in book for c in e)
+    return [("".join(f"{i:02x}" for _, i in a), sum(d for d, _ in a)) for a in last], sha(text)
+
+
+def lexical(docs, items, k=10):
+    """Counted (item, rank, id, score)."""
+    import math
+    import re
+
+    def found(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower(text))
+
+    of_docs = [(name, Counter(found(text))) for name, text in docs]
+    n_docs = sum(1 for _, t in of_docs if t)
+    n_words = sum(sum(t.values()) for _, t in of_docs)
+    holders = Counter(term for _, t in of_docs for term in t)
+    out = Counter()
+    for item, text in items:
+        scored = []
+        for name, t in of_docs:
+            if not t:
+                continue
+            m = 25 + 75 * sum(t.values()) * n_docs // n_words
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * holders[w] + 1)))
+                * (10**9 * t[w] // (1000 * t[w] + 8 * m))
+                for w in found(text)
+                if w in t
+            )
+            if score > 0:
+                scored.append((-score, name is None, name or 0, name))
+        for rank, (score, _, _, name) in enumerate(sorted(scored)[:k], start=1):
+            out[item, rank, name, -score] += 1
+    return out

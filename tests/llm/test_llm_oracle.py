@@ -19,4 +19,4 @@ def test_query(spark, name):
 
 
 def test_names_are_the_contract():
-    assert sorted(int(n.split("_")[0][2:]) for n in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in LLM_QUERIES) == list(range(1, 14))
