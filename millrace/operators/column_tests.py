@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import join_splittable
+from millrace.operators.keyfilter import possible
 from millrace.operators.rules import ORDER_STATUSES, PAYMENT_METHODS
 
 
@@ -39,11 +40,13 @@ def relationships_failures(
     """Child rows whose non-null key has no parent row.
 
     Child keys are reduced to distinct values before the anti-join, then joined back by
-    a join that can split a key shared by a large part of the rows.
+    a join that can split a key shared by a large part of the rows. A bounded filter of the
+    orphan keys stands before that join, so that only possible orphans are shuffled.
     """
     keys = child.select(F.col(column)).filter(F.col(column).isNotNull()).distinct()
     known = parent.select(F.col(parent_column).alias(column)).distinct()
-    return join_splittable(child, keys.join(known, column, "left_anti"), column, "left_semi")
+    orphans = keys.join(known, column, "left_anti")
+    return join_splittable(possible(child, orphans, column), orphans, column, "left_semi")
 
 
 def accepted_range_failures(

@@ -19,8 +19,10 @@ def deduplicate(
 ) -> DataFrame:
     """Keep the first or last row per key in the given order; NULL keys form one group.
 
-    A DataFrame has no row position, so the order is an argument. Ties are broken by
-    all remaining columns, which makes the surviving row the same on every run.
+    A DataFrame has no row position, so the order is an argument. ``read_csv`` gives rows
+    their place in the input as a column on request; ordered by it, first and last are those
+    of the input. Ties are broken by all remaining columns, which makes the surviving row the
+    same on every run.
     Any ``keep`` other than ``"last"`` keeps the first.
     """
     rest = [
@@ -44,14 +46,19 @@ def newest_per_key(df: DataFrame, key: str, loaded_at: str = "_loaded_at") -> Da
 
 
 def top_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """First row per key in ``order``.
+    """First row per key in ``order``."""
+    return top_rows(df, keys, order, 1)
 
-    The ``rank == 1`` filter directly above ``row_number`` lets Spark keep one row per
-    key and map task before the shuffle, so a hot key sends at most one row per task.
+
+def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
+    """The first ``n`` rows per key in ``order``.
+
+    The filter on the rank directly above ``row_number`` lets Spark keep ``n`` rows per
+    key and map task before the shuffle, so a hot key sends at most so many rows per task.
     """
     window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order)
     return (
         df.withColumn(_RANK, F.row_number().over(window))
-        .filter(F.col(_RANK) == 1)
+        .filter(F.col(_RANK) <= n)
         .drop(_RANK)
     )

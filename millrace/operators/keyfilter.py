@@ -11,7 +11,7 @@ _WORD, _BIT, _BITS = "_millrace_word", "_millrace_bit", "_millrace_bits"
 
 
 def _hashed(df: DataFrame, key: str, words: int) -> DataFrame:
-    place = F.pmod(F.xxhash64(F.col(key)), F.lit(64 * words))
+    place = F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(64 * words))
     return df.withColumn(_WORD, F.shiftright(place, 6)).withColumn(
         _BIT, (place % 64).cast("int")
     )
@@ -25,16 +25,19 @@ def words_for(n_keys: int) -> int:
     return words
 
 
-def possible(df: DataFrame, keys: DataFrame, key: str, words: int) -> DataFrame:
+def possible(
+    df: DataFrame, keys: DataFrame, key: str, words: int = MOST_WORDS
+) -> DataFrame:
     """Rows of ``df`` whose ``key`` may be among ``keys``; surely every row whose key is.
 
     A bit of a table of ``words`` 64-bit words is set for the hash of each key (a Bloom filter
-    with one hash function). The table is never larger than ``MOST_WORDS`` words and is
-    broadcast; rows whose bit is not set are dropped without a shuffle. With many more keys
-    than bits the filter lets everything pass, so what follows must still be an exact join.
+    with one hash function). Only words with a bit set are rows of that table, so it is never
+    larger than the keys nor than ``MOST_WORDS`` words, and is broadcast; rows whose bit is not
+    set are dropped without a shuffle. With many more keys than bits the filter lets
+    everything pass, so what follows must still be an exact join.
     """
     bits = (
-        _hashed(keys.select(key).filter(F.col(key).isNotNull()), key, words)
+        _hashed(keys.select(f"`{key}`").filter(F.col(f"`{key}`").isNotNull()), key, words)
         .groupBy(_WORD)
         .agg(F.bit_or(F.expr(f"shiftleft(1L, {_BIT})")).alias(_BITS))
     )

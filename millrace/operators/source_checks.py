@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from millrace.functions.numeric import rate
 from millrace.functions.report import report
 from millrace.functions.text import is_blank, strip
+from millrace.operators.dedup import top_rows
 from millrace.operators.rules import ORDER_STATUSES, PAYMENT_METHODS
 
 SAMPLE_SIZE = 5
@@ -136,6 +137,51 @@ def _distinct(df: DataFrame, column: str | None) -> Column:
     return F.count_distinct(c) + F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))
 
 
+def _comparable(df: DataFrame, column: str | None) -> Column:
+    """Text that differs exactly where values differ; NULL for a missing value that is no text."""
+    if _is_text(df, column):
+        return _text(df, column)
+    c, dtype = F.col(f"`{column}`"), df.schema[column].dataType
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        c = c + F.lit(0.0)  # one zero
+    elif isinstance(dtype, T.TimestampType):
+        c = F.unix_micros(c)
+    elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
+        c = F.to_json(c)
+    elif isinstance(dtype, T.BinaryType):
+        c = F.hex(c)
+    return c.cast("string")
+
+
+def _distinct_counts(df: DataFrame, columns: Sequence[str | None]) -> DataFrame:
+    """One row: what ``_distinct`` counts, for several columns, as ``distinct_<column>``.
+
+    Every row becomes one pair of column number and value per column. Pairs are made distinct
+    by an aggregation that is combined before the shuffle, then counted per number.
+    """
+    pairs = df.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).alias("number"), _comparable(df, c).alias("value")
+                    )
+                    for i, c in enumerate(columns)
+                ]
+            )
+        )
+    )
+    per_number = pairs.distinct().groupBy("number").agg(F.count(F.lit(1)).alias("unique"))
+    return per_number.agg(
+        *[
+            F.coalesce(F.max(F.when(F.col("number") == i, F.col("unique"))), F.lit(0)).alias(
+                f"distinct_{c}"
+            )
+            for i, c in enumerate(columns)
+        ]
+    )
+
+
 def _violates(df: DataFrame, check: Check) -> Column:
     """True on rows with a non-blank value outside the accepted list (case-sensitive)."""
     value = strip(_text(df, check.column))
@@ -167,16 +213,24 @@ def _entry(
 
 
 def _row_metrics(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
-    """All row checks of one source from a single aggregation over a single scan."""
+    """All row checks of one source from a single aggregation over a single scan.
+
+    Several columns that must be unique are counted apart, from a second scan of those columns:
+    counting them in the same aggregation would multiply complete rows.
+    """
+    keys = sorted({c.column for _, c in checks if c.check_type == "uniqueness"}, key=str)
     aggregates: dict[str, Column] = {"n": F.count(F.lit(1))}
     for position, c in checks:
         if c.check_type == "null_rate":
             aggregates[f"blank_{c.column}"] = F.count_if(_missing(df, c.column))
-        elif c.check_type == "uniqueness":
+        elif c.check_type == "uniqueness" and len(keys) == 1:
             aggregates[f"distinct_{c.column}"] = _distinct(df, c.column)
         elif c.check_type == "accepted_values":
             aggregates[f"bad_{c.column}_{position}"] = F.count_if(_violates(df, c))
     counted = df.agg(*[a.alias(name) for name, a in aggregates.items()])
+    if len(keys) > 1:
+        both = counted.unionByName(_distinct_counts(df, keys), allowMissingColumns=True)
+        counted = both.agg(*[F.max(f"`{c}`").alias(c) for c in both.columns])
 
     n = F.col("n")
     entries = []
@@ -294,21 +348,54 @@ def check_metrics(
     return reduce(DataFrame.unionByName, frames)
 
 
-def sample_violations(df: DataFrame, check: Check) -> list[str]:
-    """The first five distinct refused values in sorted order."""
-    bad = df.filter(_violates(df, check)).select(strip(_text(df, check.column)).alias("key"))
-    return _first(bad.distinct())
-
+def failure_samples(
+    sources: Mapping[str, DataFrame], failed: Sequence[tuple[int, Check]]
+) -> DataFrame:
+    """``position, key``: the first five distinct offending values of each check, in one frame.
 
-def sample_orphans(child: DataFrame, parent: DataFrame, check: Check) -> list[str]:
-    """The first five distinct orphan keys in sorted order."""
-    return _first(
-        orphan_keys(child, check.column, parent, check.params.get("reference_column", ""))
+    A source is scanned once for all its accepted values; orphans are one difference of key
+    sets per check. Tasks keep five values per check before any are brought together.
+    """
+    by_source: dict[str, list[tuple[int, Check]]] = {}
+    found: list[DataFrame] = []
+    for position, c in failed:
+        if c.check_type == "accepted_values":
+            by_source.setdefault(c.source_name, []).append((position, c))
+        elif c.check_type == "referential_integrity":
+            parent, column = sources[c.params["reference_source"]], c.params.get("reference_column", "")
+            orphans = orphan_keys(sources[c.source_name], c.column, parent, column)
+            found.append(orphans.select(F.lit(position).alias("position"), "key"))
+    for name, checks in by_source.items():
+        df = sources[name]
+        offending = [
+            F.struct(
+                F.lit(position).alias("position"),
+                F.when(_violates(df, c), strip(_text(df, c.column))).alias("key"),
+            )
+            for position, c in checks
+        ]
+        found.append(df.select(F.inline(F.array(*offending))).filter(F.col("key").isNotNull()).distinct())
+    return top_rows(
+        reduce(DataFrame.unionByName, found), ["position"], [F.col("key").asc()], SAMPLE_SIZE
     )
 
 
-def _first(keys: DataFrame) -> list[str]:
-    return [r.key for r in keys.orderBy("key").limit(SAMPLE_SIZE).collect()]
+def _samples(
+    sources: Mapping[str, DataFrame], checks: Sequence[Check], measured: Mapping[int, Row]
+) -> dict[int, list[str]]:
+    """Samples of the failed checks by position: five values each at most, from one job."""
+    failed = [
+        (i, c)
+        for i, c in enumerate(checks)
+        if c.check_type in ("accepted_values", "referential_integrity")
+        and not measured[i].passed
+        and not measured[i].problem
+    ]
+    samples: dict[int, list[str]] = {}
+    if failed:
+        for r in failure_samples(sources, failed).collect():
+            samples.setdefault(r.position, []).append(r.key)
+    return {i: sorted(keys) for i, keys in samples.items()}
 
 
 #: What the counted part of a check's rows is.
@@ -320,7 +407,9 @@ _PARTS = {
 }
 
 
-def _message(c: Check, m: Row, sources: Mapping[str, DataFrame]) -> str:
+def _message(
+    c: Check, m: Row, sources: Mapping[str, DataFrame], sample: Sequence[str]
+) -> str:
     if m.problem:
         return m.problem
     limit = float(c.threshold or 0.0)
@@ -335,19 +424,13 @@ def _message(c: Check, m: Row, sources: Mapping[str, DataFrame]) -> str:
             for kind, names in (("missing", absent), ("surplus", surplus))
             if names or kind == "missing"
         )
-    part, whole, sample = m.part, m.whole, []
+    part, whole = m.part, m.whole
     if c.check_type == "uniqueness":
         part = whole - part
     elif c.check_type == "null_rate":
         part = round(m.metric_value * whole)
         if c.column not in sources[c.source_name].columns:
             return report(f"{c.column} is no column of {c.source_name}")
-    elif not m.passed and c.check_type == "accepted_values":
-        sample = sample_violations(sources[c.source_name], c)
-    elif not m.passed:
-        sample = sample_orphans(
-            sources[c.source_name], sources[c.params["reference_source"]], c
-        )
     what = f"{_PARTS[c.check_type]} in {c.source_name}.{c.column}"
     return report(what, part, whole, f"{limit:.2%}", sample)
 
@@ -366,7 +449,10 @@ def run_checks(
     checks = default_checks() if checks is None else list(checks)
     try:
         measured = {r.position: r for r in check_metrics(spark, sources, checks).collect()}
-        return [_to_result(c, measured[i], sources) for i, c in enumerate(checks)]
+        samples = _samples(sources, checks, measured)
+        return [
+            _to_result(c, measured[i], sources, samples.get(i, [])) for i, c in enumerate(checks)
+        ]
     except PySparkException as exc:
         if not _is_about_data(exc):
             raise
@@ -383,7 +469,8 @@ def _is_about_data(exc: PySparkException) -> bool:
 
 def _run_alone(spark: SparkSession, sources: Mapping[str, DataFrame], c: Check) -> CheckResult:
     try:
-        return _to_result(c, check_metrics(spark, sources, [c]).collect()[0], sources)
+        m = check_metrics(spark, sources, [c]).collect()[0]
+        return _to_result(c, m, sources, _samples(sources, [c], {0: m}).get(0, []))
     except PySparkException as exc:
         if not _is_about_data(exc):
             raise
@@ -396,13 +483,15 @@ def _run_alone(spark: SparkSession, sources: Mapping[str, DataFrame], c: Check)
         )
 
 
-def _to_result(c: Check, m: Row, sources: Mapping[str, DataFrame]) -> CheckResult:
+def _to_result(
+    c: Check, m: Row, sources: Mapping[str, DataFrame], sample: Sequence[str]
+) -> CheckResult:
     return CheckResult(
         check_name=m.check_name,
         source_name=m.source_name,
         passed=m.passed,
         severity=m.severity,
-        message=_message(c, m, sources),
+        message=_message(c, m, sources, sample),
         metric_value=m.metric_value,
         threshold=m.threshold,
     )

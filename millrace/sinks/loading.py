@@ -19,6 +19,7 @@ from millrace.sinks.tables import (
     load_overwrite,
     row_count,
 )
+from millrace.sources.pools import each_source
 from millrace.sources.files import read_csv
 from millrace.sources.schemas import RAW_TABLES, spark_type
 
@@ -139,14 +140,18 @@ def load_source(
 
 
 def load_all(
-    w: Warehouse, paths: Mapping[str, str], loaded_at: datetime, multiline: bool = False
+    w: Warehouse,
+    paths: Mapping[str, str],
+    loaded_at: datetime,
+    multiline: bool = False,
+    at_once: int = 3,
 ) -> list[LoadResult]:
-    """Load every declared source that has a path, one after the other."""
-    return [
-        load_source(w, name, paths[name], loaded_at, multiline)
-        for name in RAW_TABLES
-        if name in paths
-    ]
+    """Load every declared source that has a path, ``at_once`` of them at a time."""
+    create_schema(w)
+    names = [name for name in RAW_TABLES if name in paths]
+    return each_source(
+        w.spark, lambda n: load_source(w, n, paths[n], loaded_at, multiline), names, at_once
+    )
 
 
 def results_frame(spark: SparkSession, results: Sequence[LoadResult]) -> DataFrame:

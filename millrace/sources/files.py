@@ -7,10 +7,19 @@ from functools import reduce
 from pathlib import PurePosixPath
 from typing import Literal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import workspace
+from millrace.sources.records import (
+    csv_records,
+    first_of_file,
+    json_elements,
+    leaves_open,
+    pieces,
+    read_quoted_csv,
+)
 from millrace.sources.schemas import EXPECTED_COLUMNS
 
 
@@ -19,13 +28,16 @@ def read_csv(
     path: str,
     multiline: bool = False,
     malformed: str | None = None,
+    position: str | None = None,
 ) -> DataFrame:
     """All columns as text, named by each file's own header. An empty field is NULL.
 
     Files may order their columns differently or lack some; what a file lacks is NULL.
-    ``malformed`` names an extra column that holds the raw line of rows with too few or
-    too many fields. ``multiline`` allows line breaks inside quoted fields at the price
-    of one task per file.
+    ``malformed`` names an extra column that holds the raw text of rows with too few or
+    too many fields. Quoted fields may hold line breaks: files that have some are put together
+    from their lines by many tasks. ``multiline`` hands all files to the reader that takes one
+    task per file. ``position`` names an extra column that orders rows as in the input: by
+    file, split and row. It does not depend on how many tasks read the files.
     """
 
     def reader():
@@ -38,36 +50,55 @@ def read_csv(
 
     def load(files: str | list[str]) -> DataFrame:
         df = reader().csv(files)
-        if malformed is None:
+        if malformed is not None:
+            schema = T.StructType([*df.schema.fields, T.StructField(malformed, T.StringType())])
+            marked = reader().schema(schema).option("columnNameOfCorruptRecord", malformed)
+            df = marked.csv(files)
+        if position is None:
             return df
-        schema = T.StructType([*df.schema.fields, T.StructField(malformed, T.StringType())])
-        return reader().schema(schema).option("columnNameOfCorruptRecord", malformed).csv(files)
+        place = F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("row"),
+        )
+        return df.select("*", place.alias(position))
 
-    alike = _files_by_header(spark, path)
-    if len(alike) < 2:
+    looked = _csv_files(spark, path)
+    kinds = looked.groupBy("header", "broken").agg(F.count(F.lit(1)).alias("n")).collect()
+    if len(kinds) < 2 and (multiline or not any(k.broken for k in kinds)):
         return load(path)
-    frames = [load(files) for files in alike]
+    # Files that differ are read in groups, each as a list of its files.
+    frames = []
+    files = F.sort_array(F.collect_list("path")).alias("files")
+    groups = looked.withColumn("open_header", leaves_open(F.col("header")))
+    groups = groups.groupBy("header", "open_header", "broken").agg(files)
+    for kind in groups.orderBy("header", "broken").collect():
+        if multiline or not kind.broken:
+            frames.append(load(kind.files))
+            continue
+        headers = {kind.header: kind.files}
+        if kind.open_header:
+            first = csv_records(spark, kind.files).filter(first_of_file())
+            first = first.groupBy("value").agg(files)
+            headers = {r.value: r.files for r in first.orderBy("value").collect()}
+        frames += [read_quoted_csv(spark, f, h, malformed, position) for h, f in headers.items()]
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    if malformed is None:
-        return df
-    return df.select(*[c for c in df.columns if c != malformed], malformed)
-
-
-def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
-    """The files of a source that share their first line, in groups.
-
-    Only the first block of each file is looked at, and one row per file comes back.
-    """
-    first_lines = (
-        spark.read.text(path)
-        .select("value", "_metadata.file_path", "_metadata.file_block_start")
-        .filter("file_block_start = 0")
-        .withColumn("at", F.monotonically_increasing_id())
-        .groupBy("file_path")
-        .agg(F.min_by("value", "at").alias("header"))
+    last = [c for c in (malformed, position) if c is not None]
+    return df.select(*[f"`{c}`" for c in df.columns if c not in last], *last)
+
+
+def _csv_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, header, broken`` of every file: its first line, and whether some line of it
+    leaves a quoted field open. One scan; a file is one row from then on."""
+    at_start = F.when(F.col("start") == 0, F.col("at"))
+    return (
+        pieces(spark, path, "\n")
+        .groupBy("path")
+        .agg(
+            F.rtrim(F.min_by("value", at_start), F.lit("\r")).alias("header"),
+            F.max(leaves_open(F.col("value"))).alias("broken"),
+        )
     )
-    groups = first_lines.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("f"))
-    return [r.f for r in groups.orderBy("header").collect()]
 
 
 JsonLayout = Literal["document", "lines"]
@@ -78,13 +109,39 @@ def read_json(
 ) -> DataFrame:
     """``document``: each file is an array of objects or one object. ``lines``: one per line.
 
-    The columns are the union of all keys. Use ``lines`` for large data: a document is one
-    task. A file of lines is refused as a document, since only its first line would be read.
+    The columns are the union of all keys. Documents larger than a split are cut at their
+    objects by many tasks and read from a working copy. A file of lines is refused as a
+    document, since only its first line would be read.
     """
     lines = lines if layout is None else layout == "lines"
-    if not lines:
-        _require_documents(spark, path)
-    return spark.read.option("multiLine", not lines).json(path)
+    if lines:
+        return spark.read.json(path)
+    sizes = spark.read.format("binaryFile").load(path).agg(F.max("length").alias("largest"))
+    largest = sizes.first().largest or 0
+    if largest > _bytes(spark, "spark.sql.files.maxPartitionBytes"):
+        return _read_large_documents(spark, path)
+    _require_documents(spark, path)
+    return spark.read.option("multiLine", True).json(path)
+
+
+def _bytes(spark: SparkSession, conf: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(conf))
+
+
+def _read_large_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Objects of documents, from a working copy with one object per line.
+
+    White space outside strings may be any; JSON strings hold no line breaks.
+    """
+    copy = workspace(spark, "json-objects")
+    objects = json_elements(spark, path)
+    together = Observation()
+    objects.observe(together, F.count_if(~F.col("apart")).alias("n")).select(
+        F.regexp_replace("value", r"[\r\n]+", " ")
+    ).write.text(copy)
+    if together.get["n"] > 0:
+        raise ValueError(f"{path} holds one object per line; read it as lines")
+    return spark.read.json(copy)
 
 
 def _require_documents(spark: SparkSession, path: str) -> None:
@@ -116,7 +173,7 @@ def read_source(
 ) -> DataFrame:
     """Choose the reader by the lower-cased suffix: .csv, .json, .jsonl, .ndjson, .parquet.
 
-    ``multiline``: line breaks in quoted CSV fields. ``json_layout``: how .json is laid out.
+    ``multiline``: as in ``read_csv``. ``json_layout``: how .json is laid out.
     """
     suffix = PurePosixPath(path.rstrip("/")).suffix.lower()
     if suffix == ".csv":

@@ -14,6 +14,7 @@ from millrace.operators.source_checks import (
     Check,
     check_metrics,
     default_checks,
+    failure_samples,
     orphan_keys,
     results_frame,
     run_checks,
@@ -229,6 +230,58 @@ def uniqueness_col(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metrics(spark, _messy(spark, sf_dir), _UNIQUE)
 
 
+_MANY_UNIQUE = [Check("payments", "uniqueness", c) for c in ("id", "order_id", "payment_method", "amount")]
+
+
+@query(_checks_sql(_MANY_UNIQUE))
+def uniqueness_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four columns of one source that must be unique."""
+    return _metrics(spark, _messy(spark, sf_dir), _MANY_UNIQUE)
+
+
+_SAMPLED = [
+    Check("orders", "accepted_values", "status", params={"values": ["placed"]}),
+    Check("orders", "accepted_values", "user_id", params={"values": ["1", "2"]}),
+    Check("payments", "accepted_values", "amount", params={"values": []}),
+    Check("payments", "accepted_values", "payment_method", params={"values": ["coupon"]}),
+    Check(
+        "orders",
+        "referential_integrity",
+        "user_id",
+        params={"reference_source": "payments", "reference_column": "order_id"},
+    ),
+]
+
+
+def _sample_sql(position: int, c: Check) -> str:
+    value = strip_sql(f"coalesce({c.column}, '')")
+    if c.check_type == "referential_integrity":
+        known = strip_sql(f"coalesce({c.params['reference_column']}, '')")
+        refused = f"not in (select {known} from messy_{c.params['reference_source']})"
+    else:
+        refused = f"not in ({_list(['', *c.params['values']])})"
+    return f"""(select {position} as position, value as key from (
+  select distinct {value} as value from messy_{c.source_name})
+  where value <> '' and value {refused} order by value limit 5)"""
+
+
+@query(f"with {MESSY_SQL} " + " union all ".join(_sample_sql(i, c) for i, c in enumerate(_SAMPLED)))
+def check_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first offending values of five checks, in one frame."""
+    return failure_samples(_messy(spark, sf_dir), list(enumerate(_SAMPLED)))
+
+
+@query(
+    """select l_orderkey, l_linenumber, count(*) as n from lineitem
+  where l_partkey not in (select p_partkey from part where p_partkey % 100 <> 7) group by all"""
+)
+def orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of parts that a reduced part table does not have."""
+    parts = read(spark, sf_dir, "part").filter("p_partkey % 100 <> 7")
+    rows = tests.relationships_failures(read(spark, sf_dir, "lineitem"), "l_partkey", parts, "p_partkey")
+    return rows.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(_checks_sql(_ACCEPTED))
 def accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metrics(spark, _messy(spark, sf_dir), _ACCEPTED)

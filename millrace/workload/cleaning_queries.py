@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,9 @@ from millrace.operators.history import merge_history
 from millrace.operators.history import repeated_current as repeated
 from millrace.operators.record_checks import check_completeness
 from millrace.operators.rules import CUSTOMER_RULES, ORDER_RULES, PAYMENT_RULES, validate
+from millrace.session import workspace
+from millrace.sinks.history import store_history
+from millrace.sinks.tables import Warehouse, create_schema
 from millrace.workload.registry import query
 from millrace.workload.tables import (
     MESSY_SQL,
@@ -506,6 +510,43 @@ def history_merge_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_history(stored, batch, "customer_id", ["name", "tier"], _AS_OF)
 
 
+_STORED_AT = [datetime(2024, 3, d) for d in (1, 2, 3)]
+
+
+@query(
+    f"""with batches as (
+  select o_custkey as customer_id, o_orderpriority as tier, o_orderkey, step from orders,
+    (values (0), (1), (2)) as steps(step) where o_orderkey % 3 = step),
+batch as (
+  select * exclude (o_orderkey), cast(o_orderkey as bigint) as number from batches
+  qualify row_number() over (partition by customer_id, step order by o_orderkey desc) = 1),
+changes as (
+  select *, lag(tier) over versions as before from batch
+  window versions as (partition by customer_id order by step)),
+opened as (
+  select *, lead(step) over versions as closed from changes where before is distinct from tier
+  window versions as (partition by customer_id order by step))
+select customer_id, tier, number,
+       timestamp '{_STORED_AT[0]}' + to_days(step) as _effective_from,
+       timestamp '{_STORED_AT[0]}' + to_days(closed) as _effective_to,
+       closed is null as _is_current, md5(tier) as _row_hash
+from opened"""
+)
+def history_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of customers' newest priorities, merged into a stored history."""
+    w = Warehouse(spark, f"millrace_{uuid.uuid4().hex[:8]}", workspace(spark, "history"))
+    create_schema(w)
+    orders = read(spark, sf_dir, "orders")
+    for step, at in enumerate(_STORED_AT):
+        batch = orders.filter(F.col("o_orderkey") % 3 == step).select(
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderpriority").alias("tier"),
+            F.col("o_orderkey").alias("number"),
+        )
+        store_history(w, "priorities", batch, "customer_id", ["tier"], at, ["number"], buckets=16)
+    return spark.table(w.table("priorities"))
+
+
 @query(
     """select o_custkey, count(*) as versions from orders where o_orderstatus = 'O'
   group by o_custkey having count(*) > 1"""

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.dedup import deduplicate
 from millrace.operators.rules import ORDER_RULES
 from millrace.plans.flow import run_flow
 from millrace.session import workspace
@@ -22,6 +25,7 @@ from millrace.workload.registry import query
 from millrace.workload.tables import (
     LOADED_AT,
     LOADED_AT_SQL,
+    MESSY_SQL,
     RAW_SQL,
     messy_orders,
     raw_customers,
@@ -128,6 +132,73 @@ def load_upsert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(w.table("payments"))
 
 
+@query(
+    f"""with {RAW_SQL},
+newest as ({_newest_sql("raw_payments", "desc")}),
+batches as (
+  select id, order_id, payment_method, amount, {LOADED_AT_SQL} as _loaded_at, 1 as step from newest
+  union all
+  select id, order_id, payment_method, amount + 1, {_LATER_SQL}, 2 from newest where order_id % 40 = 0
+  union all
+  select id + 100000000000, order_id, 'late', amount, {_LATER_SQL}, 1 from newest where order_id % 50 = 0)
+select id, order_id, payment_method, amount, _loaded_at from batches
+qualify row_number() over (partition by id order by step desc) = 1"""
+)
+def load_upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments stored in buckets of their id; some change, others come anew or already exist."""
+    w = tables.Warehouse(spark, f"millrace_{uuid.uuid4().hex[:8]}", workspace(spark, "raw"))
+    tables.create_schema(w)
+    tables.create_table(w, "payments", RAW_TABLES["payments"], keys=["id"], buckets=16)
+    payments = _without_load_time(raw_payments(spark, sf_dir))
+    tables.load_upsert(w, "payments", payments, LOADED_AT, ["id"], ["amount"])
+    stored = _without_load_time(spark.table(w.table("payments")))
+    changed = stored.filter("order_id % 40 = 0").withColumn("amount", F.col("amount") + 1)
+    tables.load_upsert(w, "payments", changed, _LATER, ["id"])
+    late = stored.filter("order_id % 50 = 0").withColumn("payment_method", F.lit("late"))
+    # The second half of this batch has ids that are stored, so it changes nothing.
+    new = late.withColumn("id", F.col("id") + 100_000_000_000)
+    before_change = new.join(
+        payments.groupBy("id").agg(F.max("amount").alias("first")).withColumn(
+            "id", F.col("id") + 100_000_000_000
+        ),
+        "id",
+    ).select("id", "order_id", "payment_method", F.col("first").alias("amount"))
+    tables.load_upsert(w, "payments", before_change.unionByName(late), _LATER, ["id"], [], "nothing")
+    tables.remove_unused_folders(w, "payments")
+    return spark.table(w.table("payments"))
+
+
+@query(
+    f"""with {MESSY_SQL}, judged as (
+  select *, try_cast(nullif(order_date, '') as date) as day from messy_orders)
+select 'stored' as what, count(*) as n, count(distinct id) as ids from judged
+  where order_date is null or order_date = '' or day is not null and order_date not like '%/%'
+union all
+select 'rejected', count(*), count(distinct id) from judged
+  where order_date like '%/%'
+union all
+select 'returned', count(*), count(*) from judged where order_date not like '%/%'"""
+)
+def load_append_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text, appended twice over; those whose date cannot be read are set aside."""
+    w, rejected = _warehouse(spark), workspace(spark, "rejected")
+    orders = messy_orders(spark, sf_dir).select(
+        "id", F.regexp_extract("user_id", r"(\d+)", 1).alias("user_id"), "order_date", "status"
+    )
+    added = tables.load_append(w, "orders", orders, LOADED_AT, rejected)
+
+    def counted(what: str, df: DataFrame) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids")).select(
+            F.lit(what).alias("what"), "n", "ids"
+        )
+
+    returned = spark.range(1).select(
+        F.lit("returned").alias("what"), F.lit(added).cast("bigint").alias("n"), F.lit(added).cast("bigint").alias("ids")
+    )
+    stored = counted("stored", spark.table(w.table("orders")))
+    return stored.unionByName(counted("rejected", spark.read.parquet(rejected))).unionByName(returned)
+
+
 @query("select * from events")
 def parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written twice by event type; the second write replaces the first."""
@@ -278,6 +349,85 @@ def load_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(w.table("customers"))
 
 
+@query(
+    """select cast(l_orderkey * 10 + l_linenumber as varchar) as id,
+  'from "' || l_partkey || '",' || chr(10) || chr(10) || l_linestatus as note,
+  l_returnflag as flag, count(*) as n
+from lineitem group by all"""
+)
+def read_csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file whose notes hold quotes, commas and line breaks, read in small splits."""
+    path = workspace(spark, "notes") + ".csv"
+    read(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        F.concat(F.lit('from "'), "l_partkey", F.lit('",\n\n'), "l_linestatus").alias("note"),
+        F.col("l_returnflag").alias("flag"),
+    ).coalesce(1).write.option("header", True).option("escape", '"').csv(path)
+    with _splits_of(spark, 200_000):
+        rows = files.read_source(spark, path).groupBy("id", "note", "flag").agg(F.count(F.lit(1)).alias("n"))
+        return _written(rows, "notes-read")
+
+
+@query("select o_orderkey, o_orderpriority as note, o_totalprice as price, o_custkey as customer from orders")
+def read_json_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One array of nested objects over many splits."""
+    path = workspace(spark, "orders") + ".json"
+    customer = F.struct(F.col("o_custkey").alias("key"), F.lit('}, {"').alias("mark"))
+    record = F.to_json(
+        F.struct("o_orderkey", F.col("o_orderpriority").alias("note"), "o_totalprice", customer.alias("customer"))
+    )
+    rows = read(spark, sf_dir, "orders").select("o_orderkey", record.alias("value"))
+    last = rows.agg(F.max("o_orderkey")).first()[0]
+    first = rows.agg(F.min("o_orderkey")).first()[0]
+    value = F.when(F.col("o_orderkey") == first, F.concat(F.lit("["), "value")).otherwise(F.col("value"))
+    end = F.when(F.col("o_orderkey") == last, F.lit("]")).otherwise(F.lit(","))
+    rows.sort("o_orderkey").select(F.concat(value, end)).coalesce(1).write.text(path)
+    with _splits_of(spark, 200_000):
+        found = _written(files.read_source(spark, path), "orders-read")
+    return found.select(
+        "o_orderkey", "note", F.col("o_totalprice").alias("price"), F.col("customer.key").alias("customer")
+    )
+
+
+@contextmanager
+def _splits_of(spark: SparkSession, n: int) -> Iterator[None]:
+    """Splits of so many bytes, so that small files have several."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _written(df: DataFrame, purpose: str) -> DataFrame:
+    path = workspace(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+@query(
+    """select cast(o_custkey as varchar) as customer, cast(first(o_orderkey order by o_orderkey) as varchar) as first_order,
+  cast(last(o_orderkey order by o_orderkey) as varchar) as last_order from orders group by o_custkey"""
+)
+def dedup_input_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First and last row of each customer in CSV files, as they stand in the input."""
+    path = workspace(spark, "orders") + ".csv"
+    orders = read(spark, sf_dir, "orders").sort("o_orderkey")
+    orders.select(F.col("o_custkey").alias("customer"), F.col("o_orderkey").alias("number")).write.option(
+        "header", True
+    ).csv(path)
+    with _splits_of(spark, 100_000):
+        rows = files.read_csv(spark, path, position="_place")
+        first = deduplicate(rows, ["customer"], ["_place"], "first")
+        last = deduplicate(rows, ["customer"], ["_place"], "last")
+        both = first.select("customer", F.col("number").alias("first_order")).join(
+            last.select("customer", F.col("number").alias("last_order")), "customer"
+        )
+        return _written(both, "orders-deduplicated")
+
+
 @query("select * from supplier")
 def read_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_source(spark, f"{sf_dir}/supplier.parquet")
@@ -442,6 +592,56 @@ def changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """select l_linenumber as line, l_linenumber % 4 in (1, 2, 3) as changed
+  from lineitem group by l_linenumber
+union all select 100, false union all select 101, true"""
+)
+def changed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files of many lines and two Parquet folders, written twice.
+
+    By line number: the same again, one line at the end, the lines in reverse order, one digit
+    changed. Of the Parquet folders the second has other numbers in the second writing.
+    """
+    base = workspace(spark, "changes")
+    lines = read(spark, sf_dir, "lineitem").select(
+        "l_linenumber", "l_orderkey", F.concat_ws("|", "l_orderkey", "l_partkey", "l_quantity").alias("t")
+    )
+    last = lines.groupBy("l_linenumber").agg(F.max("l_orderkey").alias("last"))
+    kind, at_end = F.col("l_linenumber") % 4, F.col("l_orderkey") == F.col("last")
+    parts = read(spark, sf_dir, "part").select("p_partkey", "p_size")
+    for name in ("first", "second"):
+        text, order = F.col("t"), F.col("l_orderkey")
+        if name == "second":
+            text = F.when((kind == 1) & at_end, F.concat(text, F.lit("\nmore"))).otherwise(text)
+            text = F.when((kind == 3) & at_end, F.concat(text, F.lit("0"))).otherwise(text)
+            order = F.when(kind == 2, -order).otherwise(order)
+        written = lines.join(F.broadcast(last), "l_linenumber").select(
+            "l_linenumber", text.alias("value"), order.alias("place")
+        )
+        (
+            written.repartition(4, "l_linenumber")
+            .sortWithinPartitions("l_linenumber", "place", "value")
+            .drop("place")
+            .write.partitionBy("l_linenumber")
+            .text(f"{base}/{name}")
+        )
+        more = F.lit(3 if name == "second" else 0)
+        for number, size in ((100, F.col("p_size")), (101, F.col("p_size") + more)):
+            folder = f"{base}/{name}/l_linenumber={number}"
+            parts.withColumn("p_size", size).coalesce(1).write.parquet(folder)
+
+    def found(name: str) -> DataFrame:
+        number = F.regexp_extract("path", r"l_linenumber=(\d+)", 1)
+        sums = manifest.file_checksums(spark, f"{base}/{name}")
+        return sums.filter("length > 0").withColumn("path", number)
+
+    now = found("second").select(F.col("path").cast("int").alias("line"))
+    changed = manifest.changed_files(found("second"), found("first"))
+    changed = changed.select(F.col("path").cast("int").alias("line"), F.lit(True).alias("changed"))
+    return now.join(changed, "line", "left").select("line", F.coalesce("changed", F.lit(False)).alias("changed"))
+
+
 @query(COLUMN_TESTS_SQL)
 def full_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV files to tested marts."""

@@ -1,8 +1,10 @@
 import hashlib
 import json
+from contextlib import contextmanager
 from datetime import datetime
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,17 +91,72 @@ def test_file_checksums_and_changes(spark, tmp_path):
     assert [r.path.rsplit("/", 1)[1] for r in changed.collect()] == ["b.csv"]
 
 
-def test_checksums_follow_one_rule(spark, tmp_path):
-    lines = [f"line {i}" for i in range(500)]
-    path = write(tmp_path, "many.txt", "\n".join(lines))
+def _checksum(content: bytes) -> str:
+    """The rule over again, over the whole content."""
+    lines = content.split(b"\n")
+    lines = lines[:-1] if lines[-1] == b"" else lines
+    total = sum(int(hashlib.sha256(x).hexdigest()[:16], 16) for x in lines)
+    orders = []
+    for prime, base in ((2**31 - 1, 16807), (2**31 - 19, 48271)):
+        c = [xxhash.xxh64_intdigest(x, 42) for x in lines]
+        c = [(v - 2**64 if v >= 2**63 else v) % prime for v in c]
+        orders.append(sum(v * (pow(base, i, prime) - 1) for i, v in enumerate(c)) % prime)
+    return f"{(total + orders[0] * 2**31 + orders[1]) % 2**64:016x}"
+
+
+@contextmanager
+def split_bytes(spark, n):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(n))
     try:
-        got = {r.path.rsplit("/", 1)[1]: r for r in manifest.file_checksums(spark, path).collect()}
+        yield
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    total = sum(int(hashlib.sha256(x.encode()).hexdigest()[:16], 16) for x in lines) % 2**64
-    assert got["many.txt"].checksum == f"{total:016x}"
+
+
+def _sums(spark, paths):
+    rows = manifest.file_checksums(spark, paths).collect()
+    return {r.path.rsplit("/", 1)[1]: r.checksum for r in rows}
+
+
+@pytest.mark.parametrize("size", [64, 100, 1000, 10**9])
+def test_checksums_follow_one_rule(spark, tmp_path, size):
+    texts = {
+        "many.txt": "\n".join(f"line {i}" for i in range(300)),
+        "ended.txt": "".join(f"line {i}\n" for i in range(300)),
+        "blank.txt": "\n\na\n\n\r\nb\r",
+        "long.txt": "x" * 500 + "\n" + "y" * 500,
+        "same.txt": "again\n" * 200,
+    }
+    paths = [write(tmp_path, name, text) for name, text in texts.items()]
+    with split_bytes(spark, size):
+        assert _sums(spark, paths) == {n: _checksum(t.encode()) for n, t in texts.items()}
+
+
+def test_checksums_see_order_and_line_ends(spark, tmp_path):
+    lines = [f"row {i}" for i in range(200)]
+    swapped = lines[:]
+    swapped[3], swapped[150] = swapped[150], swapped[3]
+    texts = ["\n".join(x) for x in (lines, swapped, lines[::-1], lines[1:] + lines[:1])]
+    texts += [texts[0].replace("\n", "\r"), texts[0].replace("row 7\n", "row 7\r")]
+    paths = [write(tmp_path, f"{i}.txt", t) for i, t in enumerate(texts)]
+    with split_bytes(spark, 256):
+        assert len(set(_sums(spark, paths).values())) == len(texts)
+
+
+def test_parquet_with_bytes_of_line_ends_has_changed(spark, tmp_path):
+    rows = {}
+    for name, number in (("ten", 10), ("thirteen", 13)):
+        path = str(tmp_path / f"{name}.parquet")
+        spark.createDataFrame([(number, number)] * 5, "a int, b int").coalesce(1).write.option(
+            "compression", "none"
+        ).parquet(path)
+        rows[name] = path
+    first = manifest.extract_source(spark, "t", rows["ten"], str(tmp_path / "land"), AT)
+    again = manifest.extract_source(spark, "t", rows["ten"], str(tmp_path / "land"), AT, first)
+    other = manifest.extract_source(spark, "t", rows["thirteen"], str(tmp_path / "land"), AT, first)
+    assert (first.skipped, again.skipped, other.skipped) == (False, True, False)
+    assert {r.a for r in manifest.landed(spark, other).collect()} == {13}
 
 
 def test_csv_columns_go_by_name(spark, tmp_path):
@@ -137,8 +194,7 @@ def test_extract_all_and_again(spark, tmp_path):
     good = by_name["orders"]
     assert (good.success, good.row_count, good.skipped) == (True, 1, False)
     assert good.byte_count == len(rows)
-    parts = [int(hashlib.sha256(x.encode()).hexdigest()[:16], 16) for x in rows.splitlines()]
-    assert good.checksum == f"{sum(parts) % 2**64:016x}"
+    assert good.checksum == _checksum(rows.encode())
     assert manifest.landed(spark, good).count() == 1
     assert "missing columns" in by_name["customers"].error
     assert "PATH_NOT_FOUND" in by_name["events"].error
