@@ -2,8 +2,7 @@
 
 Two sets are linked when ``percent`` hundredths of their union are common to both.
 
-1. Every text becomes the sorted set of the 64-bit hashes of its shingles. Equal sets are one
-   node from here on.
+1. Every text is taken as the set of the 64-bit hashes of its shingles. Equal sets are one node.
 2. Shingles are put in one order for all: those found often come last, by how often, all others
    by hash. Which ones are often is learnt from all texts by lossy counting, ``FREQUENT`` of them
    at most. The order decides how much work is done, never what is found.
@@ -16,8 +15,8 @@ Two sets are linked when ``percent`` hundredths of their union are common to bot
    of groups are filtered by size, by the place of the common shingle (it is the first one in
    at least one list) and by how many shingles their prefixes can have in common, estimated
    from above by exclusive-or of prefix bitmaps. What is left is expanded to members.
-6. Every pair of members is verified on its complete sets. Sets travel only if a small filter of
-   the nodes in question says they may be needed.
+6. Every pair of members is verified on its complete sets. Sets are never stored: they are made
+   again from the texts of the documents in question, which a small filter of their ids picks.
 
 In a list of many near copies, step 4 checks as many pairs as there are copies and leaves one
 component, so step 5 does not pair them. Sets that are not linked although they share a rare
@@ -83,29 +82,25 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
+def _set_steps(width: int, batch: pa.RecordBatch):
+    """Steps of rows: their numbers and their sets."""
+    texts = batch.column("text").to_pylist()
+    for a, b in steps(texts):
+        yield a, b, [shingle_hashes(t, width) for t in texts[a:b]]
+
+
+def _sign(shingles: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(shingles.tobytes())
+
+
 def _sets(width: int, batches: Batches) -> Batches:
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for a, b in steps(texts):
-            sets = [shingle_hashes(t, width) for t in texts[a:b]]
-            schema = pa.schema(
-                [
-                    ("id", batch.column("id").type),
-                    ("n", pa.int32()),
-                    ("sign", pa.binary()),
-                    ("shingles", pa.list_(pa.int64())),
-                ]
-            )
-            yield out_batch(
-                schema,
-                batch.column("id").slice(a, b - a),
-                [len(s) for s in sets],
-                [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
-                _lists(sets),
-            )
+        schema = pa.schema([("sign", pa.binary()), ("shingles", pa.list_(pa.int64()))])
+        for _, _, sets in _set_steps(width, batch):
+            yield out_batch(schema, [_sign(s) for s in sets], _lists(sets))
 
 
-def _often(batches: Batches) -> Batches:
+def _often(width: int, batches: Batches) -> Batches:
     """Lossy counting: shingles that stand out in this task's texts, with their counts."""
     held, held_counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     waiting, n = [], 0
@@ -122,23 +117,24 @@ def _often(batches: Batches) -> Batches:
         return every, total
 
     for batch in batches:
-        waiting.append(batch.column("shingles").flatten().to_numpy())
-        n += len(waiting[-1])
-        if n >= _COUNTED:
-            held, held_counts = counted()
-            waiting, n = [], 0
+        for _, _, sets in _set_steps(width, batch):
+            waiting += sets
+            n += sum(map(len, sets))
+            if n >= _COUNTED:
+                held, held_counts = counted()
+                waiting, n = [], 0
     if waiting:
         held, held_counts = counted()
     schema = pa.schema([("shingle", pa.int64()), ("n", pa.int64())])
     yield out_batch(schema, pa.array(held), pa.array(held_counts))
 
 
-def _prefixes(often: np.ndarray, rank: np.ndarray, percent: int, batches: Batches) -> Batches:
-    """Prefix, its bitmap and what stands for prefix and size. ``often`` is sorted."""
+def _prefixes(width: int, percent: int, sent, batches: Batches) -> Batches:
+    """Size, prefix, prefix bitmap, and what stands for the set and for prefix and size."""
+    often, rank = sent.value  # sorted, and their place by frequency
     for batch in batches:
         schema = pa.schema(
             [
-                ("node", pa.int64()),
                 ("id", batch.column("id").type),
                 ("n", pa.int32()),
                 ("sign", pa.binary()),
@@ -147,30 +143,30 @@ def _prefixes(often: np.ndarray, rank: np.ndarray, percent: int, batches: Batche
                 *((m, pa.int64()) for m in _MAPS),
             ]
         )
-        lists = batch.column("shingles")
-        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-        prefixes, keys = [], []
-        maps = np.zeros((len(batch), _MAP_WORDS), dtype=np.uint64)
-        for i in range(len(batch)):
-            own = flat[ends[i] : ends[i + 1]]
-            size = len(own)
-            take = size - -(-percent * size // 100) + 1 if size else 0
-            ranks = np.zeros(size, dtype=np.int64)
-            if len(often) and size:
-                at = np.minimum(np.searchsorted(often, own), len(often) - 1)
-                ranks = np.where(often[at] == own, rank[at], 0)
-            prefix = own[np.lexsort((own, ranks))[:take]]
-            prefixes.append(prefix)
-            keys.append(xxhash.xxh3_128_digest(prefix.tobytes() + size.to_bytes(4, "little")))
-            bits = prefix.view(np.uint64) % np.uint64(64 * _MAP_WORDS)
-            np.bitwise_xor.at(maps[i], bits >> np.uint64(6), np.uint64(1) << (bits & np.uint64(63)))
-        yield out_batch(
-            schema,
-            *(batch.column(c) for c in ("node", "id", "n", "sign")),
-            keys,
-            _lists(prefixes),
-            *(pa.array(np.ascontiguousarray(maps[:, j]).view(np.int64)) for j in range(_MAP_WORDS)),
-        )
+        for a, b, sets in _set_steps(width, batch):
+            prefixes, keys = [], []
+            maps = np.zeros((b - a, _MAP_WORDS), dtype=np.uint64)
+            for i, own in enumerate(sets):
+                size = len(own)
+                take = size - -(-percent * size // 100) + 1 if size else 0
+                ranks = np.zeros(size, dtype=np.int64)
+                if len(often) and size:
+                    at = np.minimum(np.searchsorted(often, own), len(often) - 1)
+                    ranks = np.where(often[at] == own, rank[at], 0)
+                prefix = own[np.lexsort((own, ranks))[:take]]
+                prefixes.append(prefix)
+                keys.append(xxhash.xxh3_128_digest(prefix.tobytes() + size.to_bytes(4, "little")))
+                bits = prefix.view(np.uint64) % np.uint64(64 * _MAP_WORDS)
+                np.bitwise_xor.at(maps[i], bits >> np.uint64(6), np.uint64(1) << (bits & np.uint64(63)))
+            yield out_batch(
+                schema,
+                batch.column("id").slice(a, b - a),
+                [len(s) for s in sets],
+                [_sign(s) for s in sets],
+                keys,
+                _lists(prefixes),
+                *(pa.array(np.ascontiguousarray(maps[:, j]).view(np.int64)) for j in range(_MAP_WORDS)),
+            )
 
 
 def ngram_components(
@@ -184,37 +180,36 @@ def ngram_components(
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), utf8(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    hashed = staged(
+    sent = spark.sparkContext.broadcast(_order(rows, width))  # FREQUENT shingles at most
+    prefixed = staged(
         map_batches(
-            rows, partial(_sets, width), f"id {id_type}, n int, sign binary, shingles array<long>"
+            rows,
+            partial(_prefixes, width, percent, sent),
+            f"id {id_type}, n int, sign binary, key binary, prefix array<long>, "
+            + ", ".join(f"{m} long" for m in _MAPS),
         ).withColumn("node", F.monotonically_increasing_id()),
-        workspace(spark, "ngram-sets"),
-    )
-    often, rank = _order(hashed)
-    prefixed = map_batches(
-        hashed.filter("n > 0"),
-        partial(_prefixes, often, rank, percent),
-        f"node long, id {id_type}, n int, sign binary, key binary, prefix array<long>, "
-        + ", ".join(f"{m} long" for m in _MAPS),
+        workspace(spark, "ngram-prefixes"),
     )
     # A row of each different set stands for it: the node.
-    of_set = F.struct("node", "n", "key", "prefix", *_MAPS)
+    of_set = F.struct("node", "n", "key", "prefix", *_MAPS, "id")
     sets = staged(
-        prefixed.groupBy("sign").agg(F.min(of_set).alias("set"), F.min("id").alias("least")),
+        prefixed.filter("n > 0")
+        .groupBy("sign")
+        .agg(F.min(of_set).alias("set"), F.min("id").alias("least"))
+        .select("sign", "least", "set.*"),
         workspace(spark, "ngram-nodes"),
     )
-    nodes = sets.select("set.node", "set.key")
-    first = nodes.groupBy("key").agg(F.min("node").alias("group"))
+    first = sets.groupBy("key").agg(F.min("node").alias("group"))
     members = staged(
-        join_splittable(nodes, first, "key", "inner").select("node", "group"),
+        join_splittable(sets.select("node", "key"), first, "key", "inner").select("node", "group"),
         workspace(spark, "ngram-members"),
     )
-    label = _components(hashed, sets.select("set.*"), members, percent)
-    labelled = sets.select(F.col("set.node").alias("node"), "sign", "least").join(label, "node", "left")
+    label = _components(rows, sets, members, width, percent)
+    labelled = sets.select("node", "sign", "least").join(label, "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "node")).drop("node")
     named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     of_sign = labelled.drop("least").join(named, "label").drop("label")
-    slim = hashed.select("id", "n", "sign")
+    slim = prefixed.select("id", "n", "sign")
     linked = join_splittable(slim.filter("n > 0"), of_sign, "sign", "inner")
     return (
         linked.select("id", "n", "component_id")
@@ -223,12 +218,12 @@ def ngram_components(
     )
 
 
-def _order(hashed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _order(rows: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Frequent shingles, sorted, and their rank by frequency (from 1)."""
-    spark = hashed.sparkSession
+    spark = rows.sparkSession
     path = workspace(spark, "ngram-often")
     found = staged(
-        map_batches(hashed.select("shingles"), _often, "shingle long, n long")
+        map_batches(rows.select("text"), partial(_often, width), "shingle long, n long")
         .groupBy("shingle")
         .agg(F.sum("n").alias("n")),
         path,
@@ -268,11 +263,13 @@ def _may_link(percent: int) -> Column:
     )
 
 
-def _components(hashed: DataFrame, sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _components(
+    rows: DataFrame, sets: DataFrame, members: DataFrame, width: int, percent: int
+) -> DataFrame:
     """``node``, ``label`` of every node that is linked."""
     spark = sets.sparkSession
-    groups = sets.join(members.filter("node = group"), "node").drop("node", "key")
-    about = groups.drop("prefix")
+    groups = sets.join(members.filter("node = group"), "node")
+    about = groups.select("group", "n", *_MAPS)
     lists = groups.select("group", F.posexplode("prefix").alias("place", "shingle"))
     heads = (
         lists.groupBy("shingle")
@@ -283,13 +280,13 @@ def _components(hashed: DataFrame, sets: DataFrame, members: DataFrame, percent:
     shared = staged(
         join_splittable(lists, heads, "shingle", "inner"), workspace(spark, "ngram-lists")
     )
-    first = _links(_with_heads(shared, about, members, percent), hashed, percent)
+    first = _links(_with_heads(shared, about, members, percent), rows, sets, width, percent)
     label = connected(first)
     placed = staged(
         members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")),
         workspace(spark, "ngram-placed"),
     )
-    second = _links(_across(shared, about, placed, percent), hashed, percent)
+    second = _links(_across(shared, about, placed, percent), rows, sets, width, percent)
     return label if second.isEmpty() else connected(first.unionByName(second))
 
 
@@ -361,18 +358,32 @@ def _across(shared: DataFrame, about: DataFrame, placed: DataFrame, percent: int
     return met.unionByName(within).join(of_a, ["a", "of_a"]).join(of_b, ["b", "of_b"]).select("u", "v")
 
 
-def _links(pairs: DataFrame, hashed: DataFrame, percent: int) -> DataFrame:
+def _links(
+    pairs: DataFrame, rows: DataFrame, sets: DataFrame, width: int, percent: int
+) -> DataFrame:
     """Those of the pairs ``u``, ``v`` whose sets are similar enough."""
     spark = pairs.sparkSession
-    path = workspace(spark, "ngram-pairs")
-    pairs = staged(pairs, path)
-    asked = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node")))
-    asked = asked.distinct()
-    some = possible(hashed.select("node", "shingles"), asked, "node", words_for(asked.count()))
+    work = [workspace(spark, f"ngram-{name}") for name in ("pairs", "asked", "sets")]
+    pairs = staged(pairs, work[0])
+    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node")))
+    # The document that a node was taken from has its set; others may have its id.
+    name = F.coalesce(F.col("id").cast("string"), F.lit("\0"))
+    asked = staged(
+        nodes.distinct().join(sets.select("node", "sign", "id"), "node").select("node", "sign", name.alias("name")),
+        work[1],
+    )
+    texts = possible(rows.select(name.alias("name"), "text"), asked, "name", words_for(asked.count()))
+    made = map_batches(texts.select("text"), partial(_sets, width), "sign binary, shingles array<long>")
+    some = staged(
+        made.join(asked.select("sign", "node"), "sign")
+        .groupBy("node")
+        .agg(F.first("shingles").alias("shingles")),  # rows of a node have the same set
+        work[2],
+    )
     both = join_splittable(pairs, some.withColumnsRenamed({"node": "u", "shingles": "of_u"}), "u", "inner")
     both = join_splittable(both, some.withColumnsRenamed({"node": "v", "shingles": "of_v"}), "v", "inner")
     common = F.size(F.array_intersect("of_u", "of_v"))
     least = F.expr(_needed("size(of_u)", "size(of_v)", percent))
     links = staged(both.filter(common >= least).select("u", "v"), workspace(spark, "ngram-links"))
-    release(spark, path)
+    release(spark, *work)
     return links
