@@ -9,14 +9,15 @@ Two sets are linked when ``percent`` hundredths of their union are common to bot
 3. Of a set of n shingles only the first n - ceil(percent * n / 100) + 1 are its prefix: sets that
    can be linked share a shingle of their prefixes. Sets with the same prefix and size form one
    group, and a list holds the groups whose prefix has a shingle.
-4. First, every group of a list meets the list's first group, and every member of a group the
-   group's first member. What is linked so far forms components.
+4. First, every member of a group meets the group's first member, and that of the first group
+   in one of its lists, the smallest of these. What is linked so far forms components. Then
+   members meet the first groups of all their lists that belong to other components.
 5. Then the groups of a list meet each other, where they belong to different components. Pairs
    of groups are filtered by size, by the place of the common shingle (it is the first one in
    at least one list) and by how many shingles their prefixes can have in common, estimated
    from above by exclusive-or of prefix bitmaps. What is left is expanded to members.
-6. Every pair of members is verified on its complete sets. Sets are never stored: they are made
-   again from the texts of the documents in question, which a small filter of their ids picks.
+6. Every pair of members is verified on its complete sets. Sets are not kept from step 1: they
+   are made again from the texts of the documents in question, which a small filter picks.
 
 In a list of many near copies, step 4 checks as many pairs as there are copies and leaves one
 component, so step 5 does not pair them. Sets that are not linked although they share a rare
@@ -52,28 +53,41 @@ FREQUENT = 2**18
 _SEED = 11
 #: Hashes counted together, and the entries a task keeps between counts.
 _COUNTED, _REMEMBERED = 2**21, 2**17
-_HASHES = 65_536
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 _MAP_WORDS = 8
 _MAPS = [f"m{i}" for i in range(_MAP_WORDS)]
 
 
-def shingle_hashes(text: bytes, width: int = SHINGLE) -> np.ndarray:
-    """Sorted hashes of the distinct shingles, as signed 64-bit integers."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.int64)
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    if len(words) > width:
-        starts, ends = starts[: 1 - width], ends[width - 1 :]
-    else:
-        starts, ends = starts[:1], ends[-1:]
-    hash_of, parts = xxhash.xxh3_64_intdigest, []
-    for at in range(0, len(starts), _HASHES):
-        spans = zip(starts[at : at + _HASHES].tolist(), ends[at : at + _HASHES].tolist())
-        parts.append(np.array([hash_of(joined[a:b], _SEED) for a, b in spans], dtype=np.uint64))
-    return np.unique(np.concatenate(parts).view(np.int64))
+class Shingles:
+    """Hashes of shingles from those of words, which are remembered."""
+
+    def __init__(self, width: int = SHINGLE, remembered: int = 500_000) -> None:
+        self.width, self.remembered = width, remembered
+        self.known: dict[bytes, int] = {}
+
+    def of(self, text: bytes) -> np.ndarray:
+        """Sorted hashes of the distinct shingles, as signed 64-bit integers.
+
+        A shingle's hash is a polynomial of its words' hashes modulo 2**64 with an odd base.
+        """
+        words = text.lower().split()
+        if not words:
+            return np.zeros(0, dtype=np.int64)
+        if len(self.known) > self.remembered:
+            self.known = {}
+        known = self.known
+        for w in set(words).difference(known):
+            known[w] = xxhash.xxh3_64_intdigest(w, _SEED)
+        one = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        width = min(self.width, len(words))
+        n = len(words) - width + 1
+        with np.errstate(over="ignore"):
+            mixed = np.full(n, width, dtype=np.uint64)
+            for k in range(width):
+                mixed = mixed * _BASE + one[k : k + n]
+            mixed ^= mixed >> np.uint64(32)
+            mixed *= _BASE
+        return np.unique(mixed.view(np.int64))
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -82,11 +96,11 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
-def _set_steps(width: int, batch: pa.RecordBatch):
+def _set_steps(shingles: Shingles, batch: pa.RecordBatch):
     """Steps of rows: their numbers and their sets."""
     texts = batch.column("text").to_pylist()
     for a, b in steps(texts):
-        yield a, b, [shingle_hashes(t, width) for t in texts[a:b]]
+        yield a, b, [shingles.of(t) for t in texts[a:b]]
 
 
 def _sign(shingles: np.ndarray) -> bytes:
@@ -94,16 +108,20 @@ def _sign(shingles: np.ndarray) -> bytes:
 
 
 def _sets(width: int, batches: Batches) -> Batches:
+    """The sets of the rows whose text has the sign they are asked for."""
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    shingles = Shingles(width)
     for batch in batches:
-        schema = pa.schema([("sign", pa.binary()), ("shingles", pa.list_(pa.int64()))])
-        for _, _, sets in _set_steps(width, batch):
-            yield out_batch(schema, [_sign(s) for s in sets], _lists(sets))
+        nodes, signs = batch.column("node").to_pylist(), batch.column("sign").to_pylist()
+        for a, b, sets in _set_steps(shingles, batch):
+            own = [i for i in range(a, b) if _sign(sets[i - a]) == signs[i]]
+            yield out_batch(schema, [nodes[i] for i in own], _lists([sets[i - a] for i in own]))
 
 
 def _often(width: int, batches: Batches) -> Batches:
     """Lossy counting: shingles that stand out in this task's texts, with their counts."""
     held, held_counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    waiting, n = [], 0
+    waiting, n, shingles = [], 0, Shingles(width)
 
     def counted():
         new, counts = np.unique(np.concatenate(waiting), return_counts=True)
@@ -117,7 +135,7 @@ def _often(width: int, batches: Batches) -> Batches:
         return every, total
 
     for batch in batches:
-        for _, _, sets in _set_steps(width, batch):
+        for _, _, sets in _set_steps(shingles, batch):
             waiting += sets
             n += sum(map(len, sets))
             if n >= _COUNTED:
@@ -132,10 +150,12 @@ def _often(width: int, batches: Batches) -> Batches:
 def _prefixes(width: int, percent: int, sent, batches: Batches) -> Batches:
     """Size, prefix, prefix bitmap, and what stands for the set and for prefix and size."""
     often, rank = sent.value  # sorted, and their place by frequency
+    shingles = Shingles(width)
     for batch in batches:
         schema = pa.schema(
             [
                 ("id", batch.column("id").type),
+                ("tag", pa.int64()),
                 ("n", pa.int32()),
                 ("sign", pa.binary()),
                 ("key", pa.binary()),
@@ -143,7 +163,7 @@ def _prefixes(width: int, percent: int, sent, batches: Batches) -> Batches:
                 *((m, pa.int64()) for m in _MAPS),
             ]
         )
-        for a, b, sets in _set_steps(width, batch):
+        for a, b, sets in _set_steps(shingles, batch):
             prefixes, keys = [], []
             maps = np.zeros((b - a, _MAP_WORDS), dtype=np.uint64)
             for i, own in enumerate(sets):
@@ -161,6 +181,7 @@ def _prefixes(width: int, percent: int, sent, batches: Batches) -> Batches:
             yield out_batch(
                 schema,
                 batch.column("id").slice(a, b - a),
+                batch.column("tag").slice(a, b - a),
                 [len(s) for s in sets],
                 [_sign(s) for s in sets],
                 keys,
@@ -179,19 +200,20 @@ def ngram_components(
     """Every row's ``id_col``, ``n_shingles`` and ``component_id``."""
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), utf8(text_col).alias("text"))
+    rows = rows.withColumn("tag", F.xxhash64("id", "text"))  # finds a document's text again
     id_type = rows.schema["id"].dataType.simpleString()
     sent = spark.sparkContext.broadcast(_order(rows, width))  # FREQUENT shingles at most
     prefixed = staged(
         map_batches(
             rows,
             partial(_prefixes, width, percent, sent),
-            f"id {id_type}, n int, sign binary, key binary, prefix array<long>, "
+            f"id {id_type}, tag long, n int, sign binary, key binary, prefix array<long>, "
             + ", ".join(f"{m} long" for m in _MAPS),
         ).withColumn("node", F.monotonically_increasing_id()),
         workspace(spark, "ngram-prefixes"),
     )
     # A row of each different set stands for it: the node.
-    of_set = F.struct("node", "n", "key", "prefix", *_MAPS, "id")
+    of_set = F.struct("node", "n", "key", "prefix", *_MAPS, "tag")
     sets = staged(
         prefixed.filter("n > 0")
         .groupBy("sign")
@@ -280,23 +302,31 @@ def _components(
     shared = staged(
         join_splittable(lists, heads, "shingle", "inner"), workspace(spark, "ngram-lists")
     )
-    first = _links(_with_heads(shared, about, members, percent), rows, sets, width, percent)
-    label = connected(first)
-    placed = staged(
-        members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")),
-        workspace(spark, "ngram-placed"),
-    )
-    second = _links(_across(shared, about, placed, percent), rows, sets, width, percent)
-    return label if second.isEmpty() else connected(first.unionByName(second))
+    heads = staged(_heads(shared, about, percent), workspace(spark, "ngram-heads"))
+    own = members.filter("node <> group").select(F.col("node").alias("u"), F.col("group").alias("v"))
+    nearest = heads.groupBy("group").agg(F.min("head_group").alias("v"))
+    nearest = join_splittable(members, nearest, "group", "inner").select(F.col("node").alias("u"), "v")
+    links = _links(own.unionByName(nearest), rows, sets, width, percent)
+    label = connected(links)
+    for others in (_other_heads, _across):
+        placed = staged(
+            members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")),
+            workspace(spark, "ngram-placed"),
+        )
+        more = _links(others(shared, heads, about, placed, percent), rows, sets, width, percent)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            label = connected(links)
+    return label
 
 
-def _with_heads(shared: DataFrame, about: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Members of every group with the first member of the heads of its lists and of its own."""
+def _heads(shared: DataFrame, about: DataFrame, percent: int) -> DataFrame:
+    """``group``, ``head_group``: groups with the heads of their lists that they may be linked to."""
     of_x = about.select("group", F.struct("group", "n", *_MAPS).alias("x"))
     of_y = about.select(F.col("group").alias("head_group"), F.struct("n", *_MAPS).alias("y"))
     met = shared.filter("group <> head.group").withColumn("head_group", F.col("head.group"))
     met = join_splittable(join_splittable(met, of_x, "group", "inner"), of_y, "head_group", "inner")
-    heads = (
+    return (
         met.select(
             "group",
             "head_group",
@@ -304,14 +334,25 @@ def _with_heads(shared: DataFrame, about: DataFrame, members: DataFrame, percent
             F.struct("y.*", F.col("head.place").alias("place")).alias("y"),
         )
         .filter(_may_link(percent))
-        .select("group", F.col("head_group").alias("v"))
+        .select("group", "head_group")
         .distinct()
     )
-    own = members.filter("node <> group").select(F.col("node").alias("u"), F.col("group").alias("v"))
-    return members.join(heads, "group").select(F.col("node").alias("u"), "v").unionByName(own)
 
 
-def _across(shared: DataFrame, about: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+def _other_heads(
+    shared: DataFrame, heads: DataFrame, about: DataFrame, placed: DataFrame, percent: int
+) -> DataFrame:
+    """Members with the first members of heads that belong to other components."""
+    first = placed.filter("node = group").select(
+        F.col("group").alias("head_group"), F.col("label").alias("of_v")
+    )
+    apart = join_splittable(heads, first, "head_group", "inner").join(placed, "group")
+    return apart.filter("label <> of_v").select(F.col("node").alias("u"), F.col("head_group").alias("v"))
+
+
+def _across(
+    shared: DataFrame, heads: DataFrame, about: DataFrame, placed: DataFrame, percent: int
+) -> DataFrame:
     """Members of different components whose groups meet in a list or are the same."""
     spark = shared.sparkSession
     labels = placed.select("group", "label").distinct()
@@ -366,20 +407,22 @@ def _links(
     work = [workspace(spark, f"ngram-{name}") for name in ("pairs", "asked", "sets")]
     pairs = staged(pairs, work[0])
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node")))
-    # The document that a node was taken from has its set; others may have its id.
-    name = F.coalesce(F.col("id").cast("string"), F.lit("\0"))
-    asked = staged(
-        nodes.distinct().join(sets.select("node", "sign", "id"), "node").select("node", "sign", name.alias("name")),
-        work[1],
-    )
-    texts = possible(rows.select(name.alias("name"), "text"), asked, "name", words_for(asked.count()))
-    made = map_batches(texts.select("text"), partial(_sets, width), "sign binary, shingles array<long>")
+    # The document that a node was taken from has its set; few others can have its tag.
+    asked = staged(nodes.distinct().join(sets.select("node", "sign", "tag"), "node"), work[1])
+    texts = possible(rows.select("tag", "text"), asked, "tag", words_for(asked.count()))
     some = staged(
-        made.join(asked.select("sign", "node"), "sign")
-        .groupBy("node")
-        .agg(F.first("shingles").alias("shingles")),  # rows of a node have the same set
+        map_batches(
+            texts.join(asked, "tag").select("node", "sign", "text"),
+            partial(_sets, width),
+            "node long, shingles array<long>",
+        ).withColumn("row", F.monotonically_increasing_id()),
         work[2],
     )
+    # Rows that repeat an id and a text made a node's set several times.
+    first = some.groupBy("node").agg(F.min("row").alias("row"), F.count("*").alias("n"))
+    if not first.filter("n > 1").isEmpty():
+        some = some.join(first.select("row"), "row", "left_semi")
+    some = some.drop("row")
     both = join_splittable(pairs, some.withColumnsRenamed({"node": "u", "shingles": "of_u"}), "u", "inner")
     both = join_splittable(both, some.withColumnsRenamed({"node": "v", "shingles": "of_v"}), "v", "inner")
     common = F.size(F.array_intersect("of_u", "of_v"))
