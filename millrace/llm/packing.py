@@ -2,12 +2,14 @@
 
 1. Every document is tokenized once. Full sequences are cut off its front; what is left has
    a length class (its length in 256ths of the sequence, rounded up).
-   Pieces are written to shared storage with a rank per class and task.
+   Pieces are written to shared storage with a rank per class and task, and the number of
+   tokens ahead of them in their class.
 2. The histogram of classes, at most 256 numbers whatever the input, goes to the driver. A
    linear program over patterns (which classes fill a sequence) is solved by column
    generation: a knapsack dynamic program prices new patterns. Patterns that leave almost
-   no room are rounded to whole numbers and used. What they do not cover is laid end to
-   end and cut where a sequence is full, so that only the very last sequence stays open.
+   no room are rounded to whole numbers and used. What they do not cover, and all pieces
+   shorter than ``SHORT`` of a sequence, is laid end to end by true length and cut where a
+   sequence is full, so that only the very last sequence stays open.
 3. The plan is a table of rank ranges whose size depends on the number of classes only.
    Documents find their places in it by class and rank; Spark does that as a join.
 
@@ -35,6 +37,8 @@ CLASSES = 256
 #: Patterns that leave more classes empty than this are not used.
 _MOST_WASTE = 1
 _STEPS = 1_500
+#: Pieces of fewer classes are not worth rounding up: they are laid end to end.
+SHORT = CLASSES // 8
 
 
 def pack(
@@ -54,57 +58,60 @@ def pack(
     """
     if capacity % CLASSES:
         raise ValueError(f"capacity must be a multiple of {CLASSES}")
-    unit = capacity // CLASSES
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), utf8(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     pieces = staged(
         map_batches(
             rows,
-            partial(_tokenize, tokenizer, end_id, capacity),
-            f"""id {id_type}, part int, class int, local long, start long, length long,
+            partial(_tokenize, tokenizer, end_id, capacity, keep_ids),
+            f"""id {id_type}, part int, class int, local long, run long, start long, length long,
                 crc long, doc_tokens long, ids binary""",
         ),
         workspace(spark, "packing-pieces"),
-        compression="zstd",
     )
-    # How many pieces of a class earlier tasks have: one row per task and class.
+    # Pieces and tokens of a class that earlier tasks have: one row per task and class.
     earlier = Window.partitionBy("class").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     shares = staged(
-        pieces.groupBy("class", "part").agg(F.count("*").alias("n")),
+        pieces.groupBy("class", "part").agg(F.count("*").alias("n"), F.sum("length").alias("tokens")),
         workspace(spark, "packing-shares"),
     )
     before = shares.select(
-        "class", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+        "class",
+        "part",
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+        F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("ahead"),
     )
-    histogram = shares.groupBy("class").agg(F.sum("n").alias("n")).collect()
+    ranked = (
+        pieces.drop("ids")
+        .join(before, ["class", "part"])
+        .withColumn("rank", F.col("before") + F.col("local"))
+        .withColumn("ahead", F.col("ahead") + F.col("run"))
+    )
+    histogram = shares.groupBy("class").agg(F.sum("n").alias("n"), F.sum("tokens").alias("t")).collect()
+    planned = plan_packing({r["class"]: r["n"] for r in histogram})
     plan = spark.createDataFrame(
-        plan_packing({r["class"]: r["n"] for r in histogram}),
-        "class int, lo long, hi long, base long, per int, slot int",
+        _lay(planned, {r["class"]: r["t"] for r in histogram}, ranked, capacity),
+        "class int, lo long, hi long, base long, per int, slot long",
     )
     laid = F.expr("per = 0")
-    at = F.expr("base + (rank - lo) * class")
     placed = (
-        pieces.drop("ids")
-        .join(before, ["class", "part"])
-        .withColumn("rank", F.col("before") + F.col("local"))
-        .join(F.broadcast(plan), "class")
+        ranked.join(F.broadcast(plan), "class")
         .filter("rank >= lo and rank < hi")
         .withColumn("item", F.expr("rank - lo"))
-        .withColumn("at", at)
+        .withColumn("at", F.col("base") + F.col("ahead"))
         .withColumn(
             "sequence_id",
             F.explode(
-                F.when(laid, F.expr(f"sequence(at div {CLASSES}, (at + class - 1) div {CLASSES})"))
+                F.when(laid, F.expr(f"sequence(at div {capacity}, (at + length - 1) div {capacity})"))
                 .otherwise(F.expr("array(base + item div per)"))
             ),
         )
-        .withColumn("opens", F.expr(f"sequence_id * {CLASSES} - at"))
-        .withColumn("cut_from", F.when(laid, F.greatest(F.lit(0), "opens")).otherwise(0) * unit)
+        .withColumn("opens", F.expr(f"sequence_id * {capacity} - at"))
+        .withColumn("cut_from", F.when(laid, F.greatest(F.lit(0), "opens")).otherwise(0))
         .withColumn(
             "cut_to",
-            F.when(laid, F.least(F.col("length"), (F.col("opens") + CLASSES) * unit))
-            .otherwise(F.col("length")),
+            F.when(laid, F.least(F.col("length"), F.col("opens") + capacity)).otherwise(F.col("length")),
         )
         .select(
             "id", "part", "class", "local", "doc_tokens", "length", "crc", "cut_from", "cut_to",
@@ -142,11 +149,34 @@ def pack(
     )
 
 
-def _tokenize(path: str, end_id: int, capacity: int, batches: Batches) -> Batches:
+def _lay(
+    plan: list[tuple], tokens: dict[int, int], ranked: DataFrame, capacity: int
+) -> list[tuple]:
+    """The plan with places for what is laid end to end, in tokens.
+
+    Where the tokens of such a class begin is looked up at its first piece that is laid.
+    """
+    firsts = {c: lo for c, lo, _, _, per, _ in plan if not per}
+    opens = {c: 0 for c, lo in firsts.items() if lo == 0}
+    if len(opens) < len(firsts):
+        wanted = [F.struct(F.lit(c).alias("c"), F.lit(lo).cast("long").alias("r")) for c, lo in firsts.items() if lo]
+        first = ranked.filter(F.struct(F.col("class").alias("c"), F.col("rank").alias("r")).isin(wanted))
+        opens |= {r["class"]: r["ahead"] for r in first.select("class", "ahead").collect()}
+    position = capacity * max((base + -(-(hi - lo) // per) for _, lo, hi, base, per, _ in plan if per), default=0)
+    out = []
+    for c, lo, hi, base, per, slot in plan:
+        if not per:
+            base = position - opens[c]
+            position += tokens[c] - opens[c]
+        out.append((c, lo, hi, base, per, slot))
+    return out
+
+
+def _tokenize(path: str, end_id: int, capacity: int, keep_ids: bool, batches: Batches) -> Batches:
     tokens = shared_pieces(PieceIds, path)
     end = np.array([end_id], dtype="<u4").tobytes()
     part, unit = TaskContext.get().partitionId(), capacity // CLASSES
-    seen = [0] * (CLASSES + 1)
+    seen, ran = [0] * (CLASSES + 1), [0] * (CLASSES + 1)
     for batch in batches:
         texts, names = batch.column("text").to_pylist(), batch.column("id")
         schema = pa.schema(
@@ -155,6 +185,7 @@ def _tokenize(path: str, end_id: int, capacity: int, batches: Batches) -> Batche
                 ("part", pa.int32()),
                 ("class", pa.int32()),
                 ("local", pa.int64()),
+                ("run", pa.int64()),
                 ("start", pa.int64()),
                 ("length", pa.int64()),
                 ("crc", pa.int64()),
@@ -168,14 +199,17 @@ def _tokenize(path: str, end_id: int, capacity: int, batches: Batches) -> Batche
                 ids += end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
-                    piece = ids[4 * start : 4 * (start + capacity)]
+                    piece = ids if total <= capacity else ids[4 * start : 4 * (start + capacity)]
                     length = len(piece) // 4
                     kind = -(-length // unit)
                     owners.append(i)
+                    # The last class fills a sequence by itself and is never cut.
+                    kept = piece if keep_ids or kind < CLASSES else None
                     rows.append(
-                        (part, kind, seen[kind], start, length, zlib.crc32(piece), total, piece)
+                        (part, kind, seen[kind], ran[kind], start, length, zlib.crc32(piece), total, kept)
                     )
                     seen[kind] += 1
+                    ran[kind] += length
             if rows:
                 yield out_batch(schema, names.take(pa.array(owners)), *map(list, zip(*rows)))
 
@@ -245,16 +279,19 @@ def _best_pattern(kinds: np.ndarray, price: np.ndarray, classes: int) -> tuple[f
     return float(best[classes]), column
 
 
-def plan_packing(demand: dict[int, int], classes: int = CLASSES) -> list[tuple]:
-    """Rows (class, lo, hi, base, per, first, slot) for documents of a class by their rank.
+def plan_packing(demand: dict[int, int], classes: int = CLASSES, short: int = SHORT) -> list[tuple]:
+    """Rows (class, lo, hi, base, per, slot) for documents of a class by their rank.
 
     With ``per``, documents ``lo`` to ``hi`` go whole into the sequences from ``base`` on, ``per``
-    into each. With ``per`` 0 they are laid end to end from position ``base``, in classes.
-    At most two rows per class and pattern.
+    into each. With ``per`` 0 they are laid end to end behind these. At most two rows per
+    class and pattern.
     """
     taken = dict.fromkeys(demand, 0)
     rows, sequences = [], 0
-    for pattern, level in solve_patterns(demand, classes):
+    if demand.get(classes):  # a sequence each
+        rows.append((classes, 0, demand[classes], 0, 1, 0))
+        sequences = taken[classes] = demand[classes]
+    for pattern, level in solve_patterns({c: n for c, n in demand.items() if short <= c < classes}, classes):
         if classes - sum(c * n for c, n in pattern.items()) > _MOST_WASTE:
             continue
         times = min(round(level), *((demand[c] - taken[c]) // n for c, n in pattern.items()))
@@ -264,9 +301,7 @@ def plan_packing(demand: dict[int, int], classes: int = CLASSES) -> list[tuple]:
             taken[c] += n * times
             slot += n
         sequences += times
-    position = sequences * classes
     for c in sorted(demand, reverse=True):
         if taken[c] < demand[c]:
-            rows.append((c, taken[c], demand[c], position, 0, 0))
-            position += c * (demand[c] - taken[c])
+            rows.append((c, taken[c], demand[c], 0, 0, 0))
     return rows

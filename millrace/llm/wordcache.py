@@ -164,59 +164,88 @@ def _merged(pieces: list[bytes]) -> list[str]:
     return out
 
 
+#: Words that the steps before the model only lower: a-z and the letters of U+00C0 to U+00FF.
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+
+
 class PieceIds:
     """Token ids of a lower-casing BPE that drops white space, as little-endian 32-bit numbers.
 
-    A text is cut at ASCII white space, and in front of stops (see ``_STOP``). ASCII letters
-    are lowered beforehand, as the tokenizer would do, unless the text holds what that could
-    change: marks that combine with letters, or the text of a special token.
+    A text is cut at ASCII white space. ASCII letters are lowered beforehand, as the tokenizer
+    would do, unless the text holds what that could change: marks that combine with letters,
+    or the text of a special token. A stop at the end of a piece, behind an ASCII letter, is a
+    word of its own, so the piece has the ids of the rest and those of the stop.
     """
 
     def __init__(self, tokenizer) -> None:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer, self.pieces = tokenizer, _Memory()
-        # For words of lower-case ASCII letters the steps before the model change nothing.
+        self.tokenizer = tokenizer
+        self.pieces: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+        self.stops = dict(zip((b".", b",", b"!", b"?"), self._encoded([b".", b",", b"!", b"?"])))
         self.letters = Tokenizer.from_str(tokenizer.to_str())
         self.letters.normalizer = normalizers.Sequence([])
-        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
         self.closes = _marked(tokenizer, lambda token: token.endswith("</w>"))
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text (UTF-8), without special tokens added."""
         cut = [
-            t.split()
-            if b"<|" in t or b"\xcc" in t or b"\xcd" in t
-            else _STOP.sub(rb" \g<0>", t.lower()).split()
-            for t in texts
+            (t if b"<|" in t or b"\xcc" in t or b"\xcd" in t else t.lower()).split() for t in texts
         ]
         new = self._learn(set().union(*cut))
         look = self.pieces.__getitem__
         ids = [b"".join(map(look, pieces)) for pieces in cut]
-        self.pieces.forget_long(new)
+        for k in new:
+            if len(k) > _LONG:
+                del self.pieces[k]
         return ids
 
-    def _learn(self, pieces: set[bytes]) -> list[bytes]:
-        new = self.pieces.missing(pieces)
-        letters = [p for p in new if p.isalpha() and p.islower()]
-        for start in range(0, len(letters), 8192):
-            some = letters[start : start + 8192]
-            ids = _joined_ids(self.letters, b" ".join(some))
-            stops = (4 * np.flatnonzero(self.closes[ids]) + 4).tolist()
+    def _learn(self, pieces: set[bytes]) -> set[bytes]:
+        """Ids of the pieces that are not known; what was not asked for lately is forgotten."""
+        if len(self.pieces) > REMEMBERED:
+            self.before, self.pieces = self.pieces, {}
+        new = self._unknown(pieces)
+        stopped = {p: p[:-1] for p in new if p[-1:] in self.stops and p[-2:-1].isalpha()}
+        new.difference_update(stopped)
+        new |= self._unknown(set(stopped.values()) - new)
+        plain = [p for p in new if _PLAIN.fullmatch(p)]
+        for start in range(0, len(plain), 8192):
+            some = plain[start : start + 8192]
+            text = b" ".join(some).decode("utf-8").lower()
+            found = self.letters.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(found[0].ids, dtype="<u4")
+            ends = (4 * np.flatnonzero(self.closes[ids]) + 4).tolist()
             flat = ids.tobytes()
-            known = zip(some, [0, *stops[:-1]], stops, strict=True)
+            known = zip(some, [0, *ends[:-1]], ends, strict=True)
             self.pieces.update((p, flat[a:b]) for p, a, b in known)
         others = [p for p in new if p not in self.pieces]
         for start in range(0, len(others), 8192):
             some = others[start : start + 8192]
-            found = self.tokenizer.encode_batch_fast(
-                [_text(p) for p in some], add_special_tokens=False
-            )
-            self.pieces.update(
-                (p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(some, found, strict=True)
-            )
+            self.pieces.update(zip(some, self._encoded(some), strict=True))
+        ids, stops = self.pieces, self.stops
+        for piece, bare in stopped.items():
+            ids[piece] = ids[bare] + stops[piece[-1:]]
+        return new.union(stopped)
+
+    def _unknown(self, pieces: set[bytes]) -> set[bytes]:
+        new = pieces.difference(self.pieces)
+        if self.before:
+            known = {p: self.before[p] for p in new if p in self.before}
+            self.pieces.update(known)
+            new.difference_update(known)
         return new
 
+    def _encoded(self, pieces: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([_text(p) for p in pieces], add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
 
 _open: dict[tuple[type, str], object] = {}
 
