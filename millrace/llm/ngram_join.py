@@ -16,8 +16,10 @@ Two sets are linked when ``percent`` hundredths of their union are common to bot
    of groups are filtered by size, by the place of the common shingle (it is the first one in
    at least one list) and by how many shingles their prefixes can have in common, estimated
    from above by exclusive-or of prefix bitmaps. What is left is expanded to members.
-6. Every pair of members is verified on its complete sets. Sets are not kept from step 1: they
-   are made again from the texts of the documents in question, which a small filter picks.
+6. A bitmap of about as many bits as a set has shingles bounds the difference of two sets from
+   below. Pairs that it leaves are verified on their complete sets. Sets are not kept from step
+   1: they are made again from the texts of the documents in question, which a small filter
+   picks, where one of a pair's sets meets the other.
 
 In a list of many near copies, step 4 checks as many pairs as there are copies and leaves one
 component, so step 5 does not pair them. Sets that are not linked although they share a rare
@@ -53,41 +55,68 @@ FREQUENT = 2**18
 _SEED = 11
 #: Hashes counted together, and the entries a task keeps between counts.
 _COUNTED, _REMEMBERED = 2**21, 2**17
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of a text that are hashed in one step.
+_POWERS = 2**20
 _MAP_WORDS = 8
 _MAPS = [f"m{i}" for i in range(_MAP_WORDS)]
 
 
+def _powers(base: int) -> np.ndarray:
+    out = np.full(_POWERS, base, dtype=np.uint64)
+    out[0] = 1
+    with np.errstate(over="ignore"):
+        return np.multiply.accumulate(out)
+
+
 class Shingles:
-    """Hashes of shingles from those of words, which are remembered."""
+    """Hashes of shingles, from running sums over the bytes of a text.
 
-    def __init__(self, width: int = SHINGLE, remembered: int = 500_000) -> None:
-        self.width, self.remembered = width, remembered
-        self.known: dict[bytes, int] = {}
+    Every byte has a random number of 64 bits; a string's hash is the polynomial of these
+    modulo 2**64 with a random odd base, which is the difference of two running sums, moved
+    back to where the string begins by the inverse of the base.
+    """
 
-    def of(self, text: bytes) -> np.ndarray:
-        """Sorted hashes of the distinct shingles, as signed 64-bit integers.
+    def __init__(self, width: int = SHINGLE) -> None:
+        self.width = width
+        draw = np.random.default_rng(_SEED)
+        self.of_byte = draw.integers(0, 2**64, size=256, dtype=np.uint64)
+        base = int(draw.integers(0, 2**63, dtype=np.uint64)) * 2 + 1
+        self.up, self.down = _powers(base), _powers(pow(base, -1, 2**64))
 
-        A shingle's hash is a polynomial of its words' hashes modulo 2**64 with an odd base.
-        """
-        words = text.lower().split()
-        if not words:
+    def of(self, text: bytes) -> np.ndarray:
+        """Sorted hashes of the distinct shingles, as signed 64-bit integers."""
+        joined = np.frombuffer(b" ".join(text.lower().split()), dtype=np.uint8)
+        if not len(joined):
             return np.zeros(0, dtype=np.int64)
-        if len(self.known) > self.remembered:
-            self.known = {}
-        known = self.known
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w, _SEED)
-        one = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        width = min(self.width, len(words))
-        n = len(words) - width + 1
+        spaces = np.flatnonzero(joined == 32)
+        starts, ends = np.append(0, spaces + 1), np.append(spaces, len(joined))
+        if len(starts) > self.width:
+            starts, ends = starts[: 1 - self.width], ends[self.width - 1 :]
+        else:
+            starts, ends = starts[:1], ends[-1:]
+        parts, at = [], 0
+        while at < len(starts):
+            # As many shingles as the powers reach, one at least.
+            upto = max(at + 1, int(np.searchsorted(ends, starts[at] + _POWERS)))
+            parts.append(self._hashes(joined, starts[at:upto], ends[at:upto]))
+            at = upto
+        found = np.sort(np.concatenate(parts) if len(parts) > 1 else parts[0])
+        return found[np.append(True, found[1:] != found[:-1])]
+
+    def _hashes(self, joined: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        first, size = starts[0], int(ends[-1] - starts[0])
+        up, down = self.up, self.down
+        if size >= _POWERS:  # a shingle longer than all of the powers
+            return np.array([xxhash.xxh3_64_intdigest(joined[first : ends[-1]].tobytes())], np.uint64).view(np.int64)
+        sums = np.zeros(size + 1, dtype=np.uint64)
         with np.errstate(over="ignore"):
-            mixed = np.full(n, width, dtype=np.uint64)
-            for k in range(width):
-                mixed = mixed * _BASE + one[k : k + n]
+            np.cumsum(self.of_byte[joined[first : ends[-1]]] * up[:size], out=sums[1:])
+            mixed = (sums[ends - first] - sums[starts - first]) * down[starts - first]
             mixed ^= mixed >> np.uint64(32)
-            mixed *= _BASE
-        return np.unique(mixed.view(np.int64))
+            mixed *= _ODD
+            mixed ^= mixed >> np.uint64(29)
+        return mixed.view(np.int64)
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -109,13 +138,49 @@ def _sign(shingles: np.ndarray) -> bytes:
 
 def _sets(width: int, batches: Batches) -> Batches:
     """The sets of the rows whose text has the sign they are asked for."""
-    schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("shingles", pa.list_(pa.int64()))])
     shingles = Shingles(width)
     for batch in batches:
-        nodes, signs = batch.column("node").to_pylist(), batch.column("sign").to_pylist()
+        signs = batch.column("sign").to_pylist()
         for a, b, sets in _set_steps(shingles, batch):
             own = [i for i in range(a, b) if _sign(sets[i - a]) == signs[i]]
-            yield out_batch(schema, [nodes[i] for i in own], _lists([sets[i - a] for i in own]))
+            taken = pa.array(own, pa.int64())
+            yield out_batch(
+                schema,
+                batch.column("u").take(taken),
+                batch.column("v").take(taken),
+                _lists([sets[i - a] for i in own]),
+            )
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """Parities of the hashes modulo a power of two, at least 64 and at least their number."""
+    bits = max(64, 1 << (len(shingles) - 1).bit_length())
+    odd = np.bincount(shingles.view(np.uint64) & np.uint64(bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _apart(a: bytes, b: bytes) -> int:
+    """A lower bound of how many shingles are in one set only."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) > len(y):
+        x = np.bitwise_xor(*np.split(x, 2))
+    while len(y) > len(x):
+        y = np.bitwise_xor(*np.split(y, 2))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _near(percent: int, batches: Batches) -> Batches:
+    """Pairs whose sketches allow a link."""
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+    for batch in batches:
+        size = zip(batch.column("n_u").to_pylist(), batch.column("n_v").to_pylist())
+        sketches = zip(batch.column("of_u").to_pylist(), batch.column("of_v").to_pylist())
+        near = [
+            m + n - 2 * -(-percent * (m + n) // (100 + percent)) >= _apart(a, b)
+            for (m, n), (a, b) in zip(size, sketches)
+        ]
+        yield batch.select(["u", "v"]).filter(pa.array(near, pa.bool_())).cast(schema)
 
 
 def _often(width: int, batches: Batches) -> Batches:
@@ -160,6 +225,7 @@ def _prefixes(width: int, percent: int, sent, batches: Batches) -> Batches:
                 ("sign", pa.binary()),
                 ("key", pa.binary()),
                 ("prefix", pa.list_(pa.int64())),
+                ("sketch", pa.binary()),
                 *((m, pa.int64()) for m in _MAPS),
             ]
         )
@@ -186,6 +252,7 @@ def _prefixes(width: int, percent: int, sent, batches: Batches) -> Batches:
                 [_sign(s) for s in sets],
                 keys,
                 _lists(prefixes),
+                [sketch(s) if len(s) else b"" for s in sets],
                 *(pa.array(np.ascontiguousarray(maps[:, j]).view(np.int64)) for j in range(_MAP_WORDS)),
             )
 
@@ -208,12 +275,13 @@ def ngram_components(
             rows,
             partial(_prefixes, width, percent, sent),
             f"id {id_type}, tag long, n int, sign binary, key binary, prefix array<long>, "
+            "sketch binary, "
             + ", ".join(f"{m} long" for m in _MAPS),
         ).withColumn("node", F.monotonically_increasing_id()),
         workspace(spark, "ngram-prefixes"),
     )
     # A row of each different set stands for it: the node.
-    of_set = F.struct("node", "n", "key", "prefix", *_MAPS, "tag")
+    of_set = F.struct("node", "n", "key", "prefix", "sketch", *_MAPS, "tag")
     sets = staged(
         prefixed.filter("n > 0")
         .groupBy("sign")
@@ -394,8 +462,9 @@ def _across(
         own.select(F.col("group").alias("b"), F.col("label").alias("of_b")),
         F.expr("a = b and of_a < of_b"),
     )
-    of_a = placed.select(F.col("group").alias("a"), F.col("label").alias("of_a"), F.col("node").alias("u"))
-    of_b = placed.select(F.col("group").alias("b"), F.col("label").alias("of_b"), F.col("node").alias("v"))
+    # Members of the largest component meet few of the others: those are the v.
+    of_a = placed.select(F.col("group").alias("a"), F.col("label").alias("of_a"), F.col("node").alias("v"))
+    of_b = placed.select(F.col("group").alias("b"), F.col("label").alias("of_b"), F.col("node").alias("u"))
     return met.unionByName(within).join(of_a, ["a", "of_a"]).join(of_b, ["b", "of_b"]).select("u", "v")
 
 
@@ -405,28 +474,36 @@ def _links(
     """Those of the pairs ``u``, ``v`` whose sets are similar enough."""
     spark = pairs.sparkSession
     work = [workspace(spark, f"ngram-{name}") for name in ("pairs", "asked", "sets")]
-    pairs = staged(pairs, work[0])
-    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node")))
+    about = sets.select("node", "n", "sketch")
+    of_u = about.toDF("u", "n_u", "of_u")
+    of_v = about.toDF("v", "n_v", "of_v")
+    both = join_splittable(join_splittable(pairs, of_u, "u", "inner"), of_v, "v", "inner")
+    pairs = staged(map_batches(both, partial(_near, percent), "u long, v long"), work[0])
+    # The set of u is wanted once per pair, that of v once for all its pairs (as u null).
+    wanted = pairs.select(F.col("u").alias("node"), "u", "v").unionByName(
+        pairs.select(F.col("v").alias("node"), F.lit(None).cast("long").alias("u"), "v").distinct()
+    )
     # The document that a node was taken from has its set; few others can have its tag.
-    asked = staged(nodes.distinct().join(sets.select("node", "sign", "tag"), "node"), work[1])
+    asked = staged(
+        join_splittable(wanted, sets.select("node", "sign", "tag"), "node", "inner").drop("node"), work[1]
+    )
     texts = possible(rows.select("tag", "text"), asked, "tag", words_for(asked.count()))
-    some = staged(
+    made = staged(
         map_batches(
-            texts.join(asked, "tag").select("node", "sign", "text"),
+            texts.join(asked, "tag").select("u", "v", "sign", "text"),
             partial(_sets, width),
-            "node long, shingles array<long>",
+            "u long, v long, shingles array<long>",
         ).withColumn("row", F.monotonically_increasing_id()),
         work[2],
     )
-    # Rows that repeat an id and a text made a node's set several times.
-    first = some.groupBy("node").agg(F.min("row").alias("row"), F.count("*").alias("n"))
+    # Rows that repeat an id and a text made a set several times.
+    first = made.groupBy("u", "v").agg(F.min("row").alias("row"), F.count("*").alias("n"))
     if not first.filter("n > 1").isEmpty():
-        some = some.join(first.select("row"), "row", "left_semi")
-    some = some.drop("row")
-    both = join_splittable(pairs, some.withColumnsRenamed({"node": "u", "shingles": "of_u"}), "u", "inner")
-    both = join_splittable(both, some.withColumnsRenamed({"node": "v", "shingles": "of_v"}), "v", "inner")
-    common = F.size(F.array_intersect("of_u", "of_v"))
-    least = F.expr(_needed("size(of_u)", "size(of_v)", percent))
-    links = staged(both.filter(common >= least).select("u", "v"), workspace(spark, "ngram-links"))
+        made = made.join(first.select("row"), "row", "left_semi")
+    one = made.filter("u is null").select("v", F.col("shingles").alias("of_v"))
+    met = join_splittable(made.filter("u is not null"), one, "v", "inner")
+    common = F.size(F.array_intersect("shingles", "of_v"))
+    least = F.expr(_needed("size(shingles)", "size(of_v)", percent))
+    links = staged(met.filter(common >= least).select("u", "v"), workspace(spark, "ngram-links"))
     release(spark, *work)
     return links
