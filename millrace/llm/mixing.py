@@ -4,13 +4,18 @@
    ``most_copies`` times its source's size; the excess is shared again by weight. With sources
    ordered by size over weight, the level of this water filling is the largest of the levels
    that follow when the first 0, 1, 2, ... sources are full.
-2. A document is expected ``target / source size`` times. The whole part is certain. The rest
-   is an inclusion probability p: documents are ranked by the odds of a random number over
-   the odds of p, and in that order taken once more until the source's target is reached to
-   the nearest document. Inclusion probabilities differ between sources, and within one by
-   ``weight_col``, if given.
+2. A document is expected as often as its wish (``weight_col``) says relative to the others of
+   its source, ``most_copies`` times at most, so that the expected sizes add up to the
+   source's target: the factor on the wishes is found by filling again, over levels of the
+   wish (``_LEVELS`` per octave). The whole part of the expectation is certain. The rest is an
+   inclusion probability p: documents are ranked by the odds of a random number over the
+   odds of p, and in that order taken once more until the source's target is reached to the
+   nearest document.
 3. The rank is never sorted as a whole: sizes are summed per source and slice of the rank,
-   the slice in which a source's target falls is found, and only that slice is ordered.
+   the slice in which a source's target falls is found, and only that slice is ordered. There
+   are so many slices that one has about ``EDGE_ROWS`` documents of the largest source.
+4. Places and running sums over all sources come from ranges of sources: sums within each
+   range, and one row per range to add up.
 
 The random number is a hash of seed and id, so reruns agree. Null text or id are allowed; a
 null source is a source of its own, behind all others. Rows that repeat share their random
@@ -27,8 +32,9 @@ from millrace.llm.shared import staged
 from millrace.session import workspace
 
 MOST_COPIES = 3
-SLICES = 4096
+SLICES, EDGE_ROWS = 4096, 100_000
 SEED = 7
+_LEVELS = 16
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -73,25 +79,20 @@ def mix(
         ),
         workspace(spark, "mixing-sizes"),
     )
-    sources = staged(
-        _targets(
-            sized.groupBy("source").agg(
-                F.sum("size").alias("source_size"),
-                F.sum(F.col("size") * F.col("likes")).alias("liked_size"),
-            ),
-            weight,
-            most_copies,
-        ),
-        workspace(spark, "mixing-sources"),
+    per_source = staged(
+        sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows")),
+        workspace(spark, "mixing-totals"),
     )
+    largest = per_source.agg(F.max("rows")).first()[0] or 0
+    slices = max(slices, -(-largest // EDGE_ROWS))
+    targets = staged(_targets(per_source.drop("rows"), weight, most_copies), workspace(spark, "mixing-targets"))
+    sources = staged(_factors(sized, targets, most_copies), workspace(spark, "mixing-sources"))
     joined = sized.withColumnRenamed("source", "own").join(
         sources, F.col("own").eqNullSafe(F.col("source"))
     ).drop("own")
     # Expected copies, certain copies, and the odds of one copy more.
-    wanted = F.when(
-        F.col("liked_size") > 0, F.col("target") * F.col("likes") / F.col("liked_size")
-    ).otherwise(0.0)
-    expected = joined.withColumn("wanted", F.least(wanted, F.lit(float(most_copies))))
+    wanted = F.least(F.col("factor") * F.col("likes"), F.lit(float(most_copies)))
+    expected = joined.withColumn("wanted", wanted)
     certain = F.floor("wanted")
     p = F.col("wanted") - F.col("certain")
     ratio = (F.col("random") / (1 - F.col("random"))) / (p / (1 - p))
@@ -143,21 +144,69 @@ def mix(
     )
 
 
+def _factors(sized: DataFrame, targets: DataFrame, most_copies: int) -> DataFrame:
+    """``targets`` with ``factor``: documents are expected ``factor`` times their wish.
+
+    With the highest levels of the wish full, the rest shares what is left; the factor is the
+    largest of those that follow when none, one, two, ... levels are full.
+    """
+    level = F.floor(F.log2("likes") * _LEVELS)
+    per_level = sized.groupBy("source", level.alias("level")).agg(
+        F.sum("size").alias("level_size"), F.sum(F.col("size") * F.col("likes")).alias("liked")
+    )
+    higher = Window.partitionBy("source").orderBy(F.col("level").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    left = Window.partitionBy("source").orderBy("level").rowsBetween(Window.unboundedPreceding, 0)
+    shared = (
+        per_level.withColumn("full", F.coalesce(F.sum("level_size").over(higher), F.lit(0)) * float(most_copies))
+        .withColumn("open", F.sum("liked").over(left))
+        .withColumnRenamed("source", "own")
+        .join(targets, F.col("own").eqNullSafe(F.col("source")))
+    )
+    factor = F.when(F.col("open") > 0, (F.col("target") - F.col("full")) / F.col("open"))
+    return shared.groupBy("source", "source_size", "target").agg(
+        F.greatest(F.coalesce(F.max(factor), F.lit(0.0)), F.lit(0.0)).alias("factor")
+    )
+
+
+def _running(rows: DataFrame, order: list[Column], names: list[str]) -> DataFrame:
+    """``rows`` with the sums of the named columns over all rows before, as ``<name>_before``.
+
+    Rows are dealt into ranges of the order. Running sums are taken within each range; of the
+    ranges there is one row each, and only these are added up in one task.
+    """
+    spark = rows.sparkSession
+    ranged = staged(
+        rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()),
+        workspace(spark, "mixing-ranges"),
+    )
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("range").agg(*[F.sum(n).alias(n) for n in names])
+    offsets = sums.select(
+        "range", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_offset") for n in names]
+    )
+    within = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranged.join(offsets, "range")
+    for n in names:
+        own = F.coalesce(F.sum(n).over(within), F.lit(0)) + F.col(f"{n}_offset")
+        summed = summed.withColumn(f"{n}_before", own)
+    return summed.drop("range", *[f"{n}_offset" for n in names])
+
+
 def _targets(sources: DataFrame, weight: Column, most_copies: int) -> DataFrame:
-    """``target`` of every source. One row per source goes through these windows."""
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    weighed = sources.withColumn("place", F.row_number().over(by_name)).withColumn(
-        "weight", weight.cast("double")
-    )
-    full = (F.col("source_size") * most_copies).cast("double")
-    order = Window.orderBy(full / F.col("weight"), "place")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    level = (
-        F.sum("source_size").over(everything) - F.coalesce(F.sum(full).over(before), F.lit(0.0))
-    ) / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    return (
-        weighed.withColumn("level", level)
-        .withColumn("target", F.least(full, F.max("level").over(everything) * F.col("weight")))
-        .select("source", "source_size", "liked_size", "target")
+    """``target`` of every source."""
+    by_name = [F.col("source").asc_nulls_last()]
+    placed = _running(sources.withColumn("one", F.lit(1)), by_name, ["one"])
+    weighed = placed.withColumn("place", F.col("one_before") + 1).withColumn("weight", weight.cast("double"))
+    weighed = weighed.withColumn("full", (F.col("source_size") * most_copies).cast("double"))
+    filled = staged(
+        _running(weighed, [F.col("full") / F.col("weight"), F.col("place")], ["full", "weight"]),
+        workspace(sources.sparkSession, "mixing-levels"),
+    )
+    whole = filled.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    if whole["size"] is None:
+        return filled.select("source", "source_size", F.lit(0.0).alias("target"))
+    level = (F.lit(whole["size"]) - F.col("full_before")) / (F.lit(whole["weight"]) - F.col("weight_before"))
+    highest = filled.agg(F.max(level)).first()[0]
+    return filled.select(
+        "source", "source_size", F.least(F.col("full"), F.lit(highest) * F.col("weight")).alias("target")
     )

@@ -11,7 +11,7 @@ from millrace.llm.exact_dedup import exact_groups
 from millrace.llm.language_id import identify, page_evidence, train_text_model
 from millrace.llm.lexical import search
 from millrace.llm.line_dedup import drop_repeated_lines
-from millrace.llm.mixing import cyclic_weights, mix
+from millrace.llm.mixing import cyclic_weights, mix, word_count
 from millrace.llm.ngram_join import ngram_components
 from millrace.llm.packing import pack
 from millrace.llm.shared import table
@@ -76,7 +76,8 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 with sized as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size,
          (cast('0x' || substr(md5('7:' || doc_id), 1, 13) as bigint) + 0.5::double)
-           / 4503599627370496.0::double as random
+           / 4503599627370496.0::double as random,
+         case when size >= 50 then 2.0::double else 1.0::double end as wish
   from documents),
 summed as (select source, sum(size)::bigint as source_size from sized group by source),
 weighed as (
@@ -94,10 +95,21 @@ levelled as (
 aimed as (
   select source, source_size, least(filled, max(level) over () * weight) as target
   from levelled),
+per_level as (
+  select source, wish, sum(size) as level_size, sum(size * wish) as liked from sized group by source, wish),
+shared as (
+  select source, 3 * coalesce(sum(level_size) over (partition by source order by wish desc
+                    rows between unbounded preceding and 1 preceding), 0)::double as full_size,
+         sum(liked) over (partition by source order by wish
+                    rows between unbounded preceding and current row) as open
+  from per_level),
+factors as (
+  select a.source, a.source_size, a.target,
+         greatest(coalesce(max(case when open > 0 then (target - full_size) / open end), 0.0::double), 0.0::double) as factor
+  from aimed a join shared s on s.source is not distinct from a.source group by all),
 wanted as (
-  select s.*, a.source_size, a.target,
-         case when a.source_size > 0 then a.target / a.source_size else 0.0::double end as copies
-  from sized s join aimed a on s.source is not distinct from a.source),
+  select s.*, a.source_size, a.target, least(factor * wish, 3.0::double) as copies
+  from sized s join factors a on s.source is not distinct from a.source),
 ranked as (
   select *, floor(copies) as certain, copies - floor(copies) as p,
          (random / (1 - random)) / ((copies - floor(copies)) / (1 - (copies - floor(copies)))) as ratio
@@ -116,7 +128,10 @@ select doc_id, size::bigint as size, source_size, target,
                        then 1 else 0 end)::bigint as copies
 from summing""")
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"), cyclic_weights(1, 2, 3))
+    """Texts of 50 words and more are wanted twice as often as shorter ones."""
+    docs = table(spark, sf_dir, "documents")
+    wish = F.when(word_count(F.col("text")) >= 50, F.lit(2.0)).otherwise(F.lit(1.0))
+    return mix(docs.withColumn("wish", wish), cyclic_weights(1, 2, 3), weight_col="wish")
 
 
 @_query()
