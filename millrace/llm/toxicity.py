@@ -2,12 +2,13 @@
 
 Features: hashed single words and word beginnings (``STEM`` characters), pairs of neighbouring
 words and pairs with one word between, each counted once per text. Learning: the features of
-a bounded sample of labelled rows are found in parallel; one task runs FTRL-proximal (McMahan
-et al., Ad Click Prediction, 2013) over all of them, one after the other, with a learning rate
-per coordinate and an L1 penalty that keeps most weights at zero. Features of fewer than
-``MIN_TEXTS`` texts of the sample are left out. It keeps the rows' features in a file of its
-own, so its memory does not depend on the texts. What is left is a sparse table of at most
-``2 ** BITS`` weights, whatever the input, which goes to every task.
+a bounded sample of labelled rows are found in parallel and written to shared storage; in each
+epoch one task runs FTRL-proximal (McMahan et al., Ad Click Prediction, 2013) over all of them,
+one after the other, with a learning rate per coordinate and an L1 penalty that keeps most
+weights at zero. Features of fewer than ``MIN_TEXTS`` texts of the sample are left out. Rows
+pass through that task, so its memory does not depend on the texts, and the state between
+epochs is two numbers per coordinate. What is left is a sparse table of at most ``2 ** BITS``
+weights, whatever the input, which goes to every task.
 
 A text's score depends on its text only. Null counts as empty and gets the score of the
 intercept. Labels other than 0 and 1, null among them, are not learned from; without labels
@@ -17,7 +18,6 @@ repeat give repeated result rows. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import tempfile
 from functools import partial
 
 import numpy as np
@@ -26,7 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import Batches, map_batches, out_batch, steps, utf8
+from millrace.llm.shared import Batches, map_batches, out_batch, staged, steps, utf8
+from millrace.session import release, workspace
 
 BITS = 18
 #: Labelled rows learned from: those with the smallest hash of their id.
@@ -118,21 +119,44 @@ def train(
         .orderBy("turn", "id")
         .limit(rows)
     )
+    # Written, it has ``rows`` short rows at most: it is sent to the texts, which stay in place.
+    chosen = staged(chosen, workspace(docs.sparkSession, "toxicity-sample"))
     share = chosen.agg(F.avg("label")).first()[0] or 0.0
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), utf8(text_col).alias("text"))
-    examples = map_batches(
-        texts.join(chosen, "id").select("turn", "label", "text"),
-        _features,
-        "turn long, label int, features binary",
+    path = workspace(docs.sparkSession, "toxicity-features")
+    examples = staged(
+        map_batches(
+            texts.join(F.broadcast(chosen), "id").select("turn", "label", "text"),
+            _features,
+            "turn long, label int, features binary",
+        ),
+        path,
     )
+    counted = map_batches(examples.select("features"), _count, "at int, n long")
+    frequent = np.zeros(1 << BITS, dtype=bool)
+    for row in counted.groupBy("at").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_TEXTS).collect():
+        frequent[row["at"]] = True  # at most 2 ** BITS
+    model = Ftrl()
     # One after the other, in an order that does not depend on how the rows lie.
     in_turn = examples.repartition(1).sortWithinPartitions("turn", "features")
-    learned = map_batches(in_turn, _learn, "at int, weight double")
-    weights = np.zeros(1 << BITS, dtype=np.float32)
-    if 0 < share < 1:
-        for row in learned.collect():  # at most 2 ** BITS
-            weights[row["at"]] = row["weight"]
-    return weights, float(share)
+    for _ in range(EPOCHS if 0 < share < 1 else 0):
+        sent = docs.sparkSession.sparkContext.broadcast((model.z, model.n, frequent))
+        learned = map_batches(in_turn, partial(_learn, sent), "at int, z double, n double").toArrow()
+        at = learned.column("at").to_numpy()
+        model.z[at], model.n[at] = learned.column("z").to_numpy(), learned.column("n").to_numpy()
+        sent.destroy()
+    release(docs.sparkSession, path)
+    return model.weights(slice(None)).astype(np.float32), float(share)
+
+
+def _count(batches: Batches) -> Batches:
+    texts = np.zeros(1 << BITS, dtype=np.int64)
+    for batch in batches:
+        for row in batch.column("features").to_pylist():
+            texts[np.frombuffer(row, "<i4")] += 1
+    at = np.flatnonzero(texts)
+    schema = pa.schema([("at", pa.int32()), ("n", pa.int64())])
+    yield out_batch(schema, pa.array(at.astype(np.int32)), pa.array(texts[at]))
 
 
 def _features(batches: Batches) -> Batches:
@@ -147,26 +171,18 @@ def _features(batches: Batches) -> Batches:
             )
 
 
-def _learn(batches: Batches) -> Batches:
-    model, texts = Ftrl(), np.zeros(1 << BITS, dtype=np.int64)
-    labels, sizes = [], []
-    with tempfile.TemporaryFile() as file:
-        for batch in batches:
-            labels += batch.column("label").to_pylist()
-            for row in batch.column("features").to_pylist():
-                file.write(row)
-                sizes.append(len(row))
-                texts[np.frombuffer(row, "<i4")] += 1
-        frequent = texts >= MIN_TEXTS
-        for _ in range(EPOCHS):
-            file.seek(0)
-            for size, label in zip(sizes, labels):
-                at = np.frombuffer(file.read(size), "<i4")
-                model.learn(at[frequent[at]], label)
-    weights = model.weights(slice(None))
-    at = np.flatnonzero(weights)
-    schema = pa.schema([("at", pa.int32()), ("weight", pa.float64())])
-    yield out_batch(schema, pa.array(at.astype(np.int32)), pa.array(weights[at]))
+def _learn(sent, batches: Batches) -> Batches:
+    """One epoch: the state of all coordinates that the rows or the given state touch."""
+    model = Ftrl()
+    z, n, frequent = sent.value
+    model.z[:], model.n[:] = z, n
+    for batch in batches:
+        for row, label in zip(batch.column("features").to_pylist(), batch.column("label").to_pylist()):
+            at = np.frombuffer(row, "<i4")
+            model.learn(at[frequent[at]], label)
+    at = np.flatnonzero(model.n)
+    schema = pa.schema([("at", pa.int32()), ("z", pa.float64()), ("n", pa.float64())])
+    yield out_batch(schema, pa.array(at.astype(np.int32)), pa.array(model.z[at]), pa.array(model.n[at]))
 
 
 def score(
