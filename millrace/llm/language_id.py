@@ -12,7 +12,10 @@ For every row and language the logarithms of these add up:
 The last two come from grouped aggregations over the languages that the texts alone point
 to, smoothed by ``STRENGTH`` pseudo-rows; a row's own vote is taken out before its host and
 domain speak to it. A row is accepted if the text has letters and the posterior of the best
-language is at least ``min_confidence``.
+language is at least ``min_confidence``. It is rejected without letters, or if the text alone
+has a language with a posterior of ``SURE`` but the evidence together stays below
+``min_confidence``, so that it speaks against itself. Rows that are neither are undetermined:
+short texts, or any texts where no row has a declared language to learn from.
 
 Every language that a training row names is modelled, by its primary subtag: ``en-us`` and
 ``en_GB`` are ``en``. The text model has ``2 ** BITS`` numbers (64 KB) per language and goes to
@@ -46,6 +49,7 @@ TEMPER = 0.15
 MOST_TRIGRAMS = 400
 STRENGTH = 20.0
 MIN_CONFIDENCE = 0.5
+SURE = 0.99
 
 _HASH = np.uint32(2654435761)
 _LETTER = re.compile(r"[^\W\d_]")
@@ -124,7 +128,7 @@ def identify(
     model: tuple[list[str], np.ndarray],
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
-    """``id``, ``language``, ``confidence``, ``text_language``, ``accepted`` of every row.
+    """``id``, ``language``, ``confidence``, ``text_language``, ``accepted``, ``rejected`` of every row.
 
     ``rows``: ``id`` of any type, ``text`` (UTF-8 bytes), ``declared``, ``suffix``, ``host``
     and ``domain`` (strings; null where unknown).
@@ -150,6 +154,7 @@ def identify(
             F.lit(0.0).alias("confidence"),
             unknown.alias("text_language"),
             F.lit(False).alias("accepted"),
+            (~F.col("letters")).alias("rejected"),
         )
     known = voted.filter("vote is not null")
     overall = {r["vote"]: r["n"] for r in known.groupBy("vote").agg(F.count("*").alias("n")).collect()}
@@ -161,7 +166,8 @@ def identify(
     return map_batches(
         result,
         partial(_fuse, fused, min_confidence),
-        f"id {id_type}, language string, confidence double, text_language string, accepted boolean",
+        f"""id {id_type}, language string, confidence double, text_language string,
+            accepted boolean, rejected boolean""",
     )
 
 
@@ -213,6 +219,8 @@ def _fuse(sent, min_confidence: float, batches: Batches) -> Batches:
                 return np.maximum(counts, 0.0), np.maximum(all_votes[:, None] - own, 0.0)
 
             scores = batch.column("evidence").flatten().to_numpy().reshape(len(rows), n).copy()
+            # The best language of the text alone has evidence zero.
+            sure = 1 / np.exp(scores).sum(axis=1) >= SURE
             counts, others = of_others("domain")
             domain = (counts + STRENGTH * shares) / (others + STRENGTH)
             counts, others = of_others("host")
@@ -234,6 +242,7 @@ def _fuse(sent, min_confidence: float, batches: Batches) -> Batches:
                     ("confidence", pa.float64()),
                     ("text_language", pa.string()),
                     ("accepted", pa.bool_()),
+                    ("rejected", pa.bool_()),
                 ]
             )
             yield out_batch(
@@ -243,6 +252,7 @@ def _fuse(sent, min_confidence: float, batches: Batches) -> Batches:
                 pa.array(confidence),
                 [None if v is None else languages[v] for v in votes],
                 pa.array(letters & (confidence >= min_confidence)),
+                pa.array(~letters | (sure & (confidence < min_confidence))),
             )
 
 
@@ -283,11 +293,50 @@ def _text_evidence(sent, batches: Batches) -> Batches:
             yield out_batch(schema, batch.column("id"), *passed, lists, votes, letters)
 
 
-_HTML_LANG = re.compile(rb"<html[^>]*?\slang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
-_HIDDEN = re.compile(rb"<(script|style|head|nav)\b.*?</\1\s*>|<!--.*?-->", re.I | re.S)
+_LANG = re.compile(rb"\slang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
+_HTML = re.compile(rb"<html", re.I)
+_HIDES = re.compile(rb"<(?:(script|style|head|nav)\b|!--)", re.I)
+_SHOWS = {
+    None: re.compile(rb"-->"),
+    **{k: re.compile(rb"</" + k + rb"\s*>", re.I) for k in (b"script", b"style", b"head", b"nav")},
+}
 _TAG = re.compile(rb"<[^>]*>")
 
 
+def declared_language(html: bytes) -> str | None:
+    """The language that an ``html`` tag names, in one pass."""
+    at = 0
+    while found := _HTML.search(html, at):
+        at = html.find(b">", found.end())
+        at = len(html) if at < 0 else at
+        if lang := _LANG.search(html, found.end(), at):
+            return lang[1].decode().lower()
+    return None
+
+
+def visible_text(html: bytes) -> bytes:
+    """The page without tags, comments and the content of tags that show no text of it.
+
+    One pass: an opening without its closing hides nothing, and of each kind the rest of the
+    page is searched in vain once at most.
+    """
+    parts, at, look, never_shown = [], 0, 0, set()
+    while found := _HIDES.search(html, look):
+        kind = found[1].lower() if found[1] else None
+        look = found.end()
+        if kind in never_shown:
+            continue
+        end = _SHOWS[kind].search(html, look)
+        if end is None:
+            never_shown.add(kind)
+            continue
+        parts.append(html[at : found.start()])
+        at = look = end.end()
+    shown = b" ".join([*parts, html[at:]])
+    last = shown.rfind(b">") + 1  # behind it no tag is complete
+    return _TAG.sub(b" ", shown[:last]) + shown[last:]
+
+
 def page_evidence(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """Rows for ``identify`` from web pages: visible text, declared language, address parts."""
     host = F.lower(F.regexp_extract(F.col(f"`{url_col}`").cast("string"), r"^[A-Za-z][\w+.-]*://([^/:?#]+)", 1))
@@ -315,9 +364,8 @@ def _visible(batches: Batches) -> Batches:
     for batch in batches:
         declared, texts = [], []
         for html in batch.column("html").to_pylist():
-            found = _HTML_LANG.search(html)
-            declared.append(found[1].decode().lower() if found else None)
-            texts.append(_TAG.sub(b" ", _HIDDEN.sub(b" ", html)))
+            declared.append(declared_language(html))
+            texts.append(visible_text(html))
         schema = pa.schema(
             [
                 ("id", batch.column("id").type),
