@@ -117,16 +117,21 @@ def drop_repeated_lines(
 ) -> DataFrame:
     """Every row's ``id_col``, ``kept_text`` (UTF-8), ``n_lines`` and ``n_dropped``.
 
-    The table is dealt into ``batches`` by ranges of a numeric id, the largest ids first, so
-    that most repeated lines are settled early; other ids are dealt by hash.
+    The table is dealt into ``batches`` of about equal size by ranges of a numeric id, the
+    largest ids first, so that most repeated lines are settled early; other ids are dealt by
+    hash.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), utf8(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     if id_type in ("tinyint", "smallint", "int", "bigint"):
-        low, high = rows.agg(F.min("id"), F.max("id")).first()
-        width = max(1, -(-((high or 0) - (low or 0) + 1) // batches))
-        batch = F.coalesce((F.lit(high or 0) - F.col("id")) / width, F.lit(batches - 1)).cast("int")
+        # Where the batches are cut changes the work, not the result.
+        shares = [k / batches for k in range(1, batches)]
+        cuts = rows.agg(F.percentile_approx("id", shares).alias("cuts")).first().cuts if shares else []
+        batch = F.lit(0)
+        for cut in cuts or []:
+            batch = batch + (F.col("id") <= F.lit(cut)).cast("int")
+        batch = F.coalesce(batch, F.lit(batches - 1))
     else:
         batch = F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int")
     folder = workspace(spark, "line-hashes")
@@ -139,10 +144,12 @@ def drop_repeated_lines(
     lines = spark.read.schema(f"id {id_type}, hash binary, batch int").parquet(folder)
     lines = lines.dropDuplicates(["id", "hash"]) if _repeats_ids(rows) else lines
     runs = LineRuns(spark, min_docs, fanout)
-    for k in range(batches):
-        runs.add(lines.filter(F.col("batch") == k).select("id", "hash"))
-    repeated = staged(runs.repeated(), workspace(spark, "line-repeated"))
-    runs.close()
+    try:
+        for k in range(batches):
+            runs.add(lines.filter(F.col("batch") == k).select("id", "hash"))
+        repeated = staged(runs.repeated(), workspace(spark, "line-repeated"))
+    finally:
+        runs.close()
     # Both inputs come straight from files: a line of very many documents can be split.
     losing = lines.join(repeated, "hash").filter(~F.col("id").eqNullSafe(F.col("largest")))
     drops = staged(
