@@ -45,7 +45,7 @@ _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 RECORD = """type string, record_id string, concurrent_to array<string>, refers_to string,
             target_uri string, payload_digest string, payload_bytes long,
-            fields map<string, string>, payload binary"""
+            fields map<string, array<string>>, payload binary"""
 
 
 def payload_digest(payload: bytes) -> str:
@@ -168,7 +168,10 @@ def _uri(url: str) -> str:
 def read_archives(
     spark: SparkSession, folder: str, with_payload: bool = True, suffix: str = ""
 ) -> DataFrame:
-    """One row per record of the archives in ``folder``; ``fields`` holds warc-fields blocks."""
+    """One row per record of the archives in ``folder``.
+
+    ``fields`` holds warc-fields blocks: every name with all its values in their order.
+    """
     ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder)
     return files.select("content").mapInArrow(partial(_parse, with_payload), RECORD)
@@ -184,7 +187,7 @@ def _parse(with_payload: bool, batches: Batches) -> Batches:
             ("target_uri", pa.string()),
             ("payload_digest", pa.string()),
             ("payload_bytes", pa.int64()),
-            ("fields", pa.map_(pa.string(), pa.string())),
+            ("fields", pa.map_(pa.string(), pa.list_(pa.string()))),
             ("payload", pa.binary()),
         ]
     )
@@ -250,8 +253,11 @@ def _row(headers: dict[str, list[str]], block: bytes, with_payload: bool) -> tup
             if (stated := one("warc-payload-digest")) not in (None, f"sha1:{digest}"):
                 raise ValueError(f"payload of {one('warc-record-id')} is not that of {stated}")
     elif media.startswith("application/warc-fields"):
-        pairs = (line.partition(":") for line in block.decode("utf-8", "replace").splitlines())
-        fields = [(name.strip(), value.strip()) for name, _, value in pairs if name.strip()]
+        fields = {}
+        for line in block.decode("utf-8", "replace").splitlines():
+            name, _, value = line.partition(":")
+            if name.strip():
+                fields.setdefault(name.strip(), []).append(value.strip())
     return (
         kind,
         one("warc-record-id"),
@@ -260,17 +266,18 @@ def _row(headers: dict[str, list[str]], block: bytes, with_payload: bool) -> tup
         one("warc-target-uri"),
         digest,
         size,
-        list(dict(fields).items()) if fields is not None else None,
+        list(fields.items()) if fields is not None else None,
         payload if with_payload and kind == "response" else None,
     )
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: ``capture``, ``requests`` and ``metadata``.
+    """One nested row per capture: ``capture``, ``requests``, ``metadata`` and ``others``.
 
-    A capture's requests and metadata stand in its row, as its transaction has them. Records
-    that belong to no capture are left out. ``records`` is read several times, so pass a
-    written table.
+    A capture's requests, metadata and other concurrent records (conversions, resources) stand
+    in its row, as its transaction has them. Records that belong to no capture are left out.
+    Captures that repeat an id share their records. ``records`` is read several times, so
+    pass a written table.
     """
     spark = records.sparkSession
     main = F.col("type").isin("response", "revisit")
@@ -303,33 +310,36 @@ def assemble(records: DataFrame) -> DataFrame:
         )
         belongs = direct.unionByName(between)
     body = [c for c in records.columns if c not in ("concurrent_to", "payload")]
-    attached = others.join(belongs, "record_id").select(
-        "capture_id", F.lit(False).alias("main"), F.struct(*body, "payload").alias("record")
-    )
-    together = attached.unionByName(
-        captures.select(
-            F.col("record_id").alias("capture_id"),
-            F.lit(True).alias("main"),
-            F.struct(*body, "payload").alias("record"),
-        )
-    )
+    attached = others.join(belongs, "record_id").select("capture_id", F.struct(*body, "payload").alias("record"))
 
     def those(condition: Column) -> Column:
         return F.collect_list(F.when(condition, F.col("record")))
 
-    grouped = together.groupBy("capture_id").agg(
-        those(F.col("main")).alias("mains"),
-        those(~F.col("main") & (F.col("record.type") == "request")).alias("requests"),
-        those(~F.col("main") & (F.col("record.type") == "metadata")).alias("metadata"),
+    request, metadata = (F.col("record.type") == kind for kind in ("request", "metadata"))
+    grouped = attached.groupBy("capture_id").agg(
+        those(request).alias("requests"),
+        those(metadata).alias("metadata"),
+        those(~request & ~metadata).alias("others"),
+    )
+    # An id that many captures repeat can be split.
+    main_rows = captures.select(
+        F.col("record_id").alias("capture_id"), F.struct(*body, "payload").alias("capture")
     )
-    # Captures that repeat an id share their records.
-    return grouped.select(
-        "capture_id", F.explode("mains").alias("capture"), "requests", "metadata"
+    together = join_splittable(main_rows, grouped, "capture_id")
+    none = F.array().cast(grouped.schema["requests"].dataType)
+    return together.select(
+        "capture_id",
+        "capture",
+        *[F.coalesce(c, none).alias(c) for c in ("requests", "metadata", "others")],
     )
 
 
 def archived_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Write ``pages`` as archives, read them back, and describe every capture."""
+    """Write ``pages`` as archives, read them back, and describe every capture.
+
+    Digests and lengths come from the payloads read back; the rows that are assembled for
+    this description leave the payloads themselves out. Ids are cast to long.
+    """
     spark = pages.sparkSession
     folder = workspace(spark, "warc")
     write_archives(pages, folder, min_bytes=min_bytes)
@@ -340,7 +350,7 @@ def archived_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         assemble(records).select(
             "capture_id",
             "capture",
-            F.col("metadata")[0]["fields"]["page-id"].cast("long").alias("page_id"),
+            F.col("metadata")[0]["fields"]["page-id"][0].cast("long").alias("page_id"),
         ),
         workspace(spark, "warc-captures"),
     )
