@@ -12,11 +12,13 @@ dealt into blocks, each pair of blocks is one task's work, and Spark merges the
 results. The work is that of comparing all queries with all vectors, as the query set is a
 share of the table.
 
-Vectors that are null, zero, or hold a null or a component that is not finite take no part;
-nor do those with another number of components than most, or with a null id. Of rows that
-repeat an id the largest vector, compared component by component, stands for all. Ties go to
-the smaller id. Fewer than ``k`` candidates are all returned. An empty table gives an empty
-result. Only the named columns are read.
+Vectors that are null, zero, or hold a null or a component that is not finite take no part,
+nor do those with a null id. Vectors are compared with those of the same number of components;
+each such number is a search of its own. Rows that repeat an id are candidates and queries of
+their own; a row is never its own candidate. Components keep their type, float or double, and
+scores are sums of products in double precision. Ties go to the smaller id. Fewer than ``k``
+candidates are all returned. An empty table gives an empty result. Only the named columns are
+read.
 """
 
 from __future__ import annotations
@@ -38,9 +40,6 @@ SAMPLE_ROWS, SAMPLE_FLOATS = 20_000, 4_000_000
 CONFIDENCE = 2.5
 DATA_ROWS, QUERY_ROWS = 16_384, 8_192
 _QUERIES_AT_ONCE = 128
-_CODED = "vec_id long, code binary, centre int, rest double, match double, vector array<float>"
-
-
 def usable(column: str) -> Column:
     return F.expr(
         f"""`{column}` is not null
@@ -62,53 +61,79 @@ def nearest(
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``. ``is_query``: a condition on ``vec_id``."""
     spark = vectors.sparkSession
-    kept = (
-        vectors.filter(usable(vector_col) & F.col(f"`{id_col}`").isNotNull())
-        .groupBy(F.col(f"`{id_col}`").cast("long").alias("vec_id"))
-        .agg(F.max(F.col(f"`{vector_col}`").cast("array<float>")).alias("vector"))
+    element = vectors.schema[vector_col].dataType.elementType.simpleString()
+    element = element if element == "float" else "double"
+    kept = staged(
+        vectors.filter(F.col(f"`{id_col}`").isNotNull())
+        .select(
+            F.col(f"`{id_col}`").cast("long").alias("vec_id"),
+            F.col(f"`{vector_col}`").cast(f"array<{element}>").alias("vector"),
+        )
         .filter(usable("vector"))
+        .withColumn("row", F.monotonically_increasing_id()),
+        workspace(spark, "ann-vectors"),
     )
-    kept = staged(kept, workspace(spark, "ann-vectors"))
-    by_dim = kept.groupBy(F.size("vector").alias("dim")).count()
-    usual = by_dim.orderBy(F.col("count").desc(), F.col("dim").desc()).first()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if usual is None:
-        return spark.createDataFrame([], schema)
-    dim, count = usual["dim"], usual["count"]
-    kept = kept.filter(F.size("vector") == dim)
+    found = None
+    for r in kept.groupBy(F.size("vector").alias("dim")).count().orderBy("dim").collect():
+        of_dim = kept.filter(F.size("vector") == r["dim"])
+        met = _met(of_dim, r["dim"], r["count"], element, is_query, k, confidence, data_rows, query_rows)
+        found = met if found is None else found.unionByName(met)
+    if found is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id", "row")
+    return (
+        found.withColumn("rank", F.row_number().over(best))
+        .filter(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
+    )
+
+
+def _met(
+    kept: DataFrame,
+    dim: int,
+    count: int,
+    element: str,
+    is_query: Column,
+    k: int,
+    confidence: float,
+    data_rows: int,
+    query_rows: int,
+) -> DataFrame:
+    """The best vectors of one width for each query, per pair of blocks."""
+    spark = kept.sparkSession
     centres = _fit_centres(kept, dim)
+    schema = f"""row long, vec_id long, code binary, centre int, rest double, match double,
+                 vector array<{element}>"""
     coded = staged(
-        map_batches(kept, partial(_encode, centres), _CODED), workspace(spark, "ann-codes")
+        map_batches(kept, partial(_encode, centres), schema), workspace(spark, "ann-codes")
     )
     data_blocks = -(-count // data_rows)
-    queries = coded.filter(is_query).select("vec_id", "vector")
+    queries = coded.filter(is_query).select("row", "vec_id", "vector")
     query_blocks = max(1, -(-queries.count() // query_rows))
     # Every query block meets every data block, in a task of its own.
     data_side = coded.select(
-        F.pmod(F.xxhash64("vec_id"), F.lit(data_blocks)).alias("d"),
+        F.pmod(F.xxhash64("row"), F.lit(data_blocks)).alias("d"),
         F.explode(_numbers(query_blocks)).alias("q"),
         F.lit(False).alias("asks"),
         *coded.columns,
     )
     query_side = queries.select(
         F.explode(_numbers(data_blocks)).alias("d"),
-        F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).alias("q"),
+        F.pmod(F.xxhash64("row"), F.lit(query_blocks)).alias("q"),
         F.lit(True).alias("asks"),
+        "row",
         "vec_id",
         "vector",
     )
     ship(spark)
-    met = (
+    return (
         data_side.unionByName(query_side, allowMissingColumns=True)
         .groupBy("d", "q")
         .applyInArrow(
-            on_group(_search, centres, k, confidence), "query_id long, vec_id long, score double"
+            on_group(_search, centres, k, confidence),
+            "query_row long, query_id long, row long, vec_id long, score double",
         )
     )
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return met.select(
-        "query_id", F.row_number().over(best).alias("rank"), "vec_id", "score"
-    ).filter(F.col("rank") <= k)
 
 
 def _numbers(n: int) -> Column:
@@ -118,7 +143,8 @@ def _numbers(n: int) -> Column:
 def _fit_centres(vectors: DataFrame, dim: int) -> np.ndarray:
     """A few rounds of Lloyd's algorithm over the sample."""
     rows = max(CENTRES, min(SAMPLE_ROWS, SAMPLE_FLOATS // dim))
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(rows).select("vector").toArrow()
+    order = (F.xxhash64("vec_id"), "vec_id", "vector")
+    sample = vectors.orderBy(*order).limit(rows).select("vector").toArrow()
     points = _matrix(sample.column("vector").combine_chunks(), dim).astype(np.float64)
     centres = points[:CENTRES].copy()
     for _ in range(8):
@@ -145,17 +171,18 @@ def rotation(dim: int, seed: int = 5) -> np.ndarray:
 def _encode(centres: np.ndarray, batches: Batches) -> Batches:
     dim = centres.shape[1]
     turn = rotation(dim)
-    schema = pa.schema(
-        [
-            ("vec_id", pa.int64()),
-            ("code", pa.binary()),
-            ("centre", pa.int32()),
-            ("rest", pa.float64()),
-            ("match", pa.float64()),
-            ("vector", pa.list_(pa.float32())),
-        ]
-    )
     for batch in batches:
+        schema = pa.schema(
+            [
+                ("row", pa.int64()),
+                ("vec_id", pa.int64()),
+                ("code", pa.binary()),
+                ("centre", pa.int32()),
+                ("rest", pa.float64()),
+                ("match", pa.float64()),
+                ("vector", batch.column("vector").type),
+            ]
+        )
         points = _matrix(batch.column("vector"), dim).astype(np.float64)
         centre = _closest(points, centres)
         rest = points - centres[centre]
@@ -166,12 +193,13 @@ def _encode(centres: np.ndarray, batches: Batches) -> Batches:
         codes = [row.tobytes() for row in np.packbits(turned > 0, axis=1)]
         yield out_batch(
             schema,
+            batch.column("row"),
             batch.column("vec_id"),
             codes,
             pa.array(centre.astype(np.int32)),
             pa.array(length),
             pa.array(np.where(length > 0, match, 1.0)),
-            batch.column("vector").cast(pa.list_(pa.float32())),
+            batch.column("vector"),
         )
 
 
@@ -180,11 +208,12 @@ def _search(centres: np.ndarray, k: int, confidence: float, rows: pa.Table) -> p
     dim = centres.shape[1]
     asks = rows.column("asks").to_numpy()
     asking, data = rows.filter(pa.array(asks)), rows.filter(pa.array(~asks))
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    names = ("query_row", "query_id", "row", "vec_id")
+    schema = pa.schema([*((n, pa.int64()) for n in names), ("score", pa.float64())])
     if not len(asking) or not len(data):
         return schema.empty_table()
     turn = rotation(dim)
-    ids = data.column("vec_id").to_numpy()
+    rows_, ids = data.column("row").to_numpy(), data.column("vec_id").to_numpy()
     points = _matrix(data.column("vector").combine_chunks(), dim).astype(np.float64)
     bits = np.frombuffer(b"".join(data.column("code").to_pylist()), dtype=np.uint8)
     signs = np.unpackbits(bits.reshape(len(ids), -1), axis=1, count=dim).astype(np.float32) * 2 - 1
@@ -194,7 +223,7 @@ def _search(centres: np.ndarray, k: int, confidence: float, rows: pa.Table) -> p
     spread = rest * np.sqrt(np.maximum(0, 1 - match**2)) / match * confidence / np.sqrt(max(1, dim - 1))
     # Rounding of the estimate itself.
     spread = spread + 1e-5 * (rest / match + np.linalg.norm(centres, axis=1)[centre])
-    query_ids = asking.column("vec_id").to_numpy()
+    query_rows, query_ids = asking.column("row").to_numpy(), asking.column("vec_id").to_numpy()
     queries = _matrix(asking.column("vector").combine_chunks(), dim).astype(np.float64)
     out = []
     for at in range(0, len(query_ids), _QUERIES_AT_ONCE):
@@ -202,27 +231,31 @@ def _search(centres: np.ndarray, k: int, confidence: float, rows: pa.Table) -> p
         guess = (some @ turn.T).astype(np.float32) @ signs.T * scale
         guess = guess + (some @ centres.T)[:, centre]
         margin = np.linalg.norm(some, axis=1)[:, None] * spread
-        for i, own in enumerate(query_ids[at : at + _QUERIES_AT_ONCE]):
-            other = np.flatnonzero(ids != own)
+        for i, own in enumerate(query_rows[at : at + _QUERIES_AT_ONCE]):
+            other = np.flatnonzero(rows_ != own)
             low = (guess[i] - margin[i])[other]
             high = (guess[i] + margin[i])[other]
             if len(other) > k:
-                other = other[high >= np.partition(low, len(low) - k)[len(low) - k]]
-            out.append(_exact_best(own, some[i], ids[other], points[other], k))
+                # Estimates that overflow exclude nothing.
+                other = other[~(high < np.partition(low, len(low) - k)[len(low) - k])]
+            best, score = _exact_best(some[i], rows_[other], ids[other], points[other], k)
+            asked = np.full(len(best), query_ids[at + i])
+            out.append((np.full(len(best), own), asked, rows_[other][best], ids[other][best], score))
     return pa.Table.from_arrays(
         [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], schema=schema
     )
 
 
-def _exact_best(own: int, query: np.ndarray, ids: np.ndarray, points: np.ndarray, k: int):
-    quick = points @ query
+def _exact_best(query: np.ndarray, rows: np.ndarray, ids: np.ndarray, points: np.ndarray, k: int):
+    """Places and scores of the ``k`` best."""
+    near = np.arange(len(ids))
     if len(ids) > k:
+        quick = points @ query
         floor = np.partition(quick, len(quick) - k)[len(quick) - k]
-        near = quick >= floor - 1e-9 * (1 + abs(floor))
-        ids, points = ids[near], points[near]
+        near = np.flatnonzero(quick >= floor - 1e-9 * (1 + abs(floor)))
     # Component by component, so that equal vectors have equal scores wherever they lie.
-    score = np.zeros(len(ids))
+    score = np.zeros(len(near))
     for d in range(points.shape[1]):
-        score += points[:, d] * query[d]
-    best = np.lexsort((ids, -score))[:k]
-    return np.full(len(best), own), ids[best], score[best]
+        score += points[near, d] * query[d]
+    best = np.lexsort((rows[near], ids[near], -score))[:k]
+    return near[best], score[best]
