@@ -176,3 +176,83 @@ def lexical(docs, items, k=10):
         for rank, (score, _, _, name) in enumerate(sorted(scored)[:k], start=1):
             out[item, rank, name, -score] += 1
     return out
+
+
+def fused(texts, facts, log_p, temper, most, strength):
+    """(language number, confidence) per row, or None without letters.
+
+    ``texts``: trigram numbers of each row, None without letters. ``facts``: per row declared,
+    suffix, host and domain. ``log_p``: per language the log-probability of each number.
+    """
+    import math
+
+    n = len(log_p)
+    evidence = []
+    for numbers in texts:
+        if numbers is None:
+            evidence.append([0.0] * n)
+            continue
+        own = [sum(float(p[k]) for k in numbers) for p in log_p]
+        own = [v * temper * min(len(numbers), most) / max(1, len(numbers)) for v in own]
+        evidence.append([v - max(own) for v in own])
+    votes = [None if t is None else e.index(max(e)) for t, e in zip(texts, evidence)]
+    total = sum(v is not None for v in votes)
+    of_language = [votes.count(k) for k in range(n)]
+
+    def others(row, key):
+        """Votes per language of the other rows that share the row's fact, and their number."""
+        counts = [0] * n
+        if facts[row][key] is not None:
+            for i, v in enumerate(votes):
+                if i != row and v is not None and facts[i][key] == facts[row][key]:
+                    counts[v] += 1
+        return counts, sum(counts)
+
+    out = []
+    for row in range(len(texts)):
+        share = [(c + 1) / (total + n) for c in of_language]
+        counts, m = others(row, 3)
+        domain = [(c + strength * s) / (m + strength) for c, s in zip(counts, share)]
+        counts, m = others(row, 2)
+        score = [
+            e + math.log((c + strength * d) / (m + strength))
+            for e, c, d in zip(evidence[row], counts, domain)
+        ]
+        for key in (0, 1):
+            if facts[row][key] is None:
+                continue
+            counts, m = others(row, key)
+            spread = max(m, 1) / max(1, total)
+            score = [
+                s + math.log((c + strength * spread) / (all_ + strength))
+                for s, c, all_ in zip(score, counts, of_language)
+            ]
+        best = score.index(max(score))
+        out.append((best, 1 / sum(math.exp(s - score[best]) for s in score)))
+    return out
+
+
+def ftrl(rows, epochs, alpha, beta, l1, l2, least):
+    """Weights by feature of (features, label) rows learned one after the other."""
+    import math
+    from collections import defaultdict as table
+
+    holders = Counter(f for features, _ in rows for f in features)
+    z, n = table(float), table(float)
+
+    def weight(f):
+        if abs(z[f]) <= l1:
+            return 0.0
+        return (math.copysign(l1, z[f]) - z[f]) / ((beta + math.sqrt(n[f])) / alpha + l2)
+
+    for _ in range(epochs):
+        for features, label in rows:
+            own = [f for f in features if holders[f] >= least]
+            w = {f: weight(f) for f in own}
+            total = max(-35.0, min(35.0, sum(w.values())))
+            slope = 1 / (1 + math.exp(-total)) - label
+            for f in own:
+                step = (math.sqrt(n[f] + slope * slope) - math.sqrt(n[f])) / alpha
+                z[f] += slope - step * w[f]
+                n[f] += slope * slope
+    return {f: w for f in z if (w := weight(f))}
