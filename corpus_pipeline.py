@@ -20,6 +20,8 @@ from millrace.llm.mixing import cyclic_weights, mix
 from millrace.llm.packing import pack
 from millrace.llm.shared import staged, table, utf8
 from millrace.llm.simhash import near_duplicates
+from millrace.operators.dedup import deduplicate
+from millrace.operators.keyfilter import anti_join
 from millrace.session import workspace
 
 _ROW = "_millrace_row"
@@ -32,18 +34,16 @@ def _row(text: Column) -> Column:
 
 
 def _without(docs: DataFrame, row: Column, dropped: DataFrame, purpose: str) -> DataFrame:
-    """``docs`` but for the rows in ``dropped``.
-
-    A merge join at every size: what is dropped grows with the corpus, so the plan is that
-    of a large one from the start.
-    """
-    known = staged(dropped.distinct(), workspace(docs.sparkSession, purpose))
-    kept = docs.withColumn(_ROW, row).join(known.toDF(_ROW).hint("merge"), _ROW, "left_anti")
-    return kept.select(docs.columns)
+    """``docs`` but for the rows in ``dropped``."""
+    known = staged(dropped.distinct(), workspace(docs.sparkSession, purpose)).toDF(_ROW)
+    return anti_join(docs.withColumn(_ROW, row), known, _ROW).select(docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop texts in no identifiable language: no letters, or no language likely enough."""
+    """Drop texts without letters and those whose evidence speaks against itself.
+
+    What cannot be determined stays: short texts, and all texts where none has a ``lang``.
+    """
     unknown = F.lit(None).cast("string")
     rows = docs.select(
         _row(F.col("text")).alias("id"),
@@ -54,7 +54,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         unknown.alias("domain"),
     )
     found = identify(rows, train_text_model(docs))
-    return _without(docs, _row(F.col("text")), found.filter("not accepted").select("id"), "pipeline-language")
+    return _without(docs, _row(F.col("text")), found.filter("rejected").select("id"), "pipeline-language")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +69,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if twice.isEmpty():
         return kept
     marked = kept.withColumn(_ROW, row)
-    once = marked.join(twice, _ROW, "left_semi").dropDuplicates([_ROW])
+    once = deduplicate(marked.join(twice, _ROW, "left_semi"), [_ROW], [], "first")
     return marked.join(twice, _ROW, "left_anti").unionByName(once).select(docs.columns)
 
 
@@ -91,7 +91,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
     marked = docs.withColumn(_ROW, row)
     if not per_row.filter("_millrace_rows > 1").isEmpty():
-        marked = marked.dropDuplicates([_ROW])
+        marked = deduplicate(marked, [_ROW], [], "first")
     chosen = per_row.filter("_millrace_copies > 0").select(_ROW, "_millrace_copies")
     return (
         marked.join(chosen, _ROW)

@@ -25,6 +25,14 @@ def words_for(n_keys: int) -> int:
     return words
 
 
+def _bits(keys: DataFrame, key: str, words: int) -> DataFrame:
+    return (
+        _hashed(keys.select(f"`{key}`").filter(F.col(f"`{key}`").isNotNull()), key, words)
+        .groupBy(_WORD)
+        .agg(F.bit_or(F.expr(f"shiftleft(1L, {_BIT})")).alias(_BITS))
+    )
+
+
 def possible(
     df: DataFrame, keys: DataFrame, key: str, words: int = MOST_WORDS
 ) -> DataFrame:
@@ -36,10 +44,21 @@ def possible(
     set are dropped without a shuffle. With many more keys than bits the filter lets
     everything pass, so what follows must still be an exact join.
     """
-    bits = (
-        _hashed(keys.select(f"`{key}`").filter(F.col(f"`{key}`").isNotNull()), key, words)
-        .groupBy(_WORD)
-        .agg(F.bit_or(F.expr(f"shiftleft(1L, {_BIT})")).alias(_BITS))
-    )
-    probed = _hashed(df, key, words).join(F.broadcast(bits), _WORD)
+    probed = _hashed(df, key, words).join(F.broadcast(_bits(keys, key, words)), _WORD)
     return probed.filter(F.expr(f"shiftright({_BITS}, {_BIT}) & 1L = 1L")).drop(_WORD, _BIT, _BITS)
+
+
+def anti_join(
+    df: DataFrame, keys: DataFrame, key: str, words: int = MOST_WORDS
+) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is not among ``keys``; a NULL key is among none.
+
+    Rows that the filter of ``possible`` clears are passed on where they lie; only the others
+    are shuffled, for an exact merge join. ``df`` is read once for each of the two. What is
+    dropped may grow with ``df``, so the plan is the same at every size.
+    """
+    probed = _hashed(df, key, words).join(F.broadcast(_bits(keys, key, words)), _WORD, "left")
+    marked = F.coalesce(F.expr(f"shiftright({_BITS}, {_BIT}) & 1L = 1L"), F.lit(False))
+    own = (_WORD, _BIT, _BITS)
+    rest = probed.filter(marked).drop(*own).join(keys.select(f"`{key}`").hint("merge"), key, "left_anti")
+    return probed.filter(~marked).drop(*own).unionByName(rest)

@@ -95,7 +95,7 @@ def _csv_files(spark: SparkSession, path: str) -> DataFrame:
         pieces(spark, path, "\n")
         .groupBy("path")
         .agg(
-            F.rtrim(F.min_by("value", at_start), F.lit("\r")).alias("header"),
+            F.substring_index(F.min_by("value", at_start), "\r", 1).alias("header"),
             F.max(leaves_open(F.col("value"))).alias("broken"),
         )
     )

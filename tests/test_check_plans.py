@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.column_tests import relationships_failures
-from millrace.operators.keyfilter import MOST_WORDS, possible, words_for
+from millrace.operators.keyfilter import MOST_WORDS, anti_join, possible, words_for
 from millrace.operators.source_checks import Check, check_metrics, failure_samples, run_checks
 from millrace.sinks import tables
 from millrace.sources import manifest
@@ -94,6 +94,20 @@ def test_key_filter_keeps_every_row_that_may_be_asked_for(spark):
     assert words_for(10**12) == MOST_WORDS
 
 
+def test_anti_join_is_exact_and_shuffles_what_may_go(spark):
+    df = spark.range(9000).select(
+        F.when(F.col("id") % 50 != 3, F.struct((F.col("id") % 4000).alias("k"), F.lit(None).cast("string").alias("s"))).alias("key"),
+        "id",
+    )
+    keys = df.filter("id % 1000 = 0").select("key").distinct()
+    for words in (1, 256, MOST_WORDS):
+        kept = anti_join(df, keys, "key", words)
+        gone = {i % 4000 for i in range(0, 9000, 1000)}
+        assert sorted(r.id for r in kept.collect()) == [i for i in range(9000) if i % 50 == 3 or i % 4000 not in gone]
+        assert kept.columns == df.columns
+    assert anti_join(df, keys.limit(0), "key").count() == 9000
+
+
 def test_only_possible_orphans_are_shuffled(spark):
     settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     before = {k: spark.conf.get(k, None) for k in settings}

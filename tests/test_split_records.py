@@ -75,6 +75,15 @@ def test_files_with_and_without_breaks_in_one_source(spark, tmp_path):
     assert looked["a"] == ("id,name", False) and looked["c"] == ('"id","first', True)
 
 
+def test_files_with_other_line_ends(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_bytes(b'a,b\r1,"x"\r2,y\r')
+    assert [r.header for r in _csv_files(spark, str(path)).collect()] == ["a,b"]
+    assert sorted(map(tuple, read_csv(spark, str(path)).collect())) == [("1", "x"), ("2", "y")]
+    path.write_bytes(b'a,b\r\n1,"x\r\ny"\r\n2,z\r\n')
+    assert sorted(map(tuple, read_csv(spark, str(path)).collect())) == [("1", "x\ny"), ("2", "z")]
+
+
 def test_repeated_and_empty_column_names(spark, tmp_path):
     path = write(tmp_path, "t.csv", 'a,,A\n"1\n",2,3\n')
     assert read_csv(spark, path).columns == read_csv(spark, path, multiline=True).columns
