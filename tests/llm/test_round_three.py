@@ -6,7 +6,6 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 from samples import ROWS, WORDS
 
 from millrace.llm import lexical, ngram_join
@@ -170,8 +169,3 @@ def test_layers_bound_every_sum_and_add_up():
 def test_best_keeps_the_smaller_ids_among_ties():
     scores, ids = best(np.array([[5, 7, 5, 5, 0]]), np.array([[9, 8, 3, 4, 1]]), 3)
     assert scores.tolist() == [[7, 5, 5]] and ids.tolist() == [[8, 3, 4]]
-
-
-def test_extra_columns_do_not_matter(spark):
-    docs = spark.createDataFrame([(1, "a b c d e", 1)], "doc_id long, text string, node int")
-    assert ngram_components(docs.withColumn("shingle", F.lit(1))).collect() == [(1, 2, 1)]
