@@ -32,8 +32,7 @@ def _rows(seed, n=120):
     return [[str(i), draw.choice(TRICKY), draw.choice(TRICKY), "end"] for i in range(n)]
 
 
-@pytest.mark.parametrize("size", [20, 64, 333, 10**9])
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize(("seed", "size"), [(1, 64), (2, 64), (2, 333), (1, 10**9)])
 def test_quoted_line_breaks_are_read_by_many_tasks(spark, tmp_path, size, seed):
     rows = _rows(seed)
     kind = {"quoting": csv.QUOTE_ALL} if seed == 2 else {}
@@ -89,8 +88,7 @@ def test_repeated_and_empty_column_names(spark, tmp_path):
     assert read_csv(spark, path).columns == read_csv(spark, path, multiline=True).columns
 
 
-@pytest.mark.parametrize("size", [30, 500, 10**9])
-@pytest.mark.parametrize("quoted", [False, True])
+@pytest.mark.parametrize(("size", "quoted"), [(200, False), (200, True), (10**9, True)])
 def test_first_and_last_mean_the_order_of_the_input(spark, tmp_path, size, quoted):
     draw = random.Random(4)
     folder = tmp_path / "in.csv"
@@ -115,8 +113,7 @@ OBJECTS = [
 ]
 
 
-@pytest.mark.parametrize("indent", [None, 1])
-@pytest.mark.parametrize("size", [17, 100, 10**9])
+@pytest.mark.parametrize(("size", "indent"), [(40, None), (40, 1), (10**9, 1)])
 def test_objects_of_an_array_are_cut_by_many_tasks(spark, tmp_path, size, indent):
     draw = random.Random(size)
     docs = [{"n": i, **draw.choice(OBJECTS)} for i in range(80)]
