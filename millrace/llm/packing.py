@@ -197,8 +197,8 @@ def solve_patterns(demand: dict[int, int], classes: int = CLASSES) -> list[tuple
     inverse = np.diag(1 / columns.diagonal())
     for step in range(_STEPS):
         if step % 100 == 99:
-            inverse = np.linalg.inv(columns)
-        price = cost @ inverse
+            inverse = _inverse(columns)
+        price = (cost[:, None] * inverse).sum(axis=0)
         low = int(price.argmin())
         if price[low] < -1e-9:  # more of this class than needed would not hurt
             column, column_cost = -np.eye(len(kinds))[low], 0.0
@@ -207,7 +207,7 @@ def solve_patterns(demand: dict[int, int], classes: int = CLASSES) -> list[tuple
             if worth <= 1.0005:
                 break
             column_cost = 1.0
-        level, slope = inverse @ need, inverse @ column
+        level, slope = (inverse * need).sum(axis=1), (inverse * column).sum(axis=1)
         rising = np.flatnonzero(slope > 1e-9)
         if not len(rising):
             break
@@ -216,7 +216,7 @@ def solve_patterns(demand: dict[int, int], classes: int = CLASSES) -> list[tuple
         pivot = inverse[leaves] / slope[leaves]
         inverse -= np.outer(slope, pivot)
         inverse[leaves] = pivot
-    level = np.linalg.solve(columns, need)
+    level = (_inverse(columns) * need).sum(axis=1)
     return [
         ({int(kinds[i]): int(n) for i, n in enumerate(columns[:, j]) if n}, float(level[j]))
         for j in np.argsort(-level)
@@ -224,6 +224,24 @@ def solve_patterns(demand: dict[int, int], classes: int = CLASSES) -> list[tuple
     ]
 
 
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan elimination by rows.
+
+    Products here are sums over elements: the threads of BLAS stall in a driver that has started
+    a Java gateway, which a few hundred rows do not need.
+    """
+    n = len(matrix)
+    both = np.hstack([matrix, np.eye(n)])
+    for k in range(n):
+        pivot = k + int(np.abs(both[k:, k]).argmax())
+        both[[k, pivot]] = both[[pivot, k]]
+        both[k] /= both[k, k]
+        factors = both[:, k].copy()
+        factors[k] = 0.0
+        both -= factors[:, None] * both[k]
+    return both[:, n:]
+
+
 def _best_pattern(kinds: np.ndarray, price: np.ndarray, classes: int) -> tuple[float, np.ndarray]:
     """Knapsack by dynamic programming: the pattern whose pieces are worth most."""
     best, choice = np.zeros(classes + 1), np.full(classes + 1, -1)
