@@ -13,8 +13,8 @@ import re
 
 import numpy as np
 
-#: Pieces remembered per worker; twice as many at most are held.
-REMEMBERED = 500_000
+#: Pieces remembered per worker; twice as many at most are held. Ids take more room than counts.
+REMEMBERED, REMEMBERED_IDS = 500_000, 200_000
 
 #: One of these behind a letter and before white space or the end is a word of its own.
 _STOP = re.compile(rb"(?<=[A-Za-z])[.,!?](?=[ \n]|\Z)")
@@ -209,7 +209,7 @@ class PieceIds:
 
     def _learn(self, pieces: set[bytes]) -> set[bytes]:
         """Ids of the pieces that are not known; what was not asked for lately is forgotten."""
-        if len(self.pieces) > REMEMBERED:
+        if len(self.pieces) > REMEMBERED_IDS:
             self.before, self.pieces = self.pieces, {}
         new = self._unknown(pieces)
         stopped = {p: p[:-1] for p in new if p[-1:] in self.stops and p[-2:-1].isalpha()}
