@@ -3,9 +3,9 @@
 Features: hashed single words and word beginnings (``STEM`` characters), pairs of neighbouring
 words and pairs with one word between, each counted once per text. Learning: the features of
 a bounded sample of labelled rows are found in parallel and written to shared storage; in each
-epoch one task runs FTRL-proximal (McMahan et al., Ad Click Prediction, 2013) over all of them,
-one after the other, with a learning rate per coordinate and an L1 penalty that keeps most
-weights at zero. Features of fewer than ``MIN_TEXTS`` texts of the sample are left out. Rows
+epoch one task reads all of them there and runs FTRL-proximal (McMahan et al., Ad Click
+Prediction, 2013) over them, one after the other, with a learning rate per coordinate and an
+L1 penalty that keeps most weights at zero. Features of fewer than ``MIN_TEXTS`` texts of the sample are left out. Rows
 pass through that task, so its memory does not depend on the texts, and the state between
 epochs is two numbers per coordinate. What is left is a sparse table of at most ``2 ** BITS``
 weights, whatever the input, which goes to every task.
@@ -131,14 +131,14 @@ def train(
             "turn long, label int, features binary",
         ),
         path,
+        compression="zstd",
     )
     counted = map_batches(examples.select("features"), _count, "at int, n long")
     frequent = np.zeros(1 << BITS, dtype=bool)
     for row in counted.groupBy("at").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_TEXTS).collect():
         frequent[row["at"]] = True  # at most 2 ** BITS
     model = Ftrl()
-    # One after the other, in an order that does not depend on how the rows lie.
-    in_turn = examples.repartition(1).sortWithinPartitions("turn", "features")
+    in_turn = _in_turn(examples)
     for _ in range(EPOCHS if 0 < share < 1 else 0):
         sent = docs.sparkSession.sparkContext.broadcast((model.z, model.n, frequent))
         learned = map_batches(in_turn, partial(_learn, sent), "at int, z double, n double").toArrow()
@@ -149,6 +149,15 @@ def train(
     return model.weights(slice(None)).astype(np.float32), float(share)
 
 
+def _in_turn(examples: DataFrame) -> DataFrame:
+    """All examples in one task, in an order that does not depend on how the rows lie.
+
+    The task reads the files itself. A shuffle would store the examples again in every epoch,
+    and its files stay until the driver happens to collect its garbage.
+    """
+    return examples.coalesce(1).sortWithinPartitions("turn", "features")
+
+
 def _count(batches: Batches) -> Batches:
     texts = np.zeros(1 << BITS, dtype=np.int64)
     for batch in batches:

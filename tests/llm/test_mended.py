@@ -122,6 +122,18 @@ def test_ftrl_against_plain_python(spark):
         assert got[i] == pytest.approx(1 / (1 + np.exp(-total)), rel=1e-4)
 
 
+def test_examples_are_not_shuffled_in_every_epoch(spark, tmp_path):
+    draw = random.Random(9)
+    rows = [(draw.randrange(-50, 50), i % 2, bytes([draw.randrange(256)])) for i in range(200)]
+    frame = spark.createDataFrame(rows, "turn long, label int, features binary").repartition(6)
+    frame.write.parquet(str(tmp_path / "examples"))
+    in_turn = tox._in_turn(spark.read.parquet(str(tmp_path / "examples")))
+    assert "Exchange" not in in_turn._jdf.queryExecution().executedPlan().toString()
+    assert in_turn.rdd.getNumPartitions() == 1
+    got = [(r["turn"], bytes(r["features"])) for r in in_turn.collect()]
+    assert got == sorted((turn, features) for turn, _, features in rows)
+
+
 @pytest.mark.parametrize(("words", "n"), [(600, 60), (300, 200)])
 def test_little_padding(spark, words, n):
     rows = [(i, " ".join(["word"] * words)) for i in range(n)]
