@@ -10,8 +10,13 @@ from __future__ import annotations
 
 import os
 import re
+import string
+from collections.abc import Iterable
+from itertools import chain, filterfalse, pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces remembered per worker; twice as many at most are held. Ids take more room than counts.
 REMEMBERED, REMEMBERED_IDS = 500_000, 200_000
@@ -166,6 +171,10 @@ def _merged(pieces: list[bytes]) -> list[str]:
 
 #: Words that the steps before the model only lower: a-z and the letters of U+00C0 to U+00FF.
 _PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_ACCENTED = re.compile(rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]")
+_MARKS = string.punctuation.encode()
+#: Words joined for one call of the tokenizer, whose result then stays in the processor's cache.
+_JOINED = 512
 
 
 class PieceIds:
@@ -173,8 +182,9 @@ class PieceIds:
 
     A text is cut at ASCII white space. ASCII letters are lowered beforehand, as the tokenizer
     would do, unless the text holds what that could change: marks that combine with letters,
-    or the text of a special token. A stop at the end of a piece, behind an ASCII letter, is a
-    word of its own, so the piece has the ids of the rest and those of the stop.
+    or the text of a special token. ASCII marks at the end of a piece, behind an ASCII letter or
+    digit or a letter of U+00C0 to U+00FF, are a word of their own, so the piece has the ids of
+    the rest and those of the marks.
     """
 
     def __init__(self, tokenizer) -> None:
@@ -183,7 +193,6 @@ class PieceIds:
         self.tokenizer = tokenizer
         self.pieces: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
-        self.stops = dict(zip((b".", b",", b"!", b"?"), self._encoded([b".", b",", b"!", b"?"])))
         self.letters = Tokenizer.from_str(tokenizer.to_str())
         self.letters.normalizer = normalizers.Sequence([])
         self.letters.pre_tokenizer = pre_tokenizers.Sequence(
@@ -196,28 +205,40 @@ class PieceIds:
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text (UTF-8), without special tokens added."""
-        cut = [
-            (t if b"<|" in t or b"\xcc" in t or b"\xcd" in t else t.lower()).split() for t in texts
+        lowered = [
+            t if b"<|" in t or b"\xcc" in t or b"\xcd" in t else t.lower() for t in texts
         ]
-        new = self._learn(set().union(*cut))
-        look = self.pieces.__getitem__
-        ids = [b"".join(map(look, pieces)) for pieces in cut]
+        # Arrow cuts the texts and numbers the different pieces: each is looked up once a step.
+        cut = pc.ascii_split_whitespace(pa.array(lowered, pa.binary()).view(pa.string()))
+        numbered = cut.flatten().dictionary_encode()
+        pieces = numbered.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        new = self._learn(pieces)
+        look = list(map(self.pieces.__getitem__, pieces)).__getitem__
+        numbers, ends = numbered.indices.to_numpy(), cut.offsets.to_pylist()
+        ids = [b"".join(map(look, numbers[a:b].tolist())) for a, b in pairwise(ends)]
         for k in new:
             if len(k) > _LONG:
                 del self.pieces[k]
         return ids
 
-    def _learn(self, pieces: set[bytes]) -> set[bytes]:
+    def _learn(self, pieces: list[bytes]) -> set[bytes]:
         """Ids of the pieces that are not known; what was not asked for lately is forgotten."""
         if len(self.pieces) > REMEMBERED_IDS:
             self.before, self.pieces = self.pieces, {}
         new = self._unknown(pieces)
-        stopped = {p: p[:-1] for p in new if p[-1:] in self.stops and p[-2:-1].isalpha()}
-        new.difference_update(stopped)
-        new |= self._unknown(set(stopped.values()) - new)
-        plain = [p for p in new if _PLAIN.fullmatch(p)]
-        for start in range(0, len(plain), 8192):
-            some = plain[start : start + 8192]
+        ended = {}
+        for p in filterfalse(bytes.isalpha, new):
+            bare = p.rstrip(_MARKS)
+            if len(bare) < len(p) and (bare[-1:].isalnum() or _ACCENTED.fullmatch(bare[-2:])):
+                if b"<|" not in p:
+                    ended[p] = bare
+        new.difference_update(ended)
+        new |= self._unknown(chain(ended.values(), [p[len(bare) :] for p, bare in ended.items()]))
+        plain, others = [], []
+        for p in new:
+            (plain if p.isalpha() or _PLAIN.fullmatch(p) else others).append(p)
+        for start in range(0, len(plain), _JOINED):
+            some = plain[start : start + _JOINED]
             text = b" ".join(some).decode("utf-8").lower()
             found = self.letters.encode_batch_fast([text], add_special_tokens=False)
             ids = np.array(found[0].ids, dtype="<u4")
@@ -225,21 +246,20 @@ class PieceIds:
             flat = ids.tobytes()
             known = zip(some, [0, *ends[:-1]], ends, strict=True)
             self.pieces.update((p, flat[a:b]) for p, a, b in known)
-        others = [p for p in new if p not in self.pieces]
         for start in range(0, len(others), 8192):
             some = others[start : start + 8192]
             self.pieces.update(zip(some, self._encoded(some), strict=True))
-        ids, stops = self.pieces, self.stops
-        for piece, bare in stopped.items():
-            ids[piece] = ids[bare] + stops[piece[-1:]]
-        return new.union(stopped)
-
-    def _unknown(self, pieces: set[bytes]) -> set[bytes]:
-        new = pieces.difference(self.pieces)
-        if self.before:
-            known = {p: self.before[p] for p in new if p in self.before}
-            self.pieces.update(known)
-            new.difference_update(known)
+        ids = self.pieces
+        for p, bare in ended.items():
+            ids[p] = ids[bare] + ids[p[len(bare) :]]
+        return new.union(ended)
+
+    def _unknown(self, pieces: Iterable[bytes]) -> set[bytes]:
+        """Pieces that are not known; those known before are known again."""
+        new = set(filterfalse(self.pieces.__contains__, pieces))
+        again = list(filter(self.before.__contains__, new))
+        self.pieces.update(zip(again, map(self.before.__getitem__, again)))
+        new.difference_update(again)
         return new
 
     def _encoded(self, pieces: list[bytes]) -> list[bytes]:

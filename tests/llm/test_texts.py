@@ -105,6 +105,24 @@ def test_word_caches_agree_with_the_library():
     assert PieceIds(ids).ids(raw) == want
 
 
+def test_marks_at_the_end_of_words(monkeypatch):
+    """Words apart from marks behind them give the library's ids, and are not learned once per mark."""
+    r = random.Random(8)
+    marks = [".", ",", "***", "$$$", "?!", "'", "'.", "|>", "<|", "<|endoftext|>", ")", "_", "×", "’", "…", "\u0301."]
+    words = ["plain", "Où", "élan", "naïveté", "été", "É", "x1", "4.5", "don't", "l'", "世界", "e\u0301", "", "<|endoftext|>", "<|a"]
+    texts = [" ".join(r.choice(words) + r.choice(marks) * r.randint(0, 2) for _ in range(12)) for _ in range(2000)]
+    library = open_tokenizer(IDS)
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert PieceIds(library).ids([t.encode() for t in texts]) == want
+    # Each text alone: nothing is known from before.
+    assert [PieceIds(library).ids([t.encode()])[0] for t in texts[:20]] == want[:20]
+    pieces, alone = PieceIds(library), []
+    encoded = pieces._encoded
+    monkeypatch.setattr(pieces, "_encoded", lambda some: alone.extend(some) or encoded(some))
+    pieces.ids([" ".join(f"{a}{b}{m}" for a in "abcdef" for b in ("u", "é") for m in ("***", "&&&", ".", "?!")).encode()])
+    assert sorted(alone) == [b"&&&", b"***", b".", b"?!"]
+
+
 def test_token_counts(spark, tricky):
     library = open_tokenizer(COUNTS)
     more = [(300 + i, t) for i, t in enumerate(random_texts(60, 300, seed=9))] + [(299, "y" * 3000)]
